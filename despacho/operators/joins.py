@@ -18,16 +18,16 @@ def _width(name: str, kind: DataType) -> Column:
     return F.lit(24 if isinstance(kind, DecimalType) else 8)
 
 
-def _total_bytes(df: DataFrame) -> Column:
-    row = reduce(add, (_width(f.name, f.dataType) for f in df.schema.fields), F.lit(16))
-    return F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")
+def _row_bytes(df: DataFrame) -> Column:
+    return reduce(add, (_width(f.name, f.dataType) for f in df.schema.fields), F.lit(16)).cast("bigint")
 
 
 def measured_bytes(*frames: DataFrame) -> list[int]:
-    """Bytes the rows of each frame would take as a broadcast table; one job for all."""
-    sizes = [df.agg(_total_bytes(df)).select(F.lit(i).alias("i"), "bytes") for i, df in enumerate(frames)]
-    by_frame = {r["i"]: r["bytes"] for r in reduce(DataFrame.unionAll, sizes).collect()}
-    return [by_frame[i] for i in range(len(frames))]
+    """Bytes the rows of each frame would take as a broadcast table; one aggregation for all."""
+    widths = [df.select(F.lit(i).alias("frame"), _row_bytes(df).alias("bytes")) for i, df in enumerate(frames)]
+    totals = reduce(DataFrame.unionAll, widths).groupBy("frame").agg(F.sum("bytes").alias("bytes"))
+    by_frame = {r["frame"]: r["bytes"] for r in totals.collect()}
+    return [by_frame.get(i, 0) for i in range(len(frames))]
 
 
 def broadcast_small(*frames: DataFrame, limit: int | None = None) -> list[DataFrame]:

@@ -1,37 +1,46 @@
-"""Delivery of datasets: partitioned writes, names, read-back and control totals.
+"""Delivery of datasets: partitioned writes, read-back, control totals and the ledger.
 
-Layout under a delivery root on a shared file system:
-``<root>/<kind>/business_date=YYYY-MM-DD/``. Writing a package again replaces
-its own partition and no other.
+Layout under a delivery root that all executors share:
+
+    <root>/<kind>/business_date=YYYY-MM-DD/                      the data
+    <root>/verificacion/kind=<kind>/business_date=YYYY-MM-DD/    its control totals
+    <root>/ledger/kind=<kind>/business_date=YYYY-MM-DD/          when it was delivered
+
+A partition is swapped in when its job commits, so delivering a package again
+replaces that package and no other, and a lost executor leaves the old one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, StructField, StructType
 
-from despacho.functions.dates import compact_text
-from despacho.operators.control import COUNT_NAME, TOTAL_NAME, numeric_count, rounded_total
+from despacho.functions.dates import compact_text, day
+from despacho.operators.control import COUNT_NAME, INDICATOR, TOTAL_NAME, VALUE, control_totals, numeric_count, rounded_total
+
+LEDGER = "kind string, business_date date, sent_at timestamp_ntz"
 
 
 @dataclass(frozen=True)
 class Kind:
-    """One dataset: name part, columns for the control totals, column with the business date if any."""
+    """One dataset: its short name and the columns its control totals cover."""
 
     name: str
     counted: str
     summed: str | None = None
-    dated_by: str | None = None
 
 
-# Dataset names and the columns their controls cover.
-SALES = Kind("vta", "Cantidad", "Cantidad", "Fecha")
-STOCK = Kind("inv", "Cantidad", "Cantidad", "Fecha")
+# Dataset names.
+SALES = Kind("vta", "Cantidad", "Cantidad")
+STOCK = Kind("inv", "Cantidad", "Cantidad")
 CUSTOMERS = Kind("mc", "IdCliente")
-KINDS = {kind.name: kind for kind in (SALES, STOCK, CUSTOMERS)}
 
 
 def package_name(user: Column, kind: Column, business_date: Column) -> Column:
@@ -39,62 +48,90 @@ def package_name(user: Column, kind: Column, business_date: Column) -> Column:
     return F.concat_ws("_", user, kind, compact_text(business_date))
 
 
-def _path(root: str, kind: Kind) -> str:
-    return f"{root}/{kind.name}"
+def write_partitions(df: DataFrame, path: str, *by: str, file_format: str = "parquet") -> None:
+    """Write ``df`` by the given columns, replacing exactly the partitions it has rows for."""
+    writer = df.write.format(file_format).partitionBy(*by).mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    if file_format == "csv":
+        writer = writer.option("header", "true")
+    writer.save(path)
+
 
+def read_partitions(spark: SparkSession, path: str, schema: StructType | str, file_format: str = "parquet") -> DataFrame:
+    """What ``write_partitions`` wrote; no rows if nothing was written yet."""
+    try:
+        reader = spark.read.format(file_format).schema(schema)
+        return (reader.option("header", "true") if file_format == "csv" else reader).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
-def package_controls(df: DataFrame, kind: Kind) -> DataFrame:
-    """Control totals of each package (business date) in delivered rows, one aggregation."""
-    totals = [numeric_count(df, kind.counted).alias(COUNT_NAME)]
-    if kind.summed is not None:
-        totals.append(rounded_total(kind.summed).alias(TOTAL_NAME))
-    return df.groupBy("business_date").agg(*totals).select(F.lit(kind.name).alias("kind"), "*")
+
+def delivered(spark: SparkSession, root: str, kind: Kind, schema: StructType, file_format: str = "parquet") -> DataFrame:
+    """Delivered rows of a dataset (columns as in ``schema``) with their business date."""
+    dated = StructType([*schema.fields, StructField("business_date", DateType())])
+    return read_partitions(spark, f"{root}/{kind.name}", dated, file_format)
 
 
 def deliver(
-    df: DataFrame, root: str, kind: Kind, business_date: Column | None = None, file_format: str = "parquet"
-) -> int:
-    """Write a dataset by business date and return the number of rows written.
-
-    The date is the one in the rows, unless the package is for one given day.
-    The rebalance splits a heavy date over many files and joins small ones, so
-    no date is bound to one task. Rows are counted as they are written and the
-    result is compared with what can be read back.
+    df: DataFrame, root: str, kind: Kind, business_date: dt.date, file_format: str = "parquet"
+) -> Mapping[str, Decimal]:
+    """Write one package with its control totals, which are taken from the rows read back.
+
+    The rebalance splits a large package over many files and joins small ones.
+    Rows are counted and summed while they are written; a difference from the
+    control totals is an error.
     """
-    if business_date is None:
-        if kind.dated_by is None:
-            raise ValueError(f"dataset {kind.name} has no date of its own; give one")
-        business_date = F.col(kind.dated_by).cast(DateType())
-    written = Observation(f"written_{kind.name}")
-    rows = (
-        df.withColumn("business_date", business_date)
-        .hint("rebalance", F.col("business_date"))
-        .observe(written, F.count("*").alias("rows"), F.collect_set("business_date").alias("dates"))
+    spark = df.sparkSession
+    observed = Observation(f"deliver_{kind.name}_{business_date:%Y%m%d}")
+    checks = {COUNT_NAME: numeric_count(df, kind.counted)}
+    if kind.summed is not None:
+        checks[TOTAL_NAME] = rounded_total(kind.summed)
+    rows = df.hint("rebalance").observe(
+        observed, F.count("*").alias("rows"), *(c.alias(name) for name, c in checks.items())
     )
-    writer = (
-        rows.write.format(file_format)
-        .partitionBy("business_date")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+    path = f"{root}/{kind.name}"
+    write_partitions(rows.withColumn("business_date", day(business_date)), path, "business_date", file_format=file_format)
+    if observed.get["rows"] == 0:
+        # No row names the partition, so an earlier delivery of the day is replaced by hand.
+        empty = spark.createDataFrame([], df.schema).write.format(file_format).mode("overwrite")
+        empty.save(f"{path}/business_date={business_date:%Y-%m-%d}")
+
+    package = delivered(spark, root, kind, df.schema, file_format).filter(F.col("business_date") == day(business_date))
+    write_partitions(
+        control_totals(package, kind.counted, kind.summed).select(
+            F.lit(kind.name).alias("kind"), day(business_date).alias("business_date"), INDICATOR, VALUE
+        ),
+        f"{root}/verificacion",
+        "kind",
+        "business_date",
     )
-    if file_format == "csv":
-        writer = writer.option("header", "true")
-    writer.save(_path(root, kind))
-    counts = written.get
-    if counts["rows"]:
-        found = delivered(df.sparkSession, root, kind, df, file_format)
-        found = found.filter(F.col("business_date").isin(counts["dates"])).count()
-        if found != counts["rows"]:
-            raise RuntimeError(f"{kind.name}: {counts['rows']} rows written, {found} read back")
-    return counts["rows"]
-
-
-def delivered(
-    spark: SparkSession, root: str, kind: Kind, like: DataFrame, file_format: str = "parquet"
-) -> DataFrame:
-    """Delivered rows of a dataset with their business date, under the columns of ``like``."""
-    schema = like.schema.add("business_date", DateType()) if "business_date" not in like.columns else like.schema
-    reader = spark.read.format(file_format).schema(schema)
-    if file_format == "csv":
-        reader = reader.option("header", "true")
-    return reader.load(_path(root, kind))
+    controls = {
+        r[INDICATOR]: r[VALUE]
+        for r in verification(spark, root)
+        .filter((F.col("kind") == kind.name) & (F.col("business_date") == day(business_date)))
+        .collect()
+    }
+    for name in checks:
+        if controls[name] != Decimal(observed.get[name]):
+            raise RuntimeError(f"{kind.name}: {name} written {observed.get[name]}, read back {controls[name]}")
+    return controls
+
+
+def verification(spark: SparkSession, root: str) -> DataFrame:
+    """Control totals of every delivered package."""
+    schema = f"{INDICATOR} string, {VALUE} decimal(28,2), kind string, business_date date"
+    return read_partitions(spark, f"{root}/verificacion", schema)
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """What was delivered and when."""
+    return read_partitions(spark, f"{root}/ledger", "sent_at timestamp_ntz, kind string, business_date date").select(
+        "kind", "business_date", "sent_at"
+    )
+
+
+def record_delivery(sent: DataFrame, root: str) -> None:
+    """Persist new ledger rows; an older row of the same package is replaced."""
+    write_partitions(sent, f"{root}/ledger", "kind", "business_date")

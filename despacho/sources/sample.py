@@ -6,8 +6,12 @@ derived from a given one and grows with it, apart from the two return reasons.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from despacho.sources.base import conform
 
@@ -131,37 +135,86 @@ def _configuracion(supplier: DataFrame) -> DataFrame:
         F.lit("1995-01-01").cast("date").alias("fecha_inicio"),
         F.concat(F.lit("dist"), F.lpad(key.cast("string"), 4, "0")).alias("usuario"),
         F.lit("08:00").alias("hora_envio"),
-        F.date_add(F.lit("1998-06-27").cast("date"), key % 5).alias("ult_envio"),
+        F.date_add(F.lit("1998-05-11").cast("date"), key % 5).alias("ult_envio"),
     )
 
 
-def sample_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+class _Lazy(Mapping):
+    """Tables built on first use, so that a query opens only the files it reads."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+_schemas: dict[str, StructType] = {}
+
+
+def sample_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """All base tables over the test tables in ``folder``."""
 
     def given(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    orders, lineitem, part, supplier = given("orders"), given("lineitem"), given("part"), given("supplier")
-    nation, region = given("nation"), given("region")
-    tables = {
-        "venta": _venta(orders),
-        "item_venta": _item_venta(lineitem, orders),
-        "articulo": _articulo(part),
-        "sinonimo": _sinonimo(part),
-        "cliente": _cliente(given("customer")),
-        "ramo": nation.select(F.col("n_nationkey").alias("codigo")),
-        "ramo_equivalencia": nation.filter(F.col("n_nationkey") % 6 != 0).select(
-            F.col("n_nationkey").alias("codigo"), F.col("n_regionkey").alias("id_tipo")
-        ),
-        "tipo_cliente": region.filter(F.col("r_regionkey") != 4).select(
-            F.col("r_regionkey").alias("id"), (F.col("r_regionkey") + 1).alias("codigo")
-        ),
-        "vendedor": supplier.select(F.col("s_suppkey").alias("codigo"), F.col("s_name").alias("nombre")),
-        "motivo": spark.sql(
+        path = f"{folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = spark.read.parquet(path).schema
+        return spark.read.schema(_schemas[path]).parquet(path)
+
+    builders = {
+        "venta": lambda: _venta(given("orders")),
+        "item_venta": lambda: _item_venta(given("lineitem"), given("orders")),
+        "articulo": lambda: _articulo(given("part")),
+        "sinonimo": lambda: _sinonimo(given("part")),
+        "cliente": lambda: _cliente(given("customer")),
+        "ramo": lambda: given("nation").select(F.col("n_nationkey").alias("codigo")),
+        "ramo_equivalencia": lambda: given("nation")
+        .filter(F.col("n_nationkey") % 6 != 0)
+        .select(F.col("n_nationkey").alias("codigo"), F.col("n_regionkey").alias("id_tipo")),
+        "tipo_cliente": lambda: given("region")
+        .filter(F.col("r_regionkey") != 4)
+        .select(F.col("r_regionkey").alias("id"), (F.col("r_regionkey") + 1).alias("codigo")),
+        "vendedor": lambda: given("supplier").select(F.col("s_suppkey").alias("codigo"), F.col("s_name").alias("nombre")),
+        "motivo": lambda: spark.sql(
             "select * from values (1, 'DEVOLUCION'), (2, 'ERROR DE CARGA') as motivo(codigo, descripcion)"
         ),
-        "stockhistorico": _stockhistorico(lineitem),
-        "numeracion": _numeracion(supplier),
-        "configuracion": _configuracion(supplier),
+        "stockhistorico": lambda: _stockhistorico(given("lineitem")),
+        "numeracion": lambda: _numeracion(given("supplier")),
+        "configuracion": lambda: _configuracion(given("supplier")),
     }
-    return {name: conform(name, df) for name, df in tables.items()}
+    return _Lazy({name: partial(_conformed, name, build) for name, build in builders.items()})
+
+
+def _conformed(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return conform(name, build())
+
+
+def sample_packages(t: Mapping[str, DataFrame], as_of: str) -> DataFrame:
+    """Packages created by ``as_of``: one per kind and business date in the vouchers or the stock."""
+    sold = t["venta"].select(F.explode(F.array(F.lit("vta"), F.lit("mc"))).alias("kind"), "fecha")
+    stocked = t["stockhistorico"].select(F.lit("inv").alias("kind"), "fecha")
+    packages = (
+        sold.distinct()
+        .unionByName(stocked.distinct())
+        .select(
+            "kind",
+            F.col("fecha").alias("business_date"),
+            F.date_add("fecha", 1 + F.dayofmonth("fecha") % 3).alias("created"),
+        )
+    )
+    return packages.filter(F.col("created") <= F.lit(as_of).cast("date"))
+
+
+def sample_ledger(packages: DataFrame) -> DataFrame:
+    """Three of four packages delivered, at midnight of the day they were created."""
+    return packages.filter(F.dayofmonth("business_date") % 4 != 0).select(
+        "kind", "business_date", F.col("created").cast("timestamp_ntz").alias("sent_at")
+    )

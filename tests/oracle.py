@@ -1,0 +1,42 @@
+"""Compare a Spark result with a DuckDB text: rows as a multiset, names and column types."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+from pyspark.sql import DataFrame
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+TYPES = {
+    "INTEGER": "int",
+    "BIGINT": "bigint",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+def duckdb_over(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from read_parquet('{folder}/{name}.parquet')")
+    return con
+
+
+def _rows(names, rows) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(row[i] for i in order) for row in rows)
+
+
+def expected(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[dict[str, str], Counter]:
+    described = con.execute(f"describe {sql}").fetchall()
+    types = {d[0]: TYPES.get(d[1], d[1].lower()) for d in described}
+    return types, _rows(list(types), con.execute(sql).fetchall())
+
+
+def actual(df: DataFrame) -> tuple[dict[str, str], Counter]:
+    return dict(df.dtypes), _rows(df.columns, df.collect())
