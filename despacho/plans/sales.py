@@ -2,8 +2,8 @@
 
 Lines meet the products first, which leaves one supplier's lines, and are
 summed per voucher and product before they are shuffled to the vouchers: a voucher that holds a large part of all lines arrives as a handful
-of rows per product. The date and prefix conditions on the vouchers reach the
-lines too, as the join equates those columns.
+of rows per product. The join equates date and voucher number, so the
+conditions on them are put on the lines as well.
 """
 
 from __future__ import annotations
@@ -33,26 +33,27 @@ VOUCHER_KEY = ["comprobante", "fecha", "empresa_id"]
 SELLER_NAME, SELLER_SURNAME = "Nombre Vendedor", "Apellido Vendedor"
 
 
+def _reported(start: Day | Column, end: Day | Column | None) -> Column:
+    return within(F.col("fecha"), start, end) & vouchers.is_invoiced_kind(F.col("comprobante"))
+
+
 def invoiced_vouchers(t: Tables, start: Day | Column, end: Day | Column | None) -> DataFrame:
     """Voucher headers of the reported kinds, invoiced, in the date range."""
     return (
         t["venta"]
-        .filter(
-            within(F.col("fecha"), start, end)
-            & vouchers.is_invoiced_kind(F.col("comprobante"))
-            & F.col("fecha_factura").isNotNull()
-        )
+        .filter(_reported(start, end) & F.col("fecha_factura").isNotNull())
         .select(*VOUCHER_KEY, "cod_cli", "cod_ven", "motivodev", "referencia")
     )
 
 
-def net_lines(t: Tables, sold: DataFrame) -> DataFrame:
-    """Line quantities summed per voucher and product of ``sold``."""
+def net_lines(t: Tables, sold: DataFrame, start: Day | Column, end: Day | Column | None) -> DataFrame:
+    """Line quantities of reported vouchers summed per voucher and product of ``sold``."""
     quantity, per_box, per_purchase_box = F.col("cantidad"), F.col("uxb"), F.col("uxbcompra")
     # A zero divisor is an error only if its voucher is reported, so it is noted here and raised later.
     bad = (per_purchase_box == 0) & quantity.isNotNull() & per_box.isNotNull()
     return (
         t["item_venta"]
+        .filter(_reported(start, end))
         .join(sold, "cod_art")
         .groupBy(*VOUCHER_KEY, "IdProducto")
         .agg(
@@ -130,7 +131,7 @@ def sales_range(
         products(t, supplier, excluded_article), reasons(t), customers(t), branch_types(t, False), sellers(t)
     )
     headers = _customer_headers(t, start, end, reason, customer, branch_type).join(seller, "cod_ven", "left")
-    net = _net_sales(t, headers, net_lines(t, sold), "vendedor")
+    net = _net_sales(t, headers, net_lines(t, sold, start, end), "vendedor")
     return _current_columns(t, net, F.col("vendedor"), F.col("vendedor"))
 
 
@@ -140,7 +141,7 @@ def sales_since(t: Tables, *, supplier: int, start: Day | Column) -> DataFrame:
         products(t, supplier), reasons(t), customers(t), branch_types(t, False)
     )
     headers = _customer_headers(t, start, None, reason, customer, branch_type)
-    net = _net_sales(t, headers, net_lines(t, sold))
+    net = _net_sales(t, headers, net_lines(t, sold, start, None))
     return _current_columns(t, net, F.lit(SELLER_NAME), F.lit(SELLER_SURNAME))
 
 
@@ -150,7 +151,7 @@ def sales_by_alias(t: Tables, *, supplier: int, start: Day | Column, end: Day |
         aliased_products(t, supplier), reasons(t), customers(t), branch_types(t, True)
     )
     headers = _customer_headers(t, start, end, reason, customer, branch_type)
-    net = _net_sales(t, headers, net_lines(t, sold))
+    net = _net_sales(t, headers, net_lines(t, sold, start, end))
     voucher = F.col("comprobante")
     return net.filter(F.col("converted") != 0).select(
         distributor_code(t["configuracion"]).alias("IdDistribuidor"),

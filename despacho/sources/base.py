@@ -36,11 +36,11 @@ def conform(name: str, df: DataFrame, renames: Mapping[str, str] | None = None)
     """The required columns of a base table, after renaming ``{their name: our name}``."""
     for theirs, ours in (renames or {}).items():
         df = df.withColumnRenamed(theirs, ours)
-    have = {c.lower() for c in df.columns}
+    have = [c.lower() for c in df.columns]
     missing = [c for c in COLUMNS[name] if c not in have]
     if missing:
         raise ValueError(f"{name} lacks {', '.join(missing)}")
-    return df.select(*COLUMNS[name])
+    return df if df.columns == list(COLUMNS[name]) else df.select(*COLUMNS[name])
 
 
 def parquet_tables(

@@ -9,133 +9,109 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from despacho.sources.base import conform
 
 
-def _padded(key: str) -> Column:
-    return F.lpad(F.col(key).cast("string"), 10, "0")
-
-
-def _case(column: Column, branches: dict, otherwise) -> Column:
-    result = F
-    for value, outcome in branches.items():
-        result = result.when(column == value, outcome)
-    return result.otherwise(otherwise)
-
-
-def _voucher(key: str) -> Column:
-    urgency = F.left("o_orderpriority", F.lit(1))
-    return F.concat(_case(urgency, {"1": "FA", "2": "PE", "3": "NC", "4": "ND"}, "RE"), _padded(key))
+VOUCHER = """
+    case left(o_orderpriority, 1)
+      when '1' then 'FA' when '2' then 'PE' when '3' then 'NC' when '4' then 'ND' else 'RE'
+    end || lpad(cast(o_orderkey as string), 10, '0') as comprobante"""
+SIGNED = "case when l_returnflag = 'R' then -l_quantity else l_quantity end"
 
 
 def _venta(orders: DataFrame) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
-    key = F.col("o_orderkey")
-    return orders.select(
-        _voucher("o_orderkey").alias("comprobante"),
-        day.alias("fecha"),
-        F.lit(1).alias("empresa_id"),
-        F.col("o_custkey").alias("cod_cli"),
-        (F.col("o_custkey") % 120).alias("cod_ven"),
-        _case(F.col("o_orderstatus"), {"F": 1, "O": 2}, 9).alias("motivodev"),
-        F.when(key % 7 != 0, F.concat(F.when(key % 3 == 0, "NC").otherwise("FA"), _padded("o_orderkey"))).alias(
-            "referencia"
-        ),
-        F.when(key % 11 != 0, day).alias("fecha_factura"),
+    return orders.selectExpr(
+        VOUCHER,
+        "cast(o_orderdate as date) as fecha",
+        "1 as empresa_id",
+        "o_custkey as cod_cli",
+        "o_custkey % 120 as cod_ven",
+        "case o_orderstatus when 'F' then 1 when 'O' then 2 else 9 end as motivodev",
+        """if(o_orderkey % 7 = 0, null,
+              if(o_orderkey % 3 = 0, 'NC', 'FA') || lpad(cast(o_orderkey as string), 10, '0')) as referencia""",
+        "if(o_orderkey % 11 = 0, null, cast(o_orderdate as date)) as fecha_factura",
     )
 
 
 def _item_venta(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
-    number = F.col("l_linenumber")
-    signed = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     # Each order once per possible date, so that a condition on fecha thins the orders before the join.
-    dated = orders.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("late")).withColumn(
-        "fecha", F.date_add(day, F.col("late"))
+    dated = orders.selectExpr("o_orderkey", "o_orderdate", "o_orderpriority", "explode(array(0, 1)) as late").selectExpr(
+        "o_orderkey", "late", "date_add(cast(o_orderdate as date), late) as fecha", VOUCHER
     )
-    late = F.when(number == 7, 1).otherwise(0)
-    return lineitem.join(dated, (F.col("l_orderkey") == F.col("o_orderkey")) & (late == F.col("late"))).select(
-        _voucher("o_orderkey").alias("comprobante"),
-        "fecha",
-        F.when(number == 6, 2).otherwise(1).alias("empresa_id"),
-        F.col("l_partkey").alias("cod_art"),
-        signed.cast("decimal(18,2)").alias("cantidad"),
-        F.when(F.col("l_quantity") > 45, 0).otherwise(signed).cast("decimal(18,2)").alias("cantidad_uni"),
+    lines = lineitem.selectExpr(
+        "l_orderkey as o_orderkey",
+        "if(l_linenumber = 7, 1, 0) as late",
+        "if(l_linenumber = 6, 2, 1) as empresa_id",
+        "l_partkey as cod_art",
+        f"cast({SIGNED} as decimal(18,2)) as cantidad",
+        f"cast(if(l_quantity > 45, 0, {SIGNED}) as decimal(18,2)) as cantidad_uni",
     )
+    return lines.join(dated, ["o_orderkey", "late"])
 
 
 def _articulo(part: DataFrame) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return part.select(
-        key.alias("codigo"),
-        F.col("p_name").alias("codigoprov"),
-        (size % 5).alias("prove"),
-        F.when(size > 45, 1).otherwise(0).alias("baja"),
-        F.when(key % 17 == 0, 0).otherwise(size).cast("decimal(18,2)").alias("uxb"),
-        _case(key % 3, {0: 1, 1: 2}, 4).cast("decimal(18,2)").alias("uxbcompra"),
+    return part.selectExpr(
+        "p_partkey as codigo",
+        "p_name as codigoprov",
+        "p_size % 5 as prove",
+        "if(p_size > 45, 1, 0) as baja",
+        "cast(if(p_partkey % 17 = 0, 0, p_size) as decimal(18,2)) as uxb",
+        "cast(case p_partkey % 3 when 0 then 1 when 1 then 2 else 4 end as decimal(18,2)) as uxbcompra",
     )
 
 
 def _sinonimo(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").alias("codigoart"),
-        F.when(F.col("p_partkey") % 10 == 0, "").otherwise(F.col("p_type")).alias("codigosinonimo"),
-    )
+    return part.selectExpr("p_partkey as codigoart", "if(p_partkey % 10 = 0, '', p_type) as codigosinonimo")
 
 
 def _cliente(customer: DataFrame) -> DataFrame:
-    key, balance = F.col("c_custkey"), F.col("c_acctbal").cast("decimal(12,6)")
-    return customer.select(
-        key.alias("codigo"),
-        F.col("c_name").alias("razon_social"),
-        F.col("c_mktsegment").alias("localidad"),
-        F.lpad((key % 10000).cast("string"), 4, "0").alias("cp"),
-        F.concat(F.lit("Calle "), (key % 500).cast("string")).alias("direccion"),
-        F.concat(F.lit("30-"), _padded("c_custkey"), F.lit("-"), (key % 10).cast("string")).alias("cuit"),
-        F.when(key % 9 == 0, 0).otherwise(balance).cast("decimal(12,6)").alias("geoy"),
-        F.when(key % 13 != 0, balance).alias("geox"),
-        F.col("c_nationkey").alias("ramo"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "B").otherwise("A").alias("estado"),
+    return customer.selectExpr(
+        "c_custkey as codigo",
+        "c_name as razon_social",
+        "c_mktsegment as localidad",
+        "lpad(cast(c_custkey % 10000 as string), 4, '0') as cp",
+        "'Calle ' || cast(c_custkey % 500 as string) as direccion",
+        "'30-' || lpad(cast(c_custkey as string), 10, '0') || '-' || cast(c_custkey % 10 as string) as cuit",
+        "cast(if(c_custkey % 9 = 0, 0, c_acctbal) as decimal(12,6)) as geoy",
+        "cast(if(c_custkey % 13 = 0, null, c_acctbal) as decimal(12,6)) as geox",
+        "c_nationkey as ramo",
+        "if(c_mktsegment = 'BUILDING', 'B', 'A') as estado",
     )
 
 
 def _stockhistorico(lineitem: DataFrame) -> DataFrame:
-    number = F.col("l_linenumber")
-    signed = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
-    shift = _case(number % 4, {0: F.lit("0.005"), 2: F.lit("-0.005")}, F.lit("0")).cast("decimal(18,4)")
-    return lineitem.select(
-        F.col("l_partkey").alias("articulo_codigo"),
-        F.col("l_shipdate").cast("date").alias("fecha"),
-        (number % 2).alias("deposito_id"),
-        (signed.cast("decimal(17,4)") + shift).cast("decimal(18,4)").alias("stocktot"),
+    shift = "case l_linenumber % 4 when 0 then 0.005 when 2 then -0.005 else 0.000 end"
+    return lineitem.selectExpr(
+        "l_partkey as articulo_codigo",
+        "cast(l_shipdate as date) as fecha",
+        "l_linenumber % 2 as deposito_id",
+        f"cast(cast({SIGNED} as decimal(17,4)) + {shift} as decimal(18,4)) as stocktot",
     )
 
 
 def _numeracion(supplier: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey").cast("int")
-    return supplier.select(
-        F.greatest(key, F.lit(1)).alias("sucursal"),
-        _case(key, {0: "JJ", 1: "BD"}, "FA").alias("tiponum"),
-        F.when(key <= 1, "X").otherwise("A").alias("letra"),
-        F.lit(1).alias("empresa_id"),
-        _case(key, {0: F.lit(7), 1: F.lit(41)}, 898 + key).alias("numero"),
+    return supplier.selectExpr(
+        "cast(greatest(s_suppkey, 1) as int) as sucursal",
+        "case s_suppkey when 0 then 'JJ' when 1 then 'BD' else 'FA' end as tiponum",
+        "if(s_suppkey <= 1, 'X', 'A') as letra",
+        "1 as empresa_id",
+        "cast(case s_suppkey when 0 then 7 when 1 then 41 else 898 + s_suppkey end as int) as numero",
     )
 
 
 def _configuracion(supplier: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey").cast("int")
-    return supplier.select(
-        key.alias("codigo"),
-        (76 + key).alias("codigo_distribuidor"),
-        ((key + 2) % 5).alias("codigo_proveedor"),
-        F.lit("1995-01-01").cast("date").alias("fecha_inicio"),
-        F.concat(F.lit("dist"), F.lpad(key.cast("string"), 4, "0")).alias("usuario"),
-        F.lit("08:00").alias("hora_envio"),
-        F.date_add(F.lit("1998-05-11").cast("date"), key % 5).alias("ult_envio"),
+    return supplier.selectExpr(
+        "cast(s_suppkey as int) as codigo",
+        "cast(76 + s_suppkey as int) as codigo_distribuidor",
+        "cast((s_suppkey + 2) % 5 as int) as codigo_proveedor",
+        "date '1995-01-01' as fecha_inicio",
+        "'dist' || lpad(cast(s_suppkey as string), 4, '0') as usuario",
+        "'08:00' as hora_envio",
+        "date_add(date '1998-05-11', cast(s_suppkey % 5 as int)) as ult_envio",
     )
 
 
@@ -175,14 +151,14 @@ def sample_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
         "articulo": lambda: _articulo(given("part")),
         "sinonimo": lambda: _sinonimo(given("part")),
         "cliente": lambda: _cliente(given("customer")),
-        "ramo": lambda: given("nation").select(F.col("n_nationkey").alias("codigo")),
+        "ramo": lambda: given("nation").selectExpr("n_nationkey as codigo"),
         "ramo_equivalencia": lambda: given("nation")
-        .filter(F.col("n_nationkey") % 6 != 0)
-        .select(F.col("n_nationkey").alias("codigo"), F.col("n_regionkey").alias("id_tipo")),
+        .filter("n_nationkey % 6 <> 0")
+        .selectExpr("n_nationkey as codigo", "n_regionkey as id_tipo"),
         "tipo_cliente": lambda: given("region")
-        .filter(F.col("r_regionkey") != 4)
-        .select(F.col("r_regionkey").alias("id"), (F.col("r_regionkey") + 1).alias("codigo")),
-        "vendedor": lambda: given("supplier").select(F.col("s_suppkey").alias("codigo"), F.col("s_name").alias("nombre")),
+        .filter("r_regionkey <> 4")
+        .selectExpr("r_regionkey as id", "r_regionkey + 1 as codigo"),
+        "vendedor": lambda: given("supplier").selectExpr("s_suppkey as codigo", "s_name as nombre"),
         "motivo": lambda: spark.sql(
             "select * from values (1, 'DEVOLUCION'), (2, 'ERROR DE CARGA') as motivo(codigo, descripcion)"
         ),
