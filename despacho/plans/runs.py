@@ -8,6 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from despacho.functions.dates import Day, age_in_days, day
 from despacho.operators.lookups import ADVANCED_SERIES, MAIN_CONFIG, Series, config_row
@@ -88,8 +89,8 @@ def boxes_extracts(t: Tables, supplier: int, business_date: dt.date) -> Mapping[
 
 def state(table: DataFrame, root: str, name: str, as_of: dt.date, before: bool = False) -> DataFrame:
     """The newest version of a state table up to (or before) ``as_of``, else ``table`` itself."""
-    columns = table.schema.simpleString().removeprefix("struct<").removesuffix(">")
-    versions = read_partitions(table.sparkSession, f"{root}/state/{name}", f"{columns},run_date:date")
+    dated = StructType([*table.schema.fields, StructField("run_date", DateType())])
+    versions = read_partitions(table.sparkSession, f"{root}/state/{name}", dated)
     run_date = F.col("run_date")
     versions = versions.filter(run_date < day(as_of) if before else run_date <= day(as_of))
     newest = versions.agg(F.max(run_date).alias("run_date")).first()["run_date"]

@@ -1,0 +1,206 @@
+"""Small base tables: fixed edge rows and random ones."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+import re
+from decimal import Decimal
+
+import pyarrow as pa
+
+SCHEMAS = {
+    "venta": "comprobante string, fecha date, empresa_id int, cod_cli bigint, cod_ven bigint, motivodev int,"
+    " referencia string, fecha_factura date",
+    "item_venta": "comprobante string, fecha date, empresa_id int, cod_art bigint, cantidad decimal(18,2),"
+    " cantidad_uni decimal(18,2)",
+    "articulo": "codigo bigint, codigoprov string, prove int, baja int, uxb decimal(18,2), uxbcompra decimal(18,2)",
+    "sinonimo": "codigoart bigint, codigosinonimo string",
+    "cliente": "codigo bigint, razon_social string, localidad string, cp string, direccion string, cuit string,"
+    " geoy decimal(12,6), geox decimal(12,6), ramo int, estado string",
+    "ramo": "codigo int",
+    "ramo_equivalencia": "codigo int, id_tipo int",
+    "tipo_cliente": "id int, codigo int",
+    "vendedor": "codigo bigint, nombre string",
+    "motivo": "codigo int, descripcion string",
+    "stockhistorico": "articulo_codigo bigint, fecha date, deposito_id int, stocktot decimal(18,4)",
+    "numeracion": "sucursal int, tiponum string, letra string, empresa_id int, numero int",
+    "configuracion": "codigo int, codigo_distribuidor int, codigo_proveedor int, fecha_inicio date, usuario string,"
+    " hora_envio string, ult_envio date",
+}
+
+D = dt.date
+DAY = D(2023, 5, 10)
+
+
+ARROW = {
+    "string": pa.string(),
+    "date": pa.date32(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "decimal(18,2)": pa.decimal128(18, 2),
+    "decimal(18,4)": pa.decimal128(18, 4),
+    "decimal(12,6)": pa.decimal128(12, 6),
+}
+
+
+def columns(name: str) -> list[tuple[str, str]]:
+    """(column, type) pairs of a base table."""
+    return re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", SCHEMAS[name])
+
+
+def frames(spark, rows: dict[str, list[tuple]]) -> dict:
+    """Local relations: a tiny table needs no tasks of its own."""
+    tables = {}
+    for name in SCHEMAS:
+        fields = [(column, ARROW[kind]) for column, kind in columns(name)]
+        values = list(zip(*rows.get(name, []))) or [()] * len(fields)
+        arrays = [pa.array(list(v), type=kind) for v, (_, kind) in zip(values, fields)]
+        tables[name] = spark.createDataFrame(pa.table(arrays, schema=pa.schema(fields)))
+    return tables
+
+
+def records(rows: dict[str, list[tuple]]) -> dict[str, list[dict]]:
+    return {
+        name: [dict(zip((column for column, _ in columns(name)), row)) for row in rows.get(name, [])] for name in SCHEMAS
+    }
+
+
+def _dec(value) -> Decimal | None:
+    return None if value is None else Decimal(value)
+
+
+def edge_rows() -> dict[str, list[tuple]]:
+    """One row per special case named beside it."""
+    return {
+        "numeracion": [(1, "BD", "X", 1, 41), (1, "JJ", "X", 1, 7), (2, "FA", "A", 1, 900)],
+        "configuracion": [
+            (1, 77, 3, D(2015, 1, 1), "dist", "08:00", D(2023, 5, 9)),
+            (2, 78, 4, D(2015, 1, 1), "otro", "08:00", None),
+        ],
+        "articulo": [
+            (10, "P10", 3, 0, _dec("12"), _dec("4")),
+            (11, "P11", 3, 0, _dec("1"), _dec("3")),  # quotient does not end
+            (12, "P10", 3, 0, _dec("6"), _dec("6")),  # second article under one product code
+            (13, "P13", 3, 0, _dec("6"), None),  # unknown divisor
+            (14, "P14", 3, 1, _dec("6"), _dec("6")),  # discontinued
+            (15, "P15", 9, 0, _dec("6"), _dec("0")),  # other supplier, zero divisor
+            (16, None, 3, 0, _dec("0"), _dec("2")),  # no product code, converts to zero
+            (100000072, "P72", 3, 0, _dec("6"), _dec("6")),  # the excluded article
+        ],
+        "sinonimo": [(10, "A10"), (10, "A10b"), (11, "  "), (12, ""), (13, "A13 "), (16, "A16"), (100000072, "A72"), (11, None)],
+        "ramo": [(1,), (2,), (3,)],
+        "ramo_equivalencia": [(1, 100), (2, 200)],  # branch 2 maps to a type that is missing, 3 to none
+        "tipo_cliente": [(100, 5)],
+        "vendedor": [(7, "Ana"), (8, None)],
+        "motivo": [(1, "DEVOLUCION"), (1, "REPETIDO")],  # a reason held twice doubles the sums per reason
+        "cliente": [
+            (1, "Uno", "L", "1000", "C 1", "30-1", _dec("0"), _dec("-58.5"), 1, "A"),
+            (2, "Dos", "L", "1000", "C 2", "30-2", None, _dec("0"), 2, "A"),
+            (3, "Tres", "L", "1000", "C 3", "30-3", _dec("-34.123456"), None, 3, "A"),
+            (4, "Cuatro", "L", "1000", "C 4", "30-4", _dec("1"), _dec("1"), 9, "B"),  # unknown branch, inactive
+            (0, "Cero", "L", "1000", "C 0", "30-0", _dec("1"), _dec("1"), 1, "A"),  # not a real customer
+        ],
+        "venta": [
+            ("FA1", DAY, 1, 1, 7, 9, None, DAY),
+            ("NC2", DAY, 1, 2, 8, 1, "FA1", DAY),
+            ("NC3", DAY, 1, 3, None, 9, None, DAY),
+            ("ND4", DAY, 1, 1, 99, 9, "NC2", DAY),
+            ("PE5", DAY, 1, 1, 7, 9, "NC9", None),  # not invoiced
+            ("RE6", DAY, 1, 1, 7, 9, None, DAY),  # other kind of voucher
+            ("FA7", DAY, 1, 4, 7, 9, None, DAY),  # branch unknown
+            ("FA8", D(2023, 5, 11), 1, 1, 7, 9, None, DAY),
+            ("FA1", DAY, 2, 1, 7, 9, None, DAY),  # same number in a second company
+            ("FR9", DAY, 1, 1, 7, 9, None, DAY),
+        ],
+        "item_venta": [
+            ("FA1", DAY, 1, 10, _dec("5"), _dec("15")),
+            ("FA1", DAY, 1, 12, _dec("1"), _dec("1.5")),
+            ("FA1", DAY, 2, 10, _dec("2"), _dec("6")),
+            ("FA1", D(2023, 5, 11), 1, 10, _dec("50"), _dec("50")),  # other date than its voucher
+            ("FA1", DAY, 3, 10, _dec("50"), _dec("50")),  # company without such a voucher
+            ("FA1", DAY, 1, 11, _dec("1"), _dec("0.5")),
+            ("FA1", DAY, 1, 11, _dec("1"), _dec("0")),
+            ("FA1", DAY, 1, 11, _dec("-2"), _dec("2")),  # thirds that do not cancel to zero
+            ("FA1", DAY, 1, 13, _dec("3"), _dec("3")),
+            ("FA1", DAY, 1, 14, _dec("3"), _dec("3")),
+            ("FA1", DAY, 1, 15, _dec("3"), _dec("3")),
+            ("FA1", DAY, 1, 16, _dec("3"), _dec("3")),
+            ("FA1", DAY, 1, 100000072, _dec("3"), _dec("3")),
+            ("NC2", DAY, 1, 10, _dec("-5"), _dec("-15")),
+            ("NC2", DAY, 1, 11, _dec("4"), _dec("0")),  # units cancel: dropped by units, kept by quantity
+            ("NC3", DAY, 1, 10, _dec("4"), _dec("2.5")),
+            ("ND4", DAY, 1, 10, _dec("4"), _dec("12")),
+            ("ND4", DAY, 1, 11, _dec("-4"), _dec("12")),
+            ("ND4", DAY, 1, 12, None, _dec("12")),
+            ("ND4", DAY, 1, None, _dec("1"), _dec("1")),
+            ("PE5", DAY, 1, 10, _dec("4"), _dec("12")),
+            ("RE6", DAY, 1, 10, _dec("4"), _dec("12")),
+            ("FA7", DAY, 1, 10, _dec("4"), _dec("12")),
+            ("FA8", D(2023, 5, 11), 1, 10, _dec("4"), _dec("12")),
+            ("FR9", DAY, 1, 10, _dec("4"), _dec("12")),
+        ],
+        "stockhistorico": [
+            (10, DAY, 0, _dec("10.005")),
+            (10, DAY, 0, _dec("0.4950")),
+            (10, DAY, 1, _dec("99")),  # other depot
+            (11, DAY, 0, _dec("-5")),
+            (12, DAY, 0, _dec("2.5")),
+            (13, DAY, 0, None),
+            (13, DAY, 0, _dec("8")),
+            (14, DAY, 0, _dec("8")),
+            (15, DAY, 0, _dec("8")),
+            (16, DAY, 0, _dec("0.004")),  # positive, but 0 once cast
+            (100000072, DAY, 0, _dec("8")),
+            (10, D(2023, 5, 11), 0, _dec("7")),
+            (None, DAY, 0, _dec("7")),
+        ],
+    }
+
+
+def random_rows(seed: int, lines: int = 400) -> dict[str, list[tuple]]:
+    """Random tables with NULLs and repeated keys; one voucher, article and customer hold a third each."""
+    r = random.Random(seed)
+    days = [D(2023, 5, d) for d in (9, 10, 11)]
+
+    def maybe(value, share=0.1):
+        return None if r.random() < share else value
+
+    def hot(values):
+        return values[0] if r.random() < 1 / 3 else r.choice(values)
+
+    vouchers = [
+        (p + str(n), r.choice(days), r.choice([1, 1, 2])) for n, p in enumerate(r.choices(["FA", "NC", "ND", "PE", "RE"], k=40))
+    ]
+    vouchers[0] = ("FA0", DAY, 1)
+    articles = [*range(10, 30), 100000072]
+    customers = list(range(0, 15))
+    rows = edge_rows()
+    rows["articulo"] = [
+        (a, maybe(f"P{r.randrange(8)}"), r.choice([3, 3, 9]), r.choice([0, 0, 0, 1]),
+         maybe(Decimal(r.randrange(0, 24))), maybe(Decimal(r.choice([1, 2, 3, 6, 7, 12]))))
+        for a in [*articles, 12, 13]
+    ]
+    rows["sinonimo"] = [(maybe(hot(articles)), maybe(r.choice(["", " ", "A1", "A2", "A3", "A4 "]))) for _ in range(25)]
+    rows["ramo"] = [(1,), (2,), (3,), (3,)]
+    rows["ramo_equivalencia"] = [(1, 100), (2, 200), (3, 300), (3, 100)]
+    rows["tipo_cliente"] = [(100, 5), (300, 6), (300, 8)]
+    rows["cliente"] = [
+        (c, f"N{c}", "L", "1", "C", "30", maybe(Decimal(r.choice([0, 0, 5, -34]))), maybe(Decimal(r.choice([0, 1]))),
+         maybe(hot([1, 2, 3, 9])), r.choice(["A", "A", "B"]))
+        for c in [*customers, 3]
+    ]
+    rows["venta"] = [
+        (*v, maybe(hot(customers)), maybe(r.choice([7, 8, 99])), maybe(r.choice([1, 2, 9])),
+         maybe(r.choice(["NC1", "FA1"])), maybe(DAY))
+        for v in [*vouchers, vouchers[1]]
+    ]
+    rows["item_venta"] = [
+        (*hot(vouchers), maybe(hot(articles)), maybe(Decimal(r.randrange(-9, 10))), maybe(Decimal(r.randrange(-4, 5)) / 2))
+        for _ in range(lines)
+    ]
+    rows["stockhistorico"] = [
+        (maybe(hot(articles)), r.choice(days), r.choice([0, 0, 1]), maybe(Decimal(r.randrange(-40000, 90000)) / 10000))
+        for _ in range(lines)
+    ]
+    return rows
