@@ -7,7 +7,7 @@ derived from a given one and grows with it, apart from the two return reasons.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,6 +139,7 @@ _schemas: dict[str, StructType] = {}
 def sample_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """All base tables over the test tables in ``folder``."""
 
+    @cache
     def given(name: str) -> DataFrame:
         path = f"{folder}/{name}.parquet"
         if path not in _schemas:
