@@ -12,11 +12,12 @@ Tables = Mapping[str, DataFrame]
 EXCLUDED_ARTICLE = 100000072  # fixed value: article left out of the unit-based extracts
 
 
-def products(t: Tables, supplier: int, excluded_article: int | None = None) -> DataFrame:
+def products(t: Tables, supplier: int, excluded_article: int | str | None = None) -> DataFrame:
     """Articles of a supplier still on sale, under the supplier's own product code."""
     articles = t["articulo"].filter((F.col("prove") == supplier) & (F.col("baja") == 0))
     if excluded_article is not None:
-        articles = articles.filter(F.col("codigo") != excluded_article)
+        code = F.lit(excluded_article).cast(articles.schema["codigo"].dataType)  # codes may be numbers or text
+        articles = articles.filter(F.col("codigo") != code)
     return articles.select(
         F.col("codigo").alias("cod_art"), F.col("codigoprov").alias("IdProducto"), "uxb", "uxbcompra"
     )

@@ -51,6 +51,25 @@ def pending(packages: DataFrame, sent: DataFrame, as_of: Day, max_age: int = MAX
     return skip_delivered(recent, sent)
 
 
+def calendar(
+    spark: SparkSession,
+    as_of: dt.date,
+    day_offset: int = -1,
+    max_age: int = MAX_AGE_DAYS,
+    kinds: tuple[str, ...] = RETRIED_KINDS,
+) -> DataFrame:
+    """The packages that runs of the last ``max_age`` days and of the run date should have made."""
+    return (
+        spark.range(max_age + 1)
+        .select(F.date_sub(day(as_of), F.col("id").cast("int")).alias("created"))
+        .select(
+            F.explode(F.array(*map(F.lit, kinds))).alias("kind"),
+            F.date_add("created", day_offset).alias("business_date"),
+            "created",
+        )
+    )
+
+
 def mark_delivered(sent: DataFrame, now_sent: DataFrame) -> DataFrame:
     """The ledger with the new rows in place of older rows of the same packages."""
     return skip_delivered(sent, now_sent).unionByName(now_sent)
@@ -68,7 +87,11 @@ def advance_sequence(numbering: DataFrame, series: Series = ADVANCED_SERIES, ste
     )
 
 
-def units_extracts(t: Tables, supplier: int, business_date: dt.date) -> Mapping[Kind, Callable[[], DataFrame]]:
+Extracts = Mapping[Kind, Callable[[], DataFrame]]
+ExtractsOf = Callable[[Tables, int, dt.date], Extracts]
+
+
+def units_extracts(t: Tables, supplier: int, business_date: dt.date) -> Extracts:
     """The daily datasets in units, sales of the one day."""
     one_day = {"supplier": supplier, "start": business_date, "end": business_date}
     return {
@@ -78,7 +101,7 @@ def units_extracts(t: Tables, supplier: int, business_date: dt.date) -> Mapping[
     }
 
 
-def boxes_extracts(t: Tables, supplier: int, business_date: dt.date) -> Mapping[Kind, Callable[[], DataFrame]]:
+def boxes_extracts(t: Tables, supplier: int, business_date: dt.date) -> Extracts:
     """The daily datasets with stock in purchase boxes, sales from the day on."""
     return {
         SALES: lambda: sales.sales_since(t, supplier=supplier, start=business_date),
@@ -101,13 +124,22 @@ def save_state(table: DataFrame, root: str, name: str, as_of: dt.date) -> None:
     write_partitions(table.withColumn("run_date", day(as_of)), f"{root}/state/{name}", "run_date")
 
 
+def _packages(spark: SparkSession, packages: list[tuple[str, dt.date]]) -> DataFrame:
+    return spark.createDataFrame(packages, "kind string, business_date date")
+
+
+def _record(spark: SparkSession, root: str, packages: list[tuple[str, dt.date]]) -> None:
+    if packages:
+        record_delivery(_packages(spark, packages).withColumn("sent_at", F.localtimestamp()), root)
+
+
 def daily_run(
     spark: SparkSession,
     t: Tables,
     root: str,
     as_of: dt.date,
     day_offset: int = -1,
-    extracts: Callable[[Tables, int, dt.date], Mapping[Kind, Callable[[], DataFrame]]] = units_extracts,
+    extracts: ExtractsOf = units_extracts,
     series: Series = ADVANCED_SERIES,
     once_a_day: bool = True,
 ) -> Mapping[str, Mapping[str, Decimal]]:
@@ -127,18 +159,41 @@ def daily_run(
     supplier = config_row(config)["codigo_proveedor"]
     business_date = as_of + dt.timedelta(days=day_offset)
 
-    datasets = {kind.name: (kind, build) for kind, build in extracts(t, supplier, business_date).items()}
-    planned = spark.createDataFrame([(name, business_date) for name in datasets], "kind string, business_date date")
-    missing = [r["kind"] for r in skip_delivered(planned, ledger(spark, root)).collect()]
+    datasets = extracts(t, supplier, business_date)
+    planned = _packages(spark, [(kind.name, business_date) for kind in datasets])
+    missing = {r["kind"] for r in skip_delivered(planned, ledger(spark, root)).collect()}
     controls = {
-        name: deliver(build(), root, kind, business_date)
-        for name, (kind, build) in datasets.items()
-        if name in missing
+        kind.name: deliver(build(), root, kind, business_date)
+        for kind, build in datasets.items()
+        if kind.name in missing
     }
-
-    if missing:
-        sent = planned.filter(F.col("kind").isin(missing))
-        record_delivery(sent.withColumn("sent_at", F.localtimestamp()), root)
+    _record(spark, root, [(name, business_date) for name in controls])
     save_state(advance_sequence(numbering, series), root, "numeracion", as_of)
     save_state(stamp_run_date(config, as_of), root, "configuracion", as_of)
     return controls
+
+
+def run_backlog(
+    spark: SparkSession,
+    t: Tables,
+    root: str,
+    as_of: dt.date,
+    day_offset: int = -1,
+    extracts: ExtractsOf = units_extracts,
+) -> Mapping[tuple[str, dt.date], Mapping[str, Decimal]]:
+    """Deliver the stock and sales packages of the last days that are not in the ledger yet.
+
+    Package by package, each recorded as soon as it is verified; the run date
+    and the sequence stay as they are.
+    """
+    config = state(t["configuracion"], root, "configuracion", as_of)
+    t = {**t, "configuracion": config, "numeracion": state(t["numeracion"], root, "numeracion", as_of)}
+    supplier = config_row(config)["codigo_proveedor"]
+    waiting = pending(calendar(spark, as_of, day_offset), ledger(spark, root), as_of).collect()
+    controls = {}
+    for package in sorted(waiting, key=lambda r: (r["business_date"], r["kind"])):
+        name, business_date = package["kind"], package["business_date"]
+        [(kind, build)] = [(k, b) for k, b in extracts(t, supplier, business_date).items() if k.name == name]
+        controls[name, business_date] = deliver(build(), root, kind, business_date)
+        _record(spark, root, [(name, business_date)])
+    return controls

@@ -124,7 +124,7 @@ def sales_range(
     supplier: int,
     start: Day | Column,
     end: Day | Column,
-    excluded_article: int | None = EXCLUDED_ARTICLE,
+    excluded_article: int | str | None = EXCLUDED_ARTICLE,
 ) -> DataFrame:
     """Net units per voucher and supplier product code, with the seller's name."""
     sold, reason, customer, branch_type, seller = broadcast_small(

@@ -60,7 +60,7 @@ def inventory_units(
     supplier: int,
     start: Day | Column,
     end: Day | Column,
-    excluded_article: int | None = EXCLUDED_ARTICLE,
+    excluded_article: int | str | None = EXCLUDED_ARTICLE,
 ) -> DataFrame:
     """Whole units per supplier product code, never below zero."""
     stocked = products(t, supplier, excluded_article)

@@ -9,6 +9,7 @@ from decimal import Decimal
 import brute
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from small import DAY, edge_rows, frames, random_rows, records
 
 from despacho.operators import joins
@@ -115,3 +116,12 @@ def test_ambiguous_package_number_is_an_error_and_a_missing_one_is_null(spark):
         customers.customer_master(frames(spark, tables)).collect()
     tables["numeracion"] = []
     assert {r["IdPaquete"] for r in customers.customer_master(frames(spark, tables)).collect()} == {None}
+
+
+def test_text_article_codes(spark):
+    tables = edge_rows()
+    want = brute.stock(records(tables), 3, DAY, DAY, ARTICLE, False, False)
+    t = frames(spark, tables)
+    t["articulo"] = t["articulo"].withColumn("codigo", F.col("codigo").cast("string"))
+    t["stockhistorico"] = t["stockhistorico"].withColumn("articulo_codigo", F.col("articulo_codigo").cast("string"))
+    assert rows(stock.inventory_units(t, supplier=3, start=DAY, end=DAY)) == want

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from small import DAY, edge_rows, frames
 
+from despacho import __main__ as command_line
 from despacho.operators.lookups import Series, config_row, package_number
 from despacho.plans import delivery, runs, stock
 from despacho.session import shared_folder
@@ -132,5 +133,39 @@ def test_failed_run_moves_nothing_and_can_be_repeated(spark, tables, tmp_path):
     assert sorted(runs.daily_run(spark, tables, root, AS_OF)) == ["inv", "mc", "vta"]
 
 
+def test_calendar(spark):
+    got = tuples(runs.calendar(spark, AS_OF, max_age=1))
+    before = DAY - dt.timedelta(days=1)
+    assert got == [("inv", before, DAY), ("inv", DAY, AS_OF), ("vta", before, DAY), ("vta", DAY, AS_OF)]
+
+
+def test_backlog_delivers_what_the_ledger_lacks(spark, tables, tmp_path):
+    root = str(tmp_path)
+    runs.daily_run(spark, tables, root, AS_OF)
+    later = AS_OF + dt.timedelta(days=1)
+    days = [AS_OF - dt.timedelta(days=n) for n in range(4)]
+    done = runs.run_backlog(spark, tables, root, later)
+    assert sorted(done) == sorted((k, d) for k in ("inv", "vta") for d in days if d != DAY)
+    assert done["vta", AS_OF]["CantRegistros"] == 1
+    assert runs.run_backlog(spark, tables, root, later) == {}
+    assert delivery.ledger(spark, root).count() == 9
+    number = {r["tiponum"]: r["numero"] for r in runs.state(tables["numeracion"], root, "numeracion", later).collect()}
+    assert number["JJ"] == 8
+
+
+def test_command_line(spark, tables, tmp_path, capsys):
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/tables/{name}")
+    folder = ["--tables", f"{tmp_path}/tables"]
+    command_line.main(["daily", *folder, "--root", f"{tmp_path}/out", "--as-of", "2023-05-11"])
+    printed = capsys.readouterr().out
+    assert [line.split()[0] for line in printed.splitlines()] == ["vta", "inv", "mc"]
+    command_line.main(["backlog", *folder, "--root", f"{tmp_path}/out", "--as-of", "2023-05-11", "--variant", "boxes"])
+    assert delivery.ledger(spark, f"{tmp_path}/out").count() == 9
+    for name in command_line.REPORTS:
+        command_line.main(["report", name, *folder, "--start", "2023-05-10", "--output", f"{tmp_path}/{name}"])
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() > 0
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
