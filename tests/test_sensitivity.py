@@ -29,7 +29,6 @@ CHANGES = {
         ("coalesce(tc.codigo, 8)", "tc.codigo"),
         ("when 'NC' then v.referencia else '' end, '')", "when 'NC' then v.referencia else '' end, null)"),
         ("'ND' then 'DE'", "'ND' then 'OR'"),
-        ("art.inv_uxbcompra", "1"),
         ("numero + 1", "numero"),
     ],
     "sales_since": [
