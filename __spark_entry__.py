@@ -108,8 +108,7 @@ def _unit_conversion(t: Tables) -> DataFrame:
     [articles] = broadcast_small(articles)
     in_boxes = converted(F.col("cantidad"), F.col("uxb"), F.col("uxbcompra"))
     return (
-        t["item_venta"]
-        .join(articles, "cod_art")
+        articles.join_to(t["item_venta"], "cod_art")
         .groupBy(F.col("codigoprov").alias("IdProducto"))
         .agg(F.sum(in_boxes).cast(TOTAL).alias("converted"), F.sum("cantidad_uni").cast(TOTAL).alias("units"))
     )
@@ -143,25 +142,17 @@ def _associated_vouchers(t: Tables) -> DataFrame:
 
 def _customer_types(t: Tables) -> DataFrame:
     [branch_type] = broadcast_small(dimensions.branch_types(t, required=False))
-    return (
-        dimensions.customers(t)
-        .join(branch_type, "ramo")
-        .select(
-            F.col("cod_cli").alias("IdCliente"),
-            vouchers.customer_type_or_default(F.col("tipo")).alias("IdTipoDeCliente"),
-            F.col("tipo").alias("tipo_sin_defecto"),
-        )
+    return branch_type.join_to(dimensions.customers(t), "ramo").select(
+        F.col("cod_cli").alias("IdCliente"),
+        vouchers.customer_type_or_default(F.col("tipo")).alias("IdTipoDeCliente"),
+        F.col("tipo").alias("tipo_sin_defecto"),
     )
 
 
 def _voucher_reasons(t: Tables) -> DataFrame:
     reason, seller = broadcast_small(dimensions.reasons(t), dimensions.sellers(t))
-    return (
-        t["venta"]
-        .join(reason, "motivodev", "left")
-        .join(seller, "cod_ven", "left")
-        .select("comprobante", "motivo", "vendedor")
-    )
+    with_reason = reason.join_to(t["venta"], "motivodev", "left")
+    return seller.join_to(with_reason, "cod_ven", "left").select("comprobante", "motivo", "vendedor")
 
 
 def _delivery_roundtrip(t: Tables) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
@@ -30,14 +31,36 @@ def measured_bytes(*frames: DataFrame) -> list[int]:
     return [by_frame.get(i, 0) for i in range(len(frames))]
 
 
-def broadcast_small(*frames: DataFrame, limit: int | None = None) -> list[DataFrame]:
+@dataclass(frozen=True)
+class Dimension:
+    """A measured dimension: its rows, hinted for broadcast if they are few enough."""
+
+    rows: DataFrame
+    small: bool
+
+    def join_to(self, facts: DataFrame, key: str, how: str = "inner") -> DataFrame:
+        return facts.join(self.rows, key, how)
+
+    def thin(self, facts: DataFrame, key: str) -> DataFrame:
+        """Only facts with a match, where that costs no shuffle.
+
+        Unlike an inner join, the semi join is pushed beneath the joins that
+        ``facts`` may itself be made of, so those shuffle fewer rows.
+        """
+        return facts.join(self.rows.select(key), key, "left_semi") if self.small else facts
+
+
+def broadcast_small(*frames: DataFrame, limit: int | None = None) -> list[Dimension]:
     """Hint a broadcast on those frames that are measured to fit ``limit`` bytes.
 
     A filtered dimension is often far smaller than its files, and all that the
     planner knows beforehand is the files (for JDBC not even that): without
     the hint the fact table would be shuffled on a dimension key, where a few
-    values may hold most rows. A frame beyond the limit comes back as it is;
-    its join is a shuffle join whose hot partitions adaptive execution splits.
+    values may hold most rows. A frame beyond the limit stays as it is; its
+    join is a shuffle join whose hot partitions adaptive execution splits.
     """
     limit = BROADCAST_BYTES if limit is None else limit
-    return [F.broadcast(df) if size <= limit else df for df, size in zip(frames, measured_bytes(*frames))]
+    return [
+        Dimension(F.broadcast(df) if size <= limit else df, size <= limit)
+        for df, size in zip(frames, measured_bytes(*frames))
+    ]

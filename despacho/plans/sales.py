@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from despacho.functions import vouchers
 from despacho.functions.dates import Day, iso_text, within
 from despacho.functions.quantities import TOTAL, try_converted
-from despacho.operators.joins import broadcast_small
+from despacho.operators.joins import Dimension, broadcast_small
 from despacho.operators.lookups import distributor_code, numbering_copies, package_number
 from despacho.plans.dimensions import (
     EXCLUDED_ARTICLE,
@@ -46,15 +46,14 @@ def invoiced_vouchers(t: Tables, start: Day | Column, end: Day | Column | None)
     )
 
 
-def net_lines(t: Tables, sold: DataFrame, start: Day | Column, end: Day | Column | None) -> DataFrame:
+def net_lines(t: Tables, sold: Dimension, start: Day | Column, end: Day | Column | None) -> DataFrame:
     """Line quantities of reported vouchers summed per voucher and product of ``sold``."""
     quantity, per_box, per_purchase_box = F.col("cantidad"), F.col("uxb"), F.col("uxbcompra")
     # A zero divisor is an error only if its voucher is reported, so it is noted here and raised later.
     bad = (per_purchase_box == 0) & quantity.isNotNull() & per_box.isNotNull()
+    lines = sold.thin(t["item_venta"].filter(_reported(start, end)), "cod_art")
     return (
-        t["item_venta"]
-        .filter(_reported(start, end))
-        .join(sold, "cod_art")
+        sold.join_to(lines, "cod_art")
         .groupBy(*VOUCHER_KEY, "IdProducto")
         .agg(
             F.sum(try_converted(quantity, per_box, per_purchase_box)).alias("converted"),
@@ -108,14 +107,10 @@ def _current_columns(t: Tables, net: DataFrame, name: Column, surname: Column) -
 
 
 def _customer_headers(
-    t: Tables, start, end, reason: DataFrame, customer: DataFrame, branch_type: DataFrame
+    t: Tables, start, end, reason: Dimension, customer: Dimension, branch_type: Dimension
 ) -> DataFrame:
-    return (
-        invoiced_vouchers(t, start, end)
-        .join(reason, "motivodev", "left")
-        .join(customer, "cod_cli")
-        .join(branch_type, "ramo")
-    )
+    headers = reason.join_to(invoiced_vouchers(t, start, end), "motivodev", "left")
+    return branch_type.join_to(customer.join_to(headers, "cod_cli"), "ramo")
 
 
 def sales_range(
@@ -130,7 +125,7 @@ def sales_range(
     sold, reason, customer, branch_type, seller = broadcast_small(
         products(t, supplier, excluded_article), reasons(t), customers(t), branch_types(t, False), sellers(t)
     )
-    headers = _customer_headers(t, start, end, reason, customer, branch_type).join(seller, "cod_ven", "left")
+    headers = seller.join_to(_customer_headers(t, start, end, reason, customer, branch_type), "cod_ven", "left")
     net = _net_sales(t, headers, net_lines(t, sold, start, end), "vendedor")
     return _current_columns(t, net, F.col("vendedor"), F.col("vendedor"))
 

@@ -18,13 +18,15 @@ from despacho.plans.dimensions import EXCLUDED_ARTICLE, Tables, aliased_products
 
 def _on_hand(t: Tables, stocked: DataFrame, start, end, in_boxes: bool, scale: int) -> DataFrame:
     stock = F.col("stocktot")
-    [stocked] = broadcast_small(stocked)
     amount = in_purchase_boxes(stock, F.col("uxbcompra")) if in_boxes else fixed2(stock)
-    return (
+    snapshots = (
         t["stockhistorico"]
         .filter((F.col("deposito_id") == 0) & within(F.col("fecha"), start, end))
         .withColumnRenamed("articulo_codigo", "cod_art")
-        .join(stocked, "cod_art")
+    )
+    [dimension] = broadcast_small(stocked)
+    return (
+        dimension.join_to(snapshots, "cod_art")
         .groupBy("IdProducto", "fecha")
         .agg(F.sum(stock).alias("raw"), F.sum(amount).alias("amount"))
         .withColumn("Cantidad", floored_at_zero(F.col("raw"), F.round("amount", scale)))

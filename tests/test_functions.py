@@ -154,4 +154,10 @@ def test_broadcast_only_within_the_measured_size(spark):
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().logical().toString()
 
-    assert [hinted(df) for df in broadcast_small(small, large, limit=1000)] == [True, False]
+    dimensions = broadcast_small(small, large, limit=1000)
+    assert [d.small for d in dimensions] == [True, False]
+    assert [hinted(d.rows) for d in dimensions] == [True, False]
+    facts = spark.createDataFrame([("x" * 100,), ("y",), (None,)], "s string")
+    assert [d.thin(facts, "s").count() for d in dimensions] == [1, 3]
+    assert [d.join_to(facts, "s").count() for d in dimensions] == [1, 50]
+    assert [d.join_to(facts, "s", "left").count() for d in dimensions] == [3, 52]

@@ -72,7 +72,8 @@ def test_lines_are_summed_before_they_meet_the_vouchers(spark, monkeypatch, conf
             F.lit(1).cast("decimal(18,2)").alias("cantidad_uni"),
         )
     )
-    lines = sales.net_lines(t, dimensions.products(t, 3), "1995-01-01", "2002-01-01")
+    [sold] = joins.broadcast_small(dimensions.products(t, 3))
+    lines = sales.net_lines(t, sold, "1995-01-01", "2002-01-01")
     per_voucher = lines.groupBy(*sales.VOUCHER_KEY).agg(F.count("*").alias("rows"), F.sum("units").alias("units"))
     largest = per_voucher.orderBy(F.desc("units")).first()
     assert largest["units"] >= 29000 and largest["rows"] <= 8
@@ -99,6 +100,11 @@ def test_hot_customer_is_split_where_nothing_fits_a_broadcast(spark, conf, monke
     assert "cod_cli" in split
 
 
+def test_lines_are_thinned_beneath_the_join_of_their_view(spark):
+    plan = plan_of(entry_points.queries()["sales_range"](spark, FOLDER))
+    assert plan.index("[o_orderkey#") < plan.index("LeftSemi") < plan.index("FileScan parquet [l_orderkey")
+
+
 def test_no_dimension_is_broadcast_beyond_the_limit(spark, monkeypatch, conf):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
@@ -108,3 +114,4 @@ def test_no_dimension_is_broadcast_beyond_the_limit(spark, monkeypatch, conf):
         stock.inventory_alias_boxes(t, supplier=3, start="1998-05-01", end="1998-05-31"),
     ):
         assert "BroadcastHashJoin" not in plan_of(df)
+        assert "LeftSemi" not in plan_of(df)
