@@ -156,10 +156,13 @@ def _voucher_reasons(t: Tables) -> DataFrame:
 
 
 def _delivery_roundtrip(t: Tables) -> DataFrame:
-    """Deliver one day's stock to the shared folder; its control totals as read back."""
+    """Deliver one day's three packages to the shared folder; their control totals as read back."""
     spark = t["venta"].sparkSession
     root = f"{shared_folder(spark)}/despacho/{spark.sparkContext.applicationId}"
-    delivery.deliver(EXTRACTS["inventory_daily"](t), root, delivery.STOCK, dt.date(1998, 5, 13))
+    day = dt.date(1998, 5, 13)
+    delivery.deliver(EXTRACTS["sales_daily"](t), root, delivery.SALES, day)
+    delivery.deliver(EXTRACTS["inventory_daily"](t), root, delivery.STOCK, day)
+    delivery.deliver(EXTRACTS["customer_master"](t), root, delivery.CUSTOMERS, day)
     return delivery.verification(spark, root).select("kind", "business_date", "INDICADOR", "VALOR")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from despacho.operators.lookups import config_row
 from despacho.plans import customers, runs, sales, stock
 from despacho.plans.dimensions import Tables
-from despacho.session import PROFILE
+from despacho.session import tune
 from despacho.sources.base import parquet_tables
 
 VARIANTS = {"units": runs.units_extracts, "boxes": runs.boxes_extracts}
@@ -57,8 +57,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"despacho-{args.command}").getOrCreate()
-    for key, value in PROFILE.items():
-        spark.conf.set(key, value)
+    tune(spark)
     t = parquet_tables(spark, args.tables)
     if args.command == "report":
         supplier = config_row(t["configuracion"])["codigo_proveedor"]

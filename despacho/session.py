@@ -31,6 +31,20 @@ def build_session(app: str, cpus: int, **settings: str) -> SparkSession:
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the profile to a cluster's session and size its shuffles.
+
+    Adaptive execution joins small shuffle partitions but does not add any, so
+    it starts from three per core unless the session names a number itself.
+    """
+    for key, value in PROFILE.items():
+        spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    configured = {"spark.sql.shuffle.partitions", initial} & dict(spark.sparkContext.getConf().getAll()).keys()
+    if not configured:
+        spark.conf.set(initial, str(max(200, 3 * spark.sparkContext.defaultParallelism)))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

@@ -12,7 +12,7 @@ from small import DAY, edge_rows, frames
 from despacho import __main__ as command_line
 from despacho.operators.lookups import Series, config_row, package_number
 from despacho.plans import delivery, runs, stock
-from despacho.session import shared_folder
+from despacho.session import shared_folder, tune
 
 AS_OF = DAY + dt.timedelta(days=1)
 
@@ -167,5 +167,12 @@ def test_command_line(spark, tables, tmp_path, capsys):
         assert spark.read.parquet(f"{tmp_path}/{name}").count() > 0
 
 
+def test_tune_keeps_the_sessions_own_shuffle_number(spark):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    tune(spark)  # the test session names spark.sql.shuffle.partitions
+    assert spark.conf.get(initial, None) is None
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
