@@ -45,16 +45,21 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(initial, str(max(200, 3 * spark.sparkContext.defaultParallelism)))
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
     Only a local session may go without the setting; it then gets a temporary
-    folder, which is set on the session so that later calls agree.
+    folder, the same one throughout the application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="despacho-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="despacho-")
+        folder = _local_folders[application]
     return folder.rstrip("/")

@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         "despacho-tests",
         8,
         **{
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

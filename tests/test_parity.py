@@ -9,6 +9,7 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry_points
+from despacho.sources.sample import sample_tables
 
 QUERIES = entry_points.queries()
 TEXTS = entry_points.oracle_sql()
@@ -39,3 +40,27 @@ def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[0] == "IdDistribuidor" and df.columns[-1] == "MotivoCR"
     assert df.count() == 21
+
+
+KEYS = {
+    "venta": ["comprobante", "fecha", "empresa_id"],
+    "articulo": ["codigo"],
+    "sinonimo": ["codigoart"],
+    "cliente": ["codigo"],
+    "ramo": ["codigo"],
+    "ramo_equivalencia": ["codigo"],
+    "tipo_cliente": ["id"],
+    "vendedor": ["codigo"],
+    "motivo": ["codigo"],
+    "numeracion": ["sucursal", "tiponum", "letra", "empresa_id"],
+    "configuracion": ["codigo"],
+}
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_keys_of_the_sample_are_unique(spark, name):
+    """A repeated key would multiply the sums, in the definitions too."""
+    df = sample_tables(spark, str(TESTDATA / "sf0.01"))[name]
+    assert df.groupBy(*KEYS[name]).count().filter("count > 1").isEmpty()
+    if name == "numeracion":
+        assert df.filter("tiponum = 'BD'").count() == 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,5 +175,18 @@ def test_tune_keeps_the_sessions_own_shuffle_number(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+class Session:
+    """As much of a session as the shared folder asks for."""
+
+    def __init__(self, master: str, folder: str | None = None):
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app")
+        self.conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+
+
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_folder(Session("k8s://cluster", "s3a://shared/")) == "s3a://shared"
+    assert shared_folder(Session("local[2]")) == shared_folder(Session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session("k8s://cluster"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or shared_folder(spark) == named.rstrip("/")
