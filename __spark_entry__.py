@@ -21,7 +21,7 @@ from despacho.operators.joins import broadcast_small
 from despacho.operators.lookups import MAIN_CONFIG, distributor_code, package_number
 from despacho.plans import customers, delivery, dimensions, runs, sales, stock
 from despacho.plans.dimensions import Tables
-from despacho.session import shared_folder
+from despacho.session import shared_folder, split_hot_keys_early
 from despacho.sources.sample import sample_ledger, sample_packages, sample_tables
 
 SUPPLIER = 3
@@ -188,7 +188,11 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def _over_sample(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: plan(sample_tables(spark, sf_dir))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        split_hot_keys_early(spark)
+        return plan(sample_tables(spark, sf_dir))
+
+    return query
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -6,12 +6,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Sizes are of compressed rows, and the rows of a hot key compress well: split them early.
+SPLIT_EARLY = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
+}
 PROFILE = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    **SPLIT_EARLY,
 }
 
 
@@ -31,6 +38,13 @@ def build_session(app: str, cpus: int, **settings: str) -> SparkSession:
     return spark
 
 
+def split_hot_keys_early(spark: SparkSession) -> None:
+    """Let adaptive joins split hot partitions from 32 MB on, unless the session says otherwise."""
+    for key, value in SPLIT_EARLY.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def tune(spark: SparkSession) -> None:
     """Apply the profile to a cluster's session and size its shuffles.
 

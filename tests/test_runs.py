@@ -13,7 +13,7 @@ from small import DAY, edge_rows, frames
 from despacho import __main__ as command_line
 from despacho.operators.lookups import Series, config_row, package_number
 from despacho.plans import delivery, runs, stock
-from despacho.session import shared_folder, tune
+from despacho.session import SPLIT_EARLY, shared_folder, split_hot_keys_early, tune
 
 AS_OF = DAY + dt.timedelta(days=1)
 
@@ -175,6 +175,16 @@ def test_tune_keeps_the_sessions_own_shuffle_number(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_early_split_respects_the_session(spark, conf):
+    first, *rest = SPLIT_EARLY
+    conf(**{first.replace(".", "__"): "77MB"})
+    for key in rest:
+        spark.conf.unset(key)
+    split_hot_keys_early(spark)
+    assert spark.conf.get(first) == "77MB"
+    assert [spark.conf.get(key) for key in rest] == [SPLIT_EARLY[key] for key in rest]
+
+
 class Session:
     """As much of a session as the shared folder asks for."""
 
