@@ -1,9 +1,10 @@
 """Net sales by voucher and product.
 
 Lines meet the products first, which leaves one supplier's lines, and are
-summed per voucher and product before they are shuffled to the vouchers: a voucher that holds a large part of all lines arrives as a handful
-of rows per product. The join equates date and voucher number, so the
-conditions on them are put on the lines as well.
+summed per voucher and product before they are shuffled to the vouchers: a
+voucher that holds a large part of all lines arrives as one row per product.
+The join equates date and voucher number, so the conditions on them are put on
+the lines as well.
 """
 
 from __future__ import annotations
@@ -107,8 +108,14 @@ def _current_columns(t: Tables, net: DataFrame, name: Column, surname: Column) -
 
 
 def _customer_headers(
-    t: Tables, start, end, reason: Dimension, customer: Dimension, branch_type: Dimension
+    t: Tables,
+    start: Day | Column,
+    end: Day | Column | None,
+    reason: Dimension,
+    customer: Dimension,
+    branch_type: Dimension,
 ) -> DataFrame:
+    """Reported vouchers of known customers, with reason and customer type."""
     headers = reason.join_to(invoiced_vouchers(t, start, end), "motivodev", "left")
     return branch_type.join_to(customer.join_to(headers, "cod_cli"), "ramo")
 

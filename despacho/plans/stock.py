@@ -16,7 +16,10 @@ from despacho.operators.lookups import distributor_code, package_number
 from despacho.plans.dimensions import EXCLUDED_ARTICLE, Tables, aliased_products, products
 
 
-def _on_hand(t: Tables, stocked: DataFrame, start, end, in_boxes: bool, scale: int) -> DataFrame:
+def _on_hand(
+    t: Tables, stocked: DataFrame, start: Day | Column, end: Day | Column, in_boxes: bool, scale: int
+) -> DataFrame:
+    """Quantity per product of ``stocked`` and day, rounded to ``scale`` and never below zero."""
     stock = F.col("stocktot")
     amount = in_purchase_boxes(stock, F.col("uxbcompra")) if in_boxes else fixed2(stock)
     snapshots = (

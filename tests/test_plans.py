@@ -57,6 +57,7 @@ def test_dates_on_stored_lines_reach_their_scan(spark, tmp_path):
     t["item_venta"] = spark.read.parquet(f"{tmp_path}/item_venta")
     plan = plan_of(sales.sales_range(t, supplier=3, start="1/4/1998", end="30/6/1998"))
     assert "GreaterThanOrEqual(fecha,1998-04-01)" in plan
+    assert "StringStartsWith(comprobante,PE)" in plan
     assert "ReadSchema: struct<comprobante:string,fecha:date,empresa_id:int,cod_art:bigint,cantidad:decimal(18,2),cantidad_uni:decimal(18,2)>" in plan
 
 
