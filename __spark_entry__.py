@@ -141,8 +141,8 @@ def _associated_vouchers(t: Tables) -> DataFrame:
 
 
 def _customer_types(t: Tables) -> DataFrame:
-    [branch_type] = broadcast_small(dimensions.branch_types(t, required=False))
-    return branch_type.join_to(dimensions.customers(t), "ramo").select(
+    types = broadcast_small(*dimensions.type_dimensions(t))
+    return dimensions.with_type(dimensions.customers(t), *types, required=False).select(
         F.col("cod_cli").alias("IdCliente"),
         vouchers.customer_type_or_default(F.col("tipo")).alias("IdTipoDeCliente"),
         F.col("tipo").alias("tipo_sin_defecto"),

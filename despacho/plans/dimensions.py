@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from despacho.operators.joins import Dimension
+
 Tables = Mapping[str, DataFrame]
 
 EXCLUDED_ARTICLE = 100000072  # fixed value: article left out of the unit-based extracts
@@ -41,13 +43,19 @@ def customers(t: Tables) -> DataFrame:
     return t["cliente"].select(F.col("codigo").alias("cod_cli"), "ramo")
 
 
-def branch_types(t: Tables, required: bool) -> DataFrame:
-    """Known branches with the receiver's type code; without one NULL, or no row if ``required``."""
+def type_dimensions(t: Tables) -> list[DataFrame]:
+    """The three steps from a customer's branch to the receiver's type: branch, mapping, type."""
+    return [
+        t["ramo"].select(F.col("codigo").alias("ramo")),
+        t["ramo_equivalencia"].select(F.col("codigo").alias("ramo"), "id_tipo"),
+        t["tipo_cliente"].select(F.col("id").alias("id_tipo"), F.col("codigo").alias("tipo")),
+    ]
+
+
+def with_type(facts: DataFrame, branch: Dimension, mapping: Dimension, kind: Dimension, required: bool) -> DataFrame:
+    """Facts of known branches with the type code; without one it is NULL, or the row drops out if ``required``."""
     how = "inner" if required else "left"
-    branch = t["ramo"].select(F.col("codigo").alias("ramo"))
-    bridge = t["ramo_equivalencia"].select(F.col("codigo").alias("ramo"), "id_tipo")
-    kind = t["tipo_cliente"].select(F.col("id").alias("id_tipo"), F.col("codigo").alias("tipo"))
-    return branch.join(bridge, "ramo", how).join(kind, "id_tipo", how).select("ramo", "tipo")
+    return kind.join_to(mapping.join_to(branch.join_to(facts, "ramo"), "ramo", how), "id_tipo", how)
 
 
 def reasons(t: Tables) -> DataFrame:

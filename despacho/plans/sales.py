@@ -21,11 +21,12 @@ from despacho.plans.dimensions import (
     EXCLUDED_ARTICLE,
     Tables,
     aliased_products,
-    branch_types,
     customers,
     products,
     reasons,
     sellers,
+    type_dimensions,
+    with_type,
 )
 
 VOUCHER_KEY = ["comprobante", "fecha", "empresa_id"]
@@ -113,11 +114,12 @@ def _customer_headers(
     end: Day | Column | None,
     reason: Dimension,
     customer: Dimension,
-    branch_type: Dimension,
+    types: list[Dimension],
+    type_required: bool,
 ) -> DataFrame:
     """Reported vouchers of known customers, with reason and customer type."""
     headers = reason.join_to(invoiced_vouchers(t, start, end), "motivodev", "left")
-    return branch_type.join_to(customer.join_to(headers, "cod_cli"), "ramo")
+    return with_type(customer.join_to(headers, "cod_cli"), *types, required=type_required)
 
 
 def sales_range(
@@ -129,30 +131,31 @@ def sales_range(
     excluded_article: int | str | None = EXCLUDED_ARTICLE,
 ) -> DataFrame:
     """Net units per voucher and supplier product code, with the seller's name."""
-    sold, reason, customer, branch_type, seller = broadcast_small(
-        products(t, supplier, excluded_article), reasons(t), customers(t), branch_types(t, False), sellers(t)
+    sold, seller, reason, customer, *types = broadcast_small(
+        products(t, supplier, excluded_article), sellers(t), reasons(t), customers(t), *type_dimensions(t)
     )
-    headers = seller.join_to(_customer_headers(t, start, end, reason, customer, branch_type), "cod_ven", "left")
+    headers = _customer_headers(t, start, end, reason, customer, types, type_required=False)
+    headers = seller.join_to(headers, "cod_ven", "left")
     net = _net_sales(t, headers, net_lines(t, sold, start, end), "vendedor")
     return _current_columns(t, net, F.col("vendedor"), F.col("vendedor"))
 
 
 def sales_since(t: Tables, *, supplier: int, start: Day | Column) -> DataFrame:
     """As ``sales_range`` from a day on, every article, without seller lookup."""
-    sold, reason, customer, branch_type = broadcast_small(
-        products(t, supplier), reasons(t), customers(t), branch_types(t, False)
+    sold, reason, customer, *types = broadcast_small(
+        products(t, supplier), reasons(t), customers(t), *type_dimensions(t)
     )
-    headers = _customer_headers(t, start, None, reason, customer, branch_type)
+    headers = _customer_headers(t, start, None, reason, customer, types, type_required=False)
     net = _net_sales(t, headers, net_lines(t, sold, start, None))
     return _current_columns(t, net, F.lit(SELLER_NAME), F.lit(SELLER_SURNAME))
 
 
 def sales_by_alias(t: Tables, *, supplier: int, start: Day | Column, end: Day | Column) -> DataFrame:
     """Net quantity in purchase boxes per voucher and product alias; customer type required."""
-    sold, reason, customer, branch_type = broadcast_small(
-        aliased_products(t, supplier), reasons(t), customers(t), branch_types(t, True)
+    sold, reason, customer, *types = broadcast_small(
+        aliased_products(t, supplier), reasons(t), customers(t), *type_dimensions(t)
     )
-    headers = _customer_headers(t, start, end, reason, customer, branch_type)
+    headers = _customer_headers(t, start, end, reason, customer, types, type_required=True)
     net = _net_sales(t, headers, net_lines(t, sold, start, end))
     voucher = F.col("comprobante")
     return net.filter(F.col("converted") != 0).select(

@@ -30,6 +30,7 @@ def build_session(app: str, cpus: int, **settings: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**PROFILE, **settings}.items():
         builder = builder.config(key, value)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from small import DAY, edge_rows, frames
 
 from despacho.plans import stock
-from despacho.sources.base import COLUMNS, conform, jdbc_options, parquet_tables
+from despacho.sources.base import COLUMNS, conform, jdbc_options, jdbc_table, parquet_tables
 from despacho.sources.sample import sample_tables
 
 
@@ -41,6 +43,39 @@ def test_jdbc_options():
     assert options["queryTimeout"] == "3600" and options["dbtable"] == "venta" and options["user"] == "u"
 
 
+def test_jdbc_table_reads_in_parallel(spark):
+    """The reader is a stand-in that records its options; there is no database in the tests."""
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def load(self):
+            return spark.sql("select 1 as Codigo, 'x' as Descripcion")
+
+    df = jdbc_table(
+        SimpleNamespace(read=Reader()), "motivo", "jdbc:sqlserver://host", "dbo.motivo", split=("codigo", 0, 100, 8)
+    )
+    assert df.columns == ["codigo", "descripcion"]
+    assert seen == {
+        "format": "jdbc",
+        "url": "jdbc:sqlserver://host",
+        "dbtable": "dbo.motivo",
+        "queryTimeout": "3600",
+        "fetchsize": "10000",
+        "partitionColumn": "codigo",
+        "lowerBound": "0",
+        "upperBound": "100",
+        "numPartitions": "8",
+    }
+
+
 def test_sample_tables_open_only_what_is_used(spark):
     t = sample_tables(spark, "/nowhere")
     assert set(t) == set(COLUMNS)
