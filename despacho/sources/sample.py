@@ -176,11 +176,11 @@ def _conformed(name: str, build: Callable[[], DataFrame]) -> DataFrame:
 
 def sample_packages(t: Mapping[str, DataFrame], as_of: str) -> DataFrame:
     """Packages created by ``as_of``: one per kind and business date in the vouchers or the stock."""
-    sold = t["venta"].select(F.explode(F.array(F.lit("vta"), F.lit("mc"))).alias("kind"), "fecha")
-    stocked = t["stockhistorico"].select(F.lit("inv").alias("kind"), "fecha")
+    sold = t["venta"].select("fecha").distinct()
+    stocked = t["stockhistorico"].select("fecha").distinct()
     packages = (
-        sold.distinct()
-        .unionByName(stocked.distinct())
+        sold.select(F.explode(F.array(F.lit("vta"), F.lit("mc"))).alias("kind"), "fecha")
+        .unionByName(stocked.select(F.lit("inv").alias("kind"), "fecha"))
         .select(
             "kind",
             F.col("fecha").alias("business_date"),
