@@ -39,8 +39,9 @@ def _venta(orders: DataFrame) -> DataFrame:
 
 def _item_venta(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     # Each order once per possible date, so that a condition on fecha thins the orders before the join.
-    dated = orders.selectExpr("o_orderkey", "o_orderdate", "o_orderpriority", "explode(array(0, 1)) as late").selectExpr(
-        "o_orderkey", "late", "date_add(cast(o_orderdate as date), late) as fecha", VOUCHER
+    day = "cast(o_orderdate as date)"
+    dated = orders.selectExpr("o_orderkey", "0 as late", f"{day} as fecha", VOUCHER).unionAll(
+        orders.selectExpr("o_orderkey", "1 as late", f"date_add({day}, 1) as fecha", VOUCHER)
     )
     lines = lineitem.selectExpr(
         "l_orderkey as o_orderkey",
