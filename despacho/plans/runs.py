@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from dataclasses import asdict
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
 
 from despacho.functions.dates import Day, age_in_days, day
-from despacho.operators.lookups import ADVANCED_SERIES, MAIN_CONFIG, Series, config_row
+from despacho.operators.lookups import ADVANCED_SERIES, MAIN_CONFIG, Series, config_row, package_number
 from despacho.plans import customers, sales, stock
 from despacho.plans.delivery import (
     CUSTOMERS,
@@ -110,18 +110,41 @@ def boxes_extracts(t: Tables, supplier: int, business_date: dt.date) -> Extracts
     }
 
 
-def state(table: DataFrame, root: str, name: str, as_of: dt.date, before: bool = False) -> DataFrame:
-    """The newest version of a state table up to (or before) ``as_of``, else ``table`` itself."""
-    dated = StructType([*table.schema.fields, StructField("run_date", DateType())])
-    versions = read_partitions(table.sparkSession, f"{root}/state/{name}", dated)
+def run_log(spark: SparkSession, root: str) -> DataFrame:
+    """One row per run date: the number its series was advanced to."""
+    columns = "sucursal int, tiponum string, letra string, empresa_id int, numero bigint, run_date date"
+    return read_partitions(spark, f"{root}/runs", columns)
+
+
+def config_at(config: DataFrame, root: str, as_of: dt.date) -> DataFrame:
+    """The configuration stamped with the last run up to ``as_of``."""
+    log = run_log(config.sparkSession, root).filter(F.col("run_date") <= day(as_of))
+    last = log.agg(F.max("run_date").alias("run_date")).first()["run_date"]
+    return config if last is None else stamp_run_date(config, last)
+
+
+def numbering_at(
+    numbering: DataFrame, root: str, as_of: dt.date, series: Series = ADVANCED_SERIES, before: bool = False
+) -> DataFrame:
+    """The numbering table with the number the last run up to (or before) ``as_of`` gave the series."""
     run_date = F.col("run_date")
-    versions = versions.filter(run_date < day(as_of) if before else run_date <= day(as_of))
-    newest = versions.agg(F.max(run_date).alias("run_date")).first()["run_date"]
-    return table if newest is None else versions.filter(run_date == day(newest)).drop("run_date")
+    log = run_log(numbering.sparkSession, root).filter(
+        series.matches() & (run_date < day(as_of) if before else run_date <= day(as_of))
+    )
+    number = log.agg(F.max_by("numero", "run_date").alias("numero")).first()["numero"]
+    if number is None:
+        return numbering
+    current = F.lit(number).cast(numbering.schema["numero"].dataType)
+    return numbering.withColumn("numero", F.when(series.matches(), current).otherwise(F.col("numero")))
 
 
-def save_state(table: DataFrame, root: str, name: str, as_of: dt.date) -> None:
-    write_partitions(table.withColumn("run_date", day(as_of)), f"{root}/state/{name}", "run_date")
+def record_run(numbering: DataFrame, root: str, as_of: dt.date, series: Series) -> None:
+    """Stamp the run date and advance the series, in one write."""
+    spark = numbering.sparkSession
+    key = [F.lit(value).alias(name) for name, value in asdict(series).items()]
+    advanced = package_number(advance_sequence(numbering, series), 0, series)
+    row = spark.range(1).select(*key, advanced.cast("bigint").alias("numero"), day(as_of).alias("run_date"))
+    write_partitions(row, f"{root}/runs", "run_date")
 
 
 def _packages(spark: SparkSession, packages: list[tuple[str, dt.date]]) -> DataFrame:
@@ -145,14 +168,14 @@ def daily_run(
 ) -> Mapping[str, Mapping[str, Decimal]]:
     """One run: gate, build and deliver what is missing, then the bookkeeping.
 
-    Ledger, sequence and run date move, in this order, only after every package
-    is written and verified. A run that broke off can be repeated: the sequence
-    is advanced from its state before the run date, and the run date, which
-    closes the gate, is written last. Returns the control totals of the
-    packages delivered, by kind.
+    The ledger, then run date and sequence together, move only after every
+    package is written and verified. A run that broke off can be repeated: the
+    sequence is advanced from where it was before the run date. The base tables
+    stay as they are; what runs change is kept under ``root`` and laid over
+    them. Returns the control totals of the packages delivered, by kind.
     """
-    config = state(t["configuracion"], root, "configuracion", as_of)
-    numbering = state(t["numeracion"], root, "numeracion", as_of, before=True)
+    config = config_at(t["configuracion"], root, as_of)
+    numbering = numbering_at(t["numeracion"], root, as_of, series, before=True)
     t = {**t, "configuracion": config, "numeracion": numbering}
     if once_a_day and due(config, as_of).filter(F.col("codigo") == MAIN_CONFIG).isEmpty():
         return {}
@@ -168,8 +191,7 @@ def daily_run(
         if kind.name in missing
     }
     _record(spark, root, [(name, business_date) for name in controls])
-    save_state(advance_sequence(numbering, series), root, "numeracion", as_of)
-    save_state(stamp_run_date(config, as_of), root, "configuracion", as_of)
+    record_run(numbering, root, as_of, series)
     return controls
 
 
@@ -180,14 +202,15 @@ def run_backlog(
     as_of: dt.date,
     day_offset: int = -1,
     extracts: ExtractsOf = units_extracts,
+    series: Series = ADVANCED_SERIES,
 ) -> Mapping[tuple[str, dt.date], Mapping[str, Decimal]]:
     """Deliver the stock and sales packages of the last days that are not in the ledger yet.
 
     Package by package, each recorded as soon as it is verified; the run date
     and the sequence stay as they are.
     """
-    config = state(t["configuracion"], root, "configuracion", as_of)
-    t = {**t, "configuracion": config, "numeracion": state(t["numeracion"], root, "numeracion", as_of)}
+    config = config_at(t["configuracion"], root, as_of)
+    t = {**t, "configuracion": config, "numeracion": numbering_at(t["numeracion"], root, as_of, series)}
     supplier = config_row(config)["codigo_proveedor"]
     waiting = pending(calendar(spark, as_of, day_offset), ledger(spark, root), as_of).collect()
     controls = {}

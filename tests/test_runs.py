@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from small import DAY, edge_rows, frames
 
 from despacho import __main__ as command_line
-from despacho.operators.lookups import Series, config_row, package_number
+from despacho.operators.lookups import PACKAGE_SERIES, Series, config_row, package_number
 from despacho.plans import delivery, runs, stock
+from despacho.plans.customers import customer_master
 from despacho.session import SPLIT_EARLY, shared_folder, split_hot_keys_early, tune
 
 AS_OF = DAY + dt.timedelta(days=1)
@@ -107,7 +108,7 @@ def test_daily_run(spark, tables, tmp_path):
     assert runs.daily_run(spark, tables, root, AS_OF, once_a_day=False) == {}  # all delivered
 
     def number(as_of):
-        return {r["tiponum"]: r["numero"] for r in runs.state(tables["numeracion"], root, "numeracion", as_of).collect()}
+        return {r["tiponum"]: r["numero"] for r in runs.numbering_at(tables["numeracion"], root, as_of).collect()}
 
     assert number(AS_OF) == {"BD": 41, "JJ": 8, "FA": 900}  # repeated runs advanced it once
     assert number(DAY)["JJ"] == 7
@@ -115,9 +116,25 @@ def test_daily_run(spark, tables, tmp_path):
     following = AS_OF + dt.timedelta(days=1)
     assert sorted(runs.daily_run(spark, tables, root, following, extracts=runs.boxes_extracts)) == ["inv", "mc", "vta"]
     assert number(following)["JJ"] == 9
-    assert runs.state(tables["configuracion"], root, "configuracion", following).filter(
-        F.col("ult_envio") == following
-    ).count() == 2
+    for as_of, stamped in ((DAY, dt.date(2023, 5, 9)), (AS_OF, AS_OF), (following, following)):
+        assert config_row(runs.config_at(tables["configuracion"], root, as_of))["ult_envio"] == stamped
+
+
+def test_package_number_follows_when_its_own_series_is_advanced(spark, tables, tmp_path):
+    root = str(tmp_path)
+    for n in range(3):
+        runs.daily_run(spark, tables, root, AS_OF + dt.timedelta(days=n), series=PACKAGE_SERIES)
+    master = delivery.delivered(spark, root, delivery.CUSTOMERS, customer_master(tables).schema)
+    assert tuples(master.select("business_date", "IdPaquete").distinct()) == [
+        (DAY + dt.timedelta(days=n), 42 + n) for n in range(3)
+    ]
+    assert runs.run_log(spark, root).count() == 3
+
+
+def test_run_without_its_series_still_closes_the_gate(spark, tables, tmp_path):
+    root = str(tmp_path)
+    runs.daily_run(spark, tables, root, AS_OF, series=Series(9, "ZZ", "Z", 9))
+    assert runs.daily_run(spark, tables, root, AS_OF) == {}
 
 
 def test_failed_run_moves_nothing_and_can_be_repeated(spark, tables, tmp_path):
@@ -130,7 +147,7 @@ def test_failed_run_moves_nothing_and_can_be_repeated(spark, tables, tmp_path):
     with pytest.raises(Exception, match="lost"):
         runs.daily_run(spark, tables, root, AS_OF, extracts=broken)
     assert delivery.ledger(spark, root).isEmpty()
-    assert {r["numero"] for r in runs.state(tables["numeracion"], root, "numeracion", AS_OF).collect()} == {41, 7, 900}
+    assert runs.run_log(spark, root).isEmpty()
     assert sorted(runs.daily_run(spark, tables, root, AS_OF)) == ["inv", "mc", "vta"]
 
 
@@ -150,7 +167,7 @@ def test_backlog_delivers_what_the_ledger_lacks(spark, tables, tmp_path):
     assert done["vta", AS_OF]["CantRegistros"] == 1
     assert runs.run_backlog(spark, tables, root, later) == {}
     assert delivery.ledger(spark, root).count() == 9
-    number = {r["tiponum"]: r["numero"] for r in runs.state(tables["numeracion"], root, "numeracion", later).collect()}
+    number = {r["tiponum"]: r["numero"] for r in runs.numbering_at(tables["numeracion"], root, later).collect()}
     assert number["JJ"] == 8
 
 
