@@ -117,16 +117,16 @@ def run_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def config_at(config: DataFrame, root: str, as_of: dt.date) -> DataFrame:
-    """The configuration stamped with the last run up to ``as_of``."""
+    """The configuration with the last run up to ``as_of``, where the table has none later."""
     log = run_log(config.sparkSession, root).filter(F.col("run_date") <= day(as_of))
     last = log.agg(F.max("run_date").alias("run_date")).first()["run_date"]
-    return config if last is None else stamp_run_date(config, last)
+    return config if last is None else config.withColumn("ult_envio", F.greatest("ult_envio", day(last)))
 
 
 def numbering_at(
     numbering: DataFrame, root: str, as_of: dt.date, series: Series = ADVANCED_SERIES, before: bool = False
 ) -> DataFrame:
-    """The numbering table with the number the last run up to (or before) ``as_of`` gave the series."""
+    """The numbering table with what the last run up to (or before) ``as_of`` advanced the series to."""
     run_date = F.col("run_date")
     log = run_log(numbering.sparkSession, root).filter(
         series.matches() & (run_date < day(as_of) if before else run_date <= day(as_of))
@@ -134,8 +134,8 @@ def numbering_at(
     number = log.agg(F.max_by("numero", "run_date").alias("numero")).first()["numero"]
     if number is None:
         return numbering
-    current = F.lit(number).cast(numbering.schema["numero"].dataType)
-    return numbering.withColumn("numero", F.when(series.matches(), current).otherwise(F.col("numero")))
+    advanced = F.greatest("numero", F.lit(number).cast(numbering.schema["numero"].dataType))
+    return numbering.withColumn("numero", F.when(series.matches(), advanced).otherwise(F.col("numero")))
 
 
 def record_run(numbering: DataFrame, root: str, as_of: dt.date, series: Series) -> None:
