@@ -77,6 +77,37 @@ def test_extracts_agree_without_any_broadcast(spark, conf, monkeypatch):
     check_all(spark, random_rows(9))
 
 
+CURRENT_SALES = (
+    "IdDistribuidor IdPaquete IdCliente IdTipoDeCliente IdVendedor NombreVendedor ApellidoVendedor IdProducto"
+    " UnidadMedida Fecha TipoDocumento Cantidad NroComprobante NroComprobanteAsociado MotivoCR"
+)
+ALIAS_SALES = (
+    "IdDistribuidor IdPaquete Fecha NroComprobante IdPedidoDinesys NroComprobanteAsociado IdCliente IdTipoDeCliente"
+    " IdVendedor IdProducto Cantidad TipoDeComprobante MotivoNC"
+)
+CURRENT_STOCK = "IdDistribuidor IdPaquete IdProducto UnidadMedida Fecha IdTipoInventario Deposito Cantidad"
+ALIAS_STOCK = "IdDistribuidor IdPaquete Fecha IdProducto Cantidad"
+CUSTOMERS = (
+    "IdDistribuidor IdPaquete IdCliente RazonSocial BannerText IdProvincia Localidad CodigoPostal Calle Numero CUIT"
+    " Latitud Longitud IdTipoCliente"
+)
+
+
+def test_columns_come_in_the_receivers_order(spark):
+    t, day = frames(spark, edge_rows()), {"supplier": 3, "start": DAY, "end": DAY}
+    for df, columns in (
+        (sales.sales_range(t, **day), CURRENT_SALES),
+        (sales.sales_since(t, supplier=3, start=DAY), CURRENT_SALES),
+        (sales.sales_by_alias(t, **day), ALIAS_SALES),
+        (stock.inventory_units(t, **day), CURRENT_STOCK),
+        (stock.inventory_boxes(t, **day), CURRENT_STOCK),
+        (stock.inventory_alias_units(t, **day), ALIAS_STOCK),
+        (stock.inventory_alias_boxes(t, **day), ALIAS_STOCK),
+        (customers.customer_master(t), CUSTOMERS),
+    ):
+        assert df.columns == columns.split()
+
+
 @pytest.mark.parametrize("copies", [0, 1, 2])
 def test_numbering_rows_multiply_sales(spark, copies):
     tables = edge_rows()
