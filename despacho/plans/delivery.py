@@ -25,6 +25,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from despacho.functions.dates import compact_text, day
 from despacho.operators.control import COUNT_NAME, INDICATOR, TOTAL_NAME, VALUE, control_totals, numeric_count, rounded_total
 
+VERIFICATION = f"kind string, business_date date, {INDICATOR} string, {VALUE} decimal(28,2)"
 LEDGER = "kind string, business_date date, sent_at timestamp_ntz"
 
 
@@ -99,37 +100,23 @@ def deliver(
         empty.save(f"{path}/business_date={business_date:%Y-%m-%d}")
 
     package = delivered(spark, root, kind, df.schema, file_format).filter(F.col("business_date") == day(business_date))
-    write_partitions(
-        control_totals(package, kind.counted, kind.summed).select(
-            F.lit(kind.name).alias("kind"), day(business_date).alias("business_date"), INDICATOR, VALUE
-        ),
-        f"{root}/verificacion",
-        "kind",
-        "business_date",
-    )
-    controls = {
-        r[INDICATOR]: r[VALUE]
-        for r in verification(spark, root)
-        .filter((F.col("kind") == kind.name) & (F.col("business_date") == day(business_date)))
-        .collect()
-    }
+    controls = {r[INDICATOR]: r[VALUE] for r in control_totals(package, kind.counted, kind.summed).collect()}
     for name in checks:
         if controls[name] != Decimal(observed.get[name]):
             raise RuntimeError(f"{kind.name}: {name} written {observed.get[name]}, read back {controls[name]}")
+    sheet = spark.createDataFrame([(kind.name, business_date, *total) for total in controls.items()], VERIFICATION)
+    write_partitions(sheet.coalesce(1), f"{root}/verificacion", "kind", "business_date")
     return controls
 
 
 def verification(spark: SparkSession, root: str) -> DataFrame:
     """Control totals of every delivered package."""
-    schema = f"{INDICATOR} string, {VALUE} decimal(28,2), kind string, business_date date"
-    return read_partitions(spark, f"{root}/verificacion", schema)
+    return read_partitions(spark, f"{root}/verificacion", VERIFICATION)
 
 
 def ledger(spark: SparkSession, root: str) -> DataFrame:
     """What was delivered and when."""
-    return read_partitions(spark, f"{root}/ledger", "sent_at timestamp_ntz, kind string, business_date date").select(
-        "kind", "business_date", "sent_at"
-    )
+    return read_partitions(spark, f"{root}/ledger", LEDGER)
 
 
 def record_delivery(sent: DataFrame, root: str) -> None:
