@@ -23,7 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from despacho.functions.dates import compact_text, day
-from despacho.operators.control import COUNT_NAME, INDICATOR, TOTAL_NAME, VALUE, control_totals, numeric_count, rounded_total
+from despacho.functions.quantities import TOTAL
+from despacho.operators.control import (
+    COUNT_NAME,
+    INDICATOR,
+    TOTAL_NAME,
+    VALUE,
+    control_totals,
+    numeric_count,
+    rounded_total,
+)
 
 VERIFICATION = f"kind string, business_date date, {INDICATOR} string, {VALUE} decimal(28,2)"
 LEDGER = "kind string, business_date date, sent_at timestamp_ntz"
@@ -49,6 +58,12 @@ def package_name(user: Column, kind: Column, business_date: Column) -> Column:
     return F.concat_ws("_", user, kind, compact_text(business_date))
 
 
+def literal_rows(spark: SparkSession, *rows: dict) -> DataFrame:
+    """A few rows given as literals, in one partition."""
+    structs = (F.struct(*(F.lit(value).alias(name) for name, value in row.items())) for row in rows)
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def write_partitions(df: DataFrame, path: str, *by: str, file_format: str = "parquet") -> None:
     """Write ``df`` by the given columns, replacing exactly the partitions it has rows for."""
     writer = df.write.format(file_format).partitionBy(*by).mode("overwrite")
@@ -104,8 +119,11 @@ def deliver(
     for name in checks:
         if controls[name] != Decimal(observed.get[name]):
             raise RuntimeError(f"{kind.name}: {name} written {observed.get[name]}, read back {controls[name]}")
-    sheet = spark.createDataFrame([(kind.name, business_date, *total) for total in controls.items()], VERIFICATION)
-    write_partitions(sheet.coalesce(1), f"{root}/verificacion", "kind", "business_date")
+    package_key = {"kind": kind.name, "business_date": business_date}
+    sheet = literal_rows(spark, *({**package_key, INDICATOR: name, VALUE: value} for name, value in controls.items()))
+    write_partitions(
+        sheet.withColumn(VALUE, F.col(VALUE).cast(TOTAL)), f"{root}/verificacion", "kind", "business_date"
+    )
     return controls
 
 

@@ -20,6 +20,7 @@ from despacho.plans.delivery import (
     Kind,
     deliver,
     ledger,
+    literal_rows,
     read_partitions,
     record_delivery,
     write_partitions,
@@ -148,7 +149,7 @@ def record_run(numbering: DataFrame, root: str, as_of: dt.date, series: Series)
 
 
 def _packages(spark: SparkSession, packages: list[tuple[str, dt.date]]) -> DataFrame:
-    return spark.createDataFrame(packages, "kind string, business_date date")
+    return literal_rows(spark, *({"kind": kind, "business_date": date} for kind, date in packages))
 
 
 def _record(spark: SparkSession, root: str, packages: list[tuple[str, dt.date]]) -> None:
