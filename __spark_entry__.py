@@ -24,6 +24,11 @@ from despacho.plans.dimensions import Tables
 from despacho.session import shared_folder, split_hot_keys_early
 from despacho.sources.sample import sample_ledger, sample_packages, sample_tables
 
+try:
+    from despacho.llm import queries as llm_queries
+except ImportError:  # the package is optional
+    llm_queries = None
+
 SUPPLIER = 3
 EXCLUDED = 723  # the excluded article of the test tables
 AS_OF = "1998-05-14"
@@ -201,8 +206,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _over_sample(plan) for name, plan in PLANS.items()}
+    own = {name: _over_sample(plan) for name, plan in PLANS.items()}
+    return own | (llm_queries.queries() if llm_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_texts.texts()
+    return oracle_texts.texts() | (llm_queries.oracle_sql() if llm_queries else {})
