@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import sharding
+from despacho.llm import decontamination, sharding
 from despacho.llm.arrow import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.document_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_sharding": op3_sharding}
+    return {"op2_decontamination": op2_decontamination, "op3_sharding": op3_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": sharding.SQL}
+    return {"op2_decontamination": decontamination.SQL, "op3_sharding": sharding.SQL}
