@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from despacho.session import shared_folder
@@ -41,6 +42,14 @@ def without(df: DataFrame, names) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_columns(
     df: DataFrame, text: str, added: str, compute: Callable[[list[bytes | None]], list], limit: int = CHUNK_BYTES
 ) -> DataFrame:
@@ -50,22 +59,19 @@ def with_columns(
     their names (in any case) gives way to it, as in ``withColumn``.
     """
     new = StructType.fromDDL(added)
-    kept = without(df, new.names)
-    if not any(c.lower() == text.lower() for c in kept):
-        kept, hidden = [*kept, text], True
-    else:
-        hidden = False
-    text = next(c for c in kept if c.lower() == text.lower())
-    source = df.select(*[f"`{c}`" for c in kept])
-    carried = kept[:-1] if hidden else kept
-    schema = StructType([source.schema[c] for c in carried] + new.fields)
+    source = df.withColumn(hidden := fresh(df, "_text"), F.col(text))
+    carried = without(df, new.names)
+    schema = StructType([df.schema[c] for c in carried] + new.fields)
 
     def run(batches):
-        for batch in chunks(batches, text, limit):
+        for batch in chunks(batches, hidden, limit):
             columns = [batch.column(c) for c in carried]
-            yield pa.RecordBatch.from_arrays(columns + list(compute(text_bytes(batch, text))), schema.names)
+            yield pa.RecordBatch.from_arrays(columns + list(compute(text_bytes(batch, hidden))), schema.names)
 
-    return source.mapInArrow(run, schema)
+    if any(c.lower() == text.lower() for c in carried):
+        # The text travels once: under its own name.
+        hidden, source = next(c for c in carried if c.lower() == text.lower()), df
+    return source.select(*[f"`{c}`" for c in carried], *([] if hidden in carried else [hidden])).mapInArrow(run, schema)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

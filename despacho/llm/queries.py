@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import decontamination, sharding
+from despacho.llm import decontamination, quality, sharding, toxicity
 from despacho.llm.arrow import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.document_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -18,8 +22,20 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_decontamination": op2_decontamination,
+    "op3_sharding": op3_sharding,
+    "op8_toxicity": op8_toxicity,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_decontamination": op2_decontamination, "op3_sharding": op3_sharding}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
