@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import decontamination, quality, sharding, toxicity
+from despacho.llm import decontamination, dedup, quality, sharding, toxicity
 from despacho.llm.arrow import table
 
 
@@ -26,11 +26,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op8_toxicity": op8_toxicity,
+    "op10_minhash": op10_minhash,
 }
 
 
