@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import decontamination, dedup, quality, sharding, toxicity
+from despacho.llm import decontamination, dedup, pieces, quality, sharding, token_files, toxicity
 from despacho.llm.arrow import table
 
 
@@ -22,10 +22,25 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the installed package of public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.document_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.document_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -34,7 +49,9 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op6_arrow": op6_arrow,
     "op8_toxicity": op8_toxicity,
+    "op9_pieces": op9_pieces,
     "op10_minhash": op10_minhash,
 }
 
