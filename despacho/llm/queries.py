@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import decontamination, dedup, pieces, quality, sharding, token_files, toxicity
+from despacho.llm import decontamination, dedup, pieces, quality, sharding, syncmers, token_files, toxicity
 from despacho.llm.arrow import table
 
 
@@ -22,6 +22,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file(name: str) -> str:
     """A vocabulary file of the installed package of public tokenizers."""
     import public_tokenizers
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op4_syncmers": op4_syncmers,
     "op6_arrow": op6_arrow,
     "op8_toxicity": op8_toxicity,
     "op9_pieces": op9_pieces,
