@@ -18,6 +18,7 @@ an empty table leaves an empty index and no files.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -33,6 +34,8 @@ from despacho.session import shared_folder
 
 LENGTH = 2048
 SEQUENCES = 256  # in a record batch
+FILE_TEXT = 64 << 20  # bytes of text that a file is made of, if there is enough for all cores
+LEAST_TEXT = 8 << 20
 KEPT = 1_500_000  # words a task remembers
 JOINED = 20_000  # characters of words that the tokenizer gets at once
 
@@ -74,6 +77,8 @@ class WordEncoder:
         if not specials:
             raise ValueError("the tokenizer has no special token to part words by")
         self.specials = list(specials)
+        self.opening = os.path.commonprefix(self.specials)[:2]
+        self.lowers = len(self.opening) > 1 and not self.opening.isalpha() and self._plain(["Aa"]) == self._plain(["aa"])
         self.mark, self.mark_id = next(iter(specials.items()))
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
@@ -93,8 +98,11 @@ class WordEncoder:
                 size = 0
             groups[-1].append(w)
             size += len(w)
-        found = self._plain([mark.join(g) + mark for g in groups if g])
-        return np.concatenate([np.array(ids, np.int64) for ids in found]) if found else np.zeros(0, np.int64)
+        found = [np.zeros(0, np.int64)]
+        for g in groups:
+            # One group at a time: what the tokenizer returns is many times the size of the ids.
+            found += [np.array(ids, np.int64) for ids in self._plain([mark.join(g) + mark] if g else [])]
+        return np.concatenate(found)
 
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words that hold no space, one behind the other, and how many each has."""
@@ -123,7 +131,10 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and from where to where each text's go."""
-        words = Words(texts, (10, 32), lower=False)
+        # The tokenizer lowers case too, but after it took special tokens out and joined letters with
+        # combining marks (from U+0300, UTF-8 lead bytes CC and CD).
+        unlike = (self.opening, b"\xcc", b"\xcd")
+        words = Words(texts, (10, 32), lower=self.lowers and not any(u in t for t in texts if t for u in unlike))
         if not len(words.starts):
             return np.zeros(0, self.dtype), np.zeros(len(texts) + 1, np.int64)
         _without_sentence_ends(words)
@@ -230,8 +241,11 @@ INDEX = "part int, doc_id long, first long, n_tokens long"
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int, length: int = LENGTH) -> DataFrame:
     """Write the files of all documents (doc_id, text) into ``folder``; the index, which is kept there too."""
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    files = max(1, -(-size // FILE_TEXT), min(cores, -(-size // LEAST_TEXT)))
     ordered = docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
-    ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
+    ordered = ordered.repartitionByRange(int(files), "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
 
     def write(batches):
         from pyspark import TaskContext
