@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import decontamination, dedup, pieces, quality, sharding, syncmers, token_files, toxicity
+from despacho.llm import chat, decontamination, dedup, pieces, quality, rendering, sharding, syncmers, token_files, toxicity
 from despacho.llm.arrow import table
 
 
@@ -26,6 +26,10 @@ def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendering.page_texts(table(spark, sf_dir, "pages"))
+
+
 def tokenizer_file(name: str) -> str:
     """A vocabulary file of the installed package of public tokenizers."""
     import public_tokenizers
@@ -37,6 +41,10 @@ def op6_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.document_conversations(table(spark, sf_dir, "conversations"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,7 +62,9 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op4_syncmers": op4_syncmers,
+    "op5_html": op5_html,
     "op6_arrow": op6_arrow,
+    "op7_chat": op7_chat,
     "op8_toxicity": op8_toxicity,
     "op9_pieces": op9_pieces,
     "op10_minhash": op10_minhash,
