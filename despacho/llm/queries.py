@@ -57,6 +57,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -68,6 +74,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_pieces": op9_pieces,
     "op10_minhash": op10_minhash,
+    "pipeline": pipeline,
 }
 
 
