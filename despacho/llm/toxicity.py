@@ -27,6 +27,7 @@ SPACE = 1 << 22  # hashed features
 FEATURES = 4000  # of them in the model
 POSITIVES, UNLABELLED = 4000, 12_000  # rows to fit by, taken by a hash of their ids
 LEAST_ROWS = 5  # unlabelled rows a feature must occur in
+LEAST_DISTANCE = 2.0  # standard errors between its shares of positives and of unlabelled rows
 PREFIXES = (4, 5, 6, 7, 8)
 TOXIC_FROM = 0.3
 HELD_OUT = 2
@@ -119,7 +120,7 @@ def choose_features(sample: DataFrame, count: int = FEATURES) -> np.ndarray:
     share = F.col("u") / F.lit(float(n_u))
     error = F.sqrt((share * (F.lit(1.0) - share) + F.lit(1e-9)) / F.lit(float(n_p)))
     distance = F.abs(F.col("p") / F.lit(float(n_p)) - share) / error
-    top = seen.filter(F.col("u") >= LEAST_ROWS).orderBy(distance.desc(), "feature").limit(count)
+    top = seen.filter((F.col("u") >= LEAST_ROWS) & (distance > LEAST_DISTANCE)).orderBy(distance.desc(), "feature").limit(count)
     return np.sort(top.select("feature").toArrow().column("feature").to_numpy())
 
 
