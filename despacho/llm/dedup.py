@@ -2,9 +2,12 @@
 
 Documents with equal shingle sets form a class, of which the least id stands for
 all. Classes that agree in a band of their signatures share a bucket. First each
-is compared with the bucket's least id only. Buckets whose members are not all
-connected by then have the members of different components compared as well, so
-that no candidate link is lost, yet a group of copies never yields its pairs.
+is compared with one star of the bucket only, its most widely shared member.
+Buckets whose members are not all connected by then have members of different
+components compared as well, so that no candidate link is lost: those of small
+buckets as pairs, those of large ones block against block inside tasks, from
+which one link for each member and component comes back. So a group of copies
+never yields its pairs as rows.
 
 A comparison reads the signatures in batches and stops once the posterior
 probability of a similarity of 0.75 or more falls below the miss probability;
@@ -29,13 +32,15 @@ from pyspark.sql import functions as F
 
 from despacho.llm.arrow import chunks, text_bytes, with_columns, written
 from despacho.llm.components import components
-from despacho.llm.words import Words, mix
+from despacho.llm.words import Words, gathered, mix
 from despacho.operators.joins import broadcast_small
 
 SHINGLE = 5
 PERCENT = 75  # of the union, that the intersection of linked documents reaches
 BANDS, ROWS = 32, 4  # a pair at 0.75 misses all bands with probability 5e-6
 BATCH = 16
+SMALL = 16  # members up to which a bucket's open pairs become rows, at most 8 a member
+BLOCK = 1 << 19  # shingles in a block of members of a larger bucket
 MISS = 1e-9
 
 
@@ -102,7 +107,7 @@ def _prints(texts: list[bytes | None]) -> list:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, the set's digest, the signature (16 bits of each minimum) and a key per band."""
     added = "n_shingles long, digest binary, signature binary, bands array<long>"
-    return with_columns(docs.select("doc_id", "text"), "text", added, _prints).drop("text")
+    return with_columns(docs.select(F.col("doc_id").cast("long"), "text"), "text", added, _prints).drop("text")
 
 
 def least_matches(checked: int, percent: int = PERCENT, miss: float = MISS) -> int:
@@ -143,15 +148,10 @@ def _survivors(batches):
             yield part.filter(pa.array(kept)).select(["a", "b"])
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those pairs (a, b) of class representatives whose full sets are similar enough."""
-    signed = classes.select("rep", "signature")
-    paired = pairs.join(signed.toDF("a", "left_signature"), "a").join(signed.toDF("b", "right_signature"), "b")
-    survivors = paired.select("a", "b", "left_signature", "right_signature").mapInArrow(_survivors, "a long, b long")
-    survivors = written(survivors.distinct(), "survivors")
-    ids = survivors.select(F.col("a").alias("id")).unionAll(survivors.select("b")).distinct()
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The shingle set of each of the ``ids`` (id), written to the shared folder."""
     [ids] = broadcast_small(ids)
-    texts = ids.join_to(docs.select(F.col("doc_id").alias("id"), "text"), "id")
+    texts = ids.join_to(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), "id")
 
     def gather(batches):
         for batch in chunks(batches, "text"):
@@ -160,13 +160,101 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
             flat = pa.array(np.concatenate(sets).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(bounds, flat)], ["id", "members"])
 
-    sets = written(texts.dropDuplicates(["id"]).select("id", "text").mapInArrow(gather, "id long, members array<long>"), "sets")
+    return written(texts.dropDuplicates(["id"]).select("id", "text").mapInArrow(gather, "id long, members array<long>"), "sets")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those pairs (a, b) of class representatives whose full sets are similar enough."""
+    signed = classes.select("rep", "signature")
+    paired = pairs.join(signed.toDF("a", "left_signature"), "a").join(signed.toDF("b", "right_signature"), "b")
+    survivors = paired.select("a", "b", "left_signature", "right_signature").mapInArrow(_survivors, "a long, b long")
+    survivors = written(survivors.distinct(), "survivors")
+    sets = full_sets(docs, survivors.select(F.col("a").alias("id")).unionAll(survivors.select("b")).distinct())
     both = survivors.join(sets.toDF("a", "left_set"), "a").join(sets.toDF("b", "right_set"), "b")
     shared = F.size(F.array_intersect("left_set", "right_set"))
     union = F.size("left_set") + F.size("right_set") - F.col("shared")
     return both.withColumn("shared", shared).filter(F.col("shared") * 100 >= union * PERCENT).select("a", "b")
 
 
+class Block:
+    """Members of one bucket that are compared with others of it."""
+
+    def __init__(self):
+        self.reps, self.components, self.signatures, self.sets = [], [], [], []
+
+    def add(self, rep, component, signature, members) -> None:
+        self.reps.append(rep)
+        self.components.append(component)
+        self.signatures.append(np.frombuffer(signature, "<u2"))
+        self.sets.append(members)
+
+
+def block_links(strays: Block, others: Block) -> list[tuple[int, int]]:
+    """For each stray and each other component that holds a member linked to it, one such link."""
+    if not strays.reps or not others.reps:
+        return []
+    components = np.array(others.components)
+    signatures_ = np.stack(others.signatures)
+    sizes = np.array([len(x) for x in others.sets])
+    flat, starts = np.concatenate(others.sets), np.cumsum(sizes) - sizes
+    links = []
+    for rep, component, signature, members in zip(strays.reps, strays.components, strays.signatures, strays.sets):
+        n = len(members)
+        open_ = (components != component) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * PERCENT)
+        at = np.flatnonzero(open_)
+        if not len(at):
+            continue
+        at = at[plausible(np.broadcast_to(signature, (len(at), len(signature))), signatures_[at])]
+        if not len(at):
+            continue
+        place = np.minimum(np.searchsorted(members, found := gathered(flat, starts[at], sizes[at])), n - 1)
+        shared = np.add.reduceat((members[place] == found).astype(np.int64), np.cumsum(sizes[at]) - sizes[at])
+        at = at[shared * 100 >= (sizes[at] + n - shared) * PERCENT]
+        _, first = np.unique(components[at], return_index=True)
+        links += [(rep, others.reps[i]) for i in at[first]]
+    return links
+
+
+def _compare_blocks(batches):
+    """Rows come sorted by bucket and pair of blocks; ``stray`` tells the two sides of a pair of blocks apart."""
+    place, strays, others = None, Block(), Block()
+
+    def result(links):
+        columns = [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    for batch in batches:
+        flat = batch.column("members").flatten().to_numpy().view(np.uint64)
+        ends = np.cumsum(batch.column("members").value_lengths().to_numpy())
+        columns = [batch.column(c).to_pylist() for c in ("band", "i", "j", "stray", "rep", "component", "signature")]
+        for k, (band, i, j, stray, rep, component, signature) in enumerate(zip(*columns)):
+            if place != (band, i, j):
+                if links := block_links(strays, others):
+                    yield result(links)
+                place, strays, others = (band, i, j), Block(), Block()
+            members = np.sort(flat[ends[k - 1] if k else 0 : ends[k]])
+            (strays if stray else others).add(rep, component, signature, members)
+    if links := block_links(strays, others):
+        yield result(links)
+
+
+def links_in_large_buckets(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between members (band, rep, component, home, blocks) of different components.
+
+    Those outside of the bucket's home component are strays; every block of them
+    meets every block of all members in a group of its own.
+    """
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    kept = ["band", "rep", "component"]
+    others = members.select(*kept, every.alias("i"), own.alias("j"), F.lit(False).alias("stray"))
+    strays = members.filter("component <> home").select(*kept, own.alias("i"), every.alias("j"), F.lit(True).alias("stray"))
+    sets = full_sets(docs, members.select(F.col("rep").alias("id")).distinct()).withColumnRenamed("id", "rep")
+    rows = others.unionAll(strays).join(classes.select("rep", "signature"), "rep").join(sets, "rep")
+    rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "stray", "rep")
+    return rows.mapInArrow(_compare_blocks, "a long, b long").distinct()
+
+
 def duplicate_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     prints = written(fingerprints(docs), "prints")
@@ -177,22 +265,33 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
         "classes",
     )
     banded = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("rep").alias("star"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = written(banded.join(shared.select("band", "star"), "band"), "buckets")
-    to_star = buckets.filter("rep <> star").select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    buckets = written(banded.join(shared, "band"), "buckets")
+    spread = buckets.groupBy("rep").agg(F.sum("members").alias("spread"))
+    star = F.max(F.struct("spread", (-F.col("rep")).alias("less"))).alias("star")
+    stars = buckets.join(spread, "rep").groupBy("band").agg(star).select("band", (-F.col("star.less")).alias("star"))
+    met = buckets.join(stars, "band").filter("rep <> star")
+    to_star = met.select(F.least("rep", "star").alias("a"), F.greatest("rep", "star").alias("b")).distinct()
     links = written(verified(to_star, classes, docs), "links-to-stars")
     labels = written(components(links), "labels")
     # Members of different components that meet in a bucket are compared too.
     node = labels.withColumnRenamed("node", "rep")
     labelled = buckets.select("band", "rep", "n").join(node, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    members = written(labelled.join(mixed.select("band"), "band", "left_semi"), "mixed-buckets")
-    left, right = (members.select(*[F.col(c).alias(c if c == "band" else f"{side}_{c}") for c in members.columns]) for side in ("left", "right"))
+    counted = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    mixed = counted.groupBy("band").agg(
+        F.max(F.struct("members", "component"))["component"].alias("home"),
+        F.sum("members").alias("members"),
+        F.ceil(F.sum("shingles") / BLOCK).cast("int").alias("blocks"),
+        F.count(F.lit(1)).alias("parts"),
+    )
+    open_ = written(labelled.join(mixed.filter("parts > 1"), "band"), "open-buckets")
+    small = open_.filter(F.col("members") <= SMALL).select("band", "rep", "component", "n")
+    left, right = (small.select(*[F.col(c).alias(c if c == "band" else f"{side}_{c}") for c in small.columns]) for side in ("left", "right"))
     near = F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * PERCENT
     across = left.join(right, "band").filter((F.col("left_component") < F.col("right_component")) & near)
     rest = across.select(F.least("left_rep", "right_rep").alias("a"), F.greatest("left_rep", "right_rep").alias("b")).distinct()
-    rest = rest.join(to_star, ["a", "b"], "left_anti")
-    more = written(verified(rest, classes, docs), "links-across")
+    more = verified(rest, classes, docs).unionAll(links_in_large_buckets(open_.filter(F.col("members") > SMALL), classes, docs))
+    more = written(more, "links-across")
     labels = components(labels.toDF("a", "b").unionAll(more))
     by_digest = classes.select("digest", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     by_digest = by_digest.select("digest", F.coalesce("component", "rep").alias("component"))

@@ -119,7 +119,7 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
 def with_log_weights(docs: DataFrame, ratios: np.ndarray, into: str) -> DataFrame:
     def weigh(texts):
         where, bucket = ngrams(texts, len(ratios))
-        return [pa.array(np.bincount(where, ratios[bucket], minlength=len(texts)))]
+        return [pa.array(np.bincount(where, ratios[bucket], minlength=len(texts)), pa.float64())]
 
     return with_columns(docs, "text", f"`{into}` double", weigh)
 

@@ -244,7 +244,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int,
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     cores = docs.sparkSession.sparkContext.defaultParallelism
     files = max(1, -(-size // FILE_TEXT), min(cores, -(-size // LEAST_TEXT)))
-    ordered = docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").withColumn("tie", F.xxhash64("text"))
     ordered = ordered.repartitionByRange(int(files), "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
 
     def write(batches):

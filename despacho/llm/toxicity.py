@@ -161,7 +161,7 @@ def with_scores(docs: DataFrame, model: Model, into: str = "score") -> DataFrame
     def score(texts):
         if "marks" not in state:
             state["marks"] = model.marks()
-        return [pa.array(model.scores(texts, state["marks"]))]
+        return [pa.array(model.scores(texts, state["marks"]), pa.float64())]
 
     return with_columns(docs, "text", f"`{into}` double", score)
 
