@@ -1,0 +1,40 @@
+from collections import Counter
+
+import pytest
+from llm_tables import EDGE, edge, empty, frame
+from pyspark.sql import functions as F
+
+from despacho.llm.sharding import assign_shards, document_shards, number_slots, rendezvous
+
+
+def test_edge_rows_have_gapless_slots_and_sizes(spark):
+    rows = document_shards(edge(spark)).collect()
+    assert len(rows) == len(EDGE)
+    for shard in range(8):
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    sizes = Counter((r.doc_id, r["size"]) for r in rows)
+    assert sizes == Counter((i, len((t or "").encode()) + 1) for i, t in EDGE)
+    assert {r.text_crc32 for r in rows if r.doc_id in (1, 2)} == {0}
+    assert document_shards(empty(spark)).collect() == []
+
+
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    rows = document_shards(frame(spark, [(i, "x") for i in range(3000)])).collect()
+    moved = [r for r in rows if r.grown_shard != r.shard]
+    assert all(r.grown_shard == 8 for r in moved)
+    assert 0.06 < len(moved) / len(rows) < 0.17
+
+
+def test_weights_set_the_shares(spark):
+    keys = spark.range(8000)
+    counts = {r["shard"]: r["count"] for r in assign_shards(keys, "id", [1.0, 3.0]).groupBy("shard").count().collect()}
+    assert 2.7 < counts[1] / counts[0] < 3.4
+    with pytest.raises(ValueError):
+        rendezvous(F.col("id"), [1.0, 0.0])
+
+
+def test_many_equal_rows_are_numbered_in_blocks(spark):
+    same = spark.range(25_000).select(F.lit(0).alias("shard"), F.lit("k").alias("key"))
+    slots = number_slots(same, "shard", ["key"]).select("slot").distinct()
+    assert slots.agg(F.count("slot"), F.min("slot"), F.max("slot")).head()[:] == (25_000, 0, 24_999)

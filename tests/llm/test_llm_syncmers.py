@@ -1,0 +1,74 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from llm_tables import EDGE, LONG, edge, empty, frame, prose, vocabulary
+
+from despacho.llm.syncmers import _rolled, anchors, document_fingerprints, edited, likeness
+
+
+def places(text, k, s):
+    """Closed syncmers by their definition."""
+    hashes = [int(_rolled(np.frombuffer(text[i : i + s].encode("utf-32-le"), np.uint32), s)[0]) for i in range(len(text) - s + 1)]
+    found = []
+    for i in range(len(text) - k + 1):
+        inner = hashes[i : i + k - s + 1]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append(i)
+    return found
+
+
+@pytest.mark.parametrize("k,s", [(16, 5), (11, 4), (8, 8)])
+def test_anchors_are_closed_syncmers(k, s):
+    rng, words = random.Random(7), vocabulary(7)
+    texts = [prose(rng, words, n) for n in (3, 20, 60)] + ["", "🙂" * 40]
+    for text, (at, _) in zip(texts, anchors(texts, k, s)):
+        assert at.tolist() == places(text, k, s)
+
+
+def test_anchors_do_not_depend_on_what_is_around():
+    passage = LONG[:400]
+    (a, ha), (b, hb) = anchors([passage, "xyz " * 9 + passage + " tail"])
+    moved = dict(zip(b.tolist(), hb.tolist()))
+    assert all(moved[p + 36] == h for p, h in zip(a.tolist(), ha.tolist()))
+
+
+def test_every_text_has_an_anchor_but_the_empty():
+    assert [len(h) > 0 for _, h in anchors(["", "a", "ab" * 8, "abcdefghijklmnopq"])] == [False, True, True, True]
+
+
+def test_likeness():
+    a, b = np.array([1, 2, 3, 4], np.uint32), np.array([4, 3, 9], np.uint32)
+    none = np.zeros(0, np.uint32)
+    assert likeness(a, a) == 1 and likeness(none, none) == 1 and likeness(a, none) == 0
+    assert likeness(a, b) == 1 / 6  # 3 and 4 are shared, but not in one order
+    assert likeness(a, np.array([1, 2, 3, 8], np.uint32)) == 3 / 5
+
+
+def check(rows, got):
+    # Rows of one id are told apart by their texts, which are equal here.
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    want = []
+    for k, (i, text) in enumerate(ordered):
+        text, following = text or "", ordered[(k + 1) % len(ordered)][1] or ""
+        changed = edited(text, following)
+        (_, own), (_, other), (_, after) = anchors([text, changed, following])
+        want.append((str(i), len(text), hashlib.sha256(changed.encode()).hexdigest(), likeness(own, other), likeness(own, after)))
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got) == sorted(want)
+
+
+def test_edge_rows(spark):
+    rows = document_fingerprints(edge(spark)).collect()
+    check(EDGE, rows)
+    prints = {r.doc_id: r.fingerprint for r in rows}
+    assert prints[8] == prints[9] != prints[10] and prints[1] == prints[2] == ""
+    assert document_fingerprints(empty(spark)).collect() == []
+    check([(5, "alone in the table")], document_fingerprints(frame(spark, [(5, "alone in the table")])).collect())
+
+
+def test_next_documents_over_many_ranges(spark):
+    rng, words = random.Random(8), vocabulary(8)
+    rows = [(i * i % 10_007 - 500, prose(rng, words, rng.randint(0, 30))) for i in range(1, 700)]
+    rows = list({i: (i, t) for i, t in rows}.values())
+    check(rows, document_fingerprints(frame(spark, rows)).collect())
