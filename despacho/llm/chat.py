@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import re
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from despacho.llm.arrow import written
 
 START, END, ROLE_END = "<|im_start|>", "<|im_end|>\n", "\n"
 LEARNT_ROLE = "assistant"
-DIGEST = 32  # characters of a turn's digest in a path
+DIGEST = 16  # bytes of a turn's digest in a path
 
 
 def escape(text: str) -> str:
@@ -69,7 +68,7 @@ def paths(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     digest = F.transform("turns", lambda t: F.md5(F.concat(F.md5(t["role"]), F.md5(t["text"]))))
-    whole = whole.withColumn("path", F.array_join(digest, ""))
+    whole = whole.withColumn("path", F.unhex(F.array_join(digest, "")))
     nodes = whole.select("path", F.posexplode("turns").alias("at", "turn"))
     nodes = nodes.select(F.substring("path", F.lit(1), (F.col("at") + 1) * DIGEST).alias("path"), "turn.role", "turn.text")
     return nodes.distinct(), whole.select("conv_id", "path", F.size("turns").cast("bigint").alias("n_turns"))
@@ -83,43 +82,54 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+EMITTED = (
+    "path binary, ids array<int>, learnt_from int, learnt_to int, part int, local long, n_tokens long,"
+    " outer_levels int, inner array<struct<start: bigint, end: bigint>>"
+)
+
+
 def _emit(nodes: DataFrame, tokenizer: str) -> DataFrame:
-    """Nodes in depth-first order with their tokens, loss mask, and place in their part of the stream."""
+    """Nodes in depth-first order with their tokens and their place in their part of the stream.
+
+    ``inner`` are the ancestors within the part; the ``outer_levels`` above them
+    stand in earlier parts. As a stack of one path is all that a task keeps, a
+    tree of any size may run over many parts.
+    """
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    types = [pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(span)]
+    names = ["path", "ids", "learnt_from", "learnt_to", "part", "local", "n_tokens", "outer_levels", "inner"]
 
     def run(batches):
         from pyspark import TaskContext
 
         part, at, encoder = TaskContext.get().partitionId(), 0, _tokenizer(tokenizer)
+        open_path: list[tuple[bytes, dict]] = []
         for batch in batches:
-            paths_, ids, masks, starts, counts = [], [], [], [], []
+            rows = []
             for path, role, text in zip(*(batch.column(c).to_pylist() for c in ("path", "role", "text"))):
                 pieces = (START + escape_role(role) + ROLE_END, escape(text), END)
                 head, body, tail = (encoder.encode(p, add_special_tokens=False).ids for p in pieces)
-                learnt = role == LEARNT_ROLE
-                paths_.append(path)
-                ids.append(head + body + tail)
-                masks.append([False] * len(head) + [learnt] * len(body) + [False] * len(tail))
-                starts.append(at)
-                counts.append(len(ids[-1]))
-                at += counts[-1]
-            columns = [
-                pa.array(paths_, pa.string()),
-                pa.array(ids, pa.list_(pa.int32())),
-                pa.array(masks, pa.list_(pa.bool_())),
-                pa.array(np.full(len(paths_), part, np.int32)),
-                pa.array(starts, pa.int64()),
-                pa.array(counts, pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["path", "ids", "loss", "part", "local", "n_tokens"])
+                ids = head + body + tail
+                learnt = len(body) if role == LEARNT_ROLE else 0
+                while open_path and not path.startswith(open_path[-1][0]):
+                    open_path.pop()
+                inner = [span for _, span in open_path]
+                outer = len(path) // DIGEST - 1 - len(inner)
+                rows.append((path, ids, len(head), len(head) + learnt, part, at, len(ids), outer, inner))
+                open_path.append((path, {"start": at, "end": at + len(ids)}))
+                at += len(ids)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     ordered = nodes.repartitionByRange("path").sortWithinPartitions("path")
-    return ordered.mapInArrow(run, "path string, ids array<int>, loss array<boolean>, part int, local long, n_tokens long")
+    return ordered.mapInArrow(run, EMITTED)
+
+
+SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def _merged(spans: Column) -> Column:
     """Sorted spans with neighbours that touch made one."""
-    nothing = F.lit(None).cast("array<struct<start:bigint,end:bigint>>")
-    empty = F.coalesce(nothing, F.array().cast("array<struct<start:bigint,end:bigint>>"))
 
     def step(done: Column, span: Column) -> Column:
         last = F.element_at(done, -1)
@@ -127,43 +137,54 @@ def _merged(spans: Column) -> Column:
         touches = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] == span["start"])
         return F.when(touches, joined).otherwise(F.concat(done, F.array(span)))
 
-    return F.aggregate(spans, empty, step)
+    return F.aggregate(spans, F.array().cast(SPANS), step)
 
 
 def prefix_tree(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]:
-    """The stream's nodes, written to the shared folder, and each conversation's leaf.
+    """The stream's nodes, over a table in the shared folder, and each conversation's leaf.
 
-    A node has ``start`` in the stream, ``ids``, ``loss``, ``position`` of its
-    first token, ``nodes`` (where the nodes of its path start, its own last) and
-    ``attends`` (stretches of the stream that hold its ancestors).
+    A node has ``start`` in the stream, ``ids``, the loss mask (its tokens
+    ``learnt_from`` to ``learnt_to``), ``position`` of its first token, ``nodes``
+    (where the nodes of its path start, its own last) and ``attends`` (stretches
+    of the stream that hold its ancestors).
     """
     nodes, leaves = paths(turns.select("conv_id", "turn", "role", "text"))
     emitted = written(_emit(nodes, tokenizer), "chat-nodes")
-    totals = emitted.groupBy("part").agg(F.sum("n_tokens").alias("total"))
+    # Per part: where it starts, and the ancestors of its first node that stand in earlier parts.
+    parts = emitted.groupBy("part").agg(F.sum("n_tokens").alias("total"), F.min("path").alias("first"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
-    offsets = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
-    placed = emitted.join(F.broadcast(offsets), "part").withColumn("start", F.col("offset") + F.col("local"))
-    places = placed.select("path", F.struct("start", (F.col("start") + F.col("n_tokens")).alias("end")).alias("span"))
-    depth = F.length("path") / DIGEST
-    above = places.select("path", F.explode(F.sequence(F.lit(1), depth.cast("int"))).alias("level")).select(
-        F.col("path").alias("node"), F.substring("path", F.lit(1), F.col("level") * DIGEST).alias("path")
-    )
-    # The nodes of a path: a node that many share is one row on the right, and its rows on the left are split if they are many.
-    spans = above.join(places, "path").groupBy(F.col("node").alias("path")).agg(F.array_sort(F.collect_list("span")).alias("spans"))
-    ancestors = F.slice("spans", 1, F.size("spans") - 1)
-    lengths = F.transform(ancestors, lambda s: s["end"] - s["start"])
-    spans = spans.select(
+    parts = parts.select("part", "first", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
+    levels = F.explode(F.sequence(F.lit(1), F.greatest((F.length("first") / DIGEST).cast("int"), F.lit(1)))).alias("level")
+    above = parts.select("part", "first", levels).select("part", "level", F.substring("first", F.lit(1), F.col("level") * DIGEST).alias("path"))
+    offsets = parts.select("part", "offset")
+    places = emitted.select("path", "part", "local", "n_tokens").join(F.broadcast(offsets), "part")
+    start = F.col("offset") + F.col("local")
+    places = places.select("path", F.struct(start.alias("start"), (start + F.col("n_tokens")).alias("end")).alias("span"))
+    chains = above.join(places, "path").groupBy("part").agg(F.array_sort(F.collect_list("span")).alias("chain"))
+    parts = parts.select("part", "offset").join(chains, "part")
+
+    def moved(span: Column) -> Column:
+        return F.struct((span["start"] + F.col("offset")).alias("start"), (span["end"] + F.col("offset")).alias("end"))
+
+    placed = emitted.join(F.broadcast(parts), "part").withColumn("start", start)
+    placed = placed.withColumn("ancestors", F.concat(F.slice("chain", 1, F.col("outer_levels")), F.transform("inner", moved)))
+    lengths = F.transform("ancestors", lambda s: s["end"] - s["start"])
+    tree = placed.select(
         "path",
-        F.transform("spans", lambda s: s["start"]).alias("nodes"),
+        "start",
+        "n_tokens",
+        "ids",
+        "learnt_from",
+        "learnt_to",
         F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, n: a + n).alias("position"),
-        _merged(ancestors).alias("attends"),
+        F.concat(F.transform("ancestors", lambda s: s["start"]), F.array("start")).alias("nodes"),
+        _merged(F.col("ancestors")).alias("attends"),
     )
-    tree = placed.join(spans, "path").select("path", "start", "n_tokens", "ids", "loss", "position", "nodes", "attends")
-    return written(tree, "chat-tree"), leaves
+    return tree, leaves
 
 
 def read_nodes(tree: DataFrame, tokenizer: str) -> DataFrame:
-    """Per node its formatted text and, unescaped, role, text and the text under the loss mask, all from its ids."""
+    """Per node the length of its formatted text and, unescaped, role, text and the text under the loss mask, all from its ids."""
 
     def run(batches):
         decoder = _tokenizer(tokenizer)
@@ -173,35 +194,39 @@ def read_nodes(tree: DataFrame, tokenizer: str) -> DataFrame:
 
         for batch in batches:
             rows = []
-            for ids, loss in zip(batch.column("ids").to_pylist(), batch.column("loss").to_pylist()):
+            columns = (batch.column(c).to_pylist() for c in ("start", "ids", "learnt_from", "learnt_to"))
+            for start, ids, low, high in zip(*columns):
                 formatted = text_of(ids)
-                rows.append((formatted, *read_turn(formatted), unescape(text_of([i for i, m in zip(ids, loss) if m]))))
-            columns = [pa.array(list(c), pa.string()) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 4
-            yield pa.RecordBatch.from_arrays([batch.column("start"), *columns], ["start", "formatted", "role", "text", "learnt"])
+                rows.append((start, len(formatted), *read_turn(formatted), unescape(text_of(ids[low:high]))))
+            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
+            yield pa.RecordBatch.from_arrays(columns, ["start", "chars", "role", "text", "learnt"])
 
-    return tree.select("start", "ids", "loss").mapInArrow(run, "start long, formatted string, role string, text string, learnt string")
+    read = tree.select("start", "ids", "learnt_from", "learnt_to")
+    return read.mapInArrow(run, "start long, chars long, role string, text string, learnt string")
 
 
 def read_conversations(tree: DataFrame, leaves: DataFrame, tokenizer: str) -> DataFrame:
     """Per conversation digests of what its path of the tree holds."""
-    read = read_nodes(tree, tokenizer)
     ends = leaves.select("path").distinct()
-    steps = tree.select("path", "nodes").join(ends, "path").select("path", F.posexplode("nodes").alias("at", "start"))
-    turns = steps.join(read, "start").groupBy("path").agg(
-        F.array_sort(F.collect_list(F.struct("at", "role", "text", "learnt", F.length("formatted").alias("chars")))).alias("turns")
-    )
+    ends = tree.select("path", F.col("start").alias("leaf"), "nodes").join(ends, "path", "left_semi")
+    ends = written(ends, "chat-leaves")
+    steps = ends.select("leaf", F.posexplode("nodes").alias("at", "start"))
+    turn = F.struct("at", "role", "text", "learnt", "chars")
+    turns = steps.join(read_nodes(tree, tokenizer), "start").groupBy("leaf").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learnt = F.array_join(F.transform("turns", lambda t: t["learnt"]), "")
-    chars = F.aggregate(F.transform("turns", lambda t: t["chars"].cast("bigint")), F.lit(0).cast("bigint"), lambda a, n: a + n)
+    chars = F.aggregate(F.transform("turns", lambda t: t["chars"]), F.lit(0).cast("bigint"), lambda a, n: a + n)
     digests = turns.select(
-        "path",
+        "leaf",
         F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
         F.length(learnt).cast("bigint").alias("loss_chars"),
         F.sha2(learnt, 256).alias("loss_sha256"),
         chars.alias("formatted_chars"),
     )
-    return leaves.select("conv_id", "path").join(digests, "path").drop("path")
+    by_path = ends.select("path", "leaf").join(digests, "leaf").drop("leaf")
+    return leaves.select("conv_id", "path").join(by_path, "path").drop("path")
 
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"

@@ -79,9 +79,9 @@ def test_shared_turns_are_emitted_once_depth_first(spark):
         said = sorted((t is not None, t or 0, r or "", x or "") for c, t, r, x in rows if c == conv)
         prefixes |= {tuple(y[2:] for y in said[: n + 1]) for n in range(len(said))}
     assert len(nodes) == len(prefixes) < len(rows)
-    at, by_path, open_path = 0, {}, ""
+    at, by_path, open_path = 0, {}, b""
     for n in nodes:
-        assert n.start == at and n.n_tokens == len(n.ids) == len(n.loss)
+        assert n.start == at and n.n_tokens == len(n.ids) >= n.learnt_to >= n.learnt_from
         at += n.n_tokens
         above = [by_path[n.path[:k]] for k in range(chat.DIGEST, len(n.path), chat.DIGEST)]
         by_path[n.path] = n
