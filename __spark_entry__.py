@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 from collections.abc import Callable
+from dataclasses import asdict
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -14,14 +15,14 @@ from pyspark.sql import functions as F
 
 import oracle_texts
 from despacho.functions import vouchers
-from despacho.functions.dates import age_in_days, business_date, iso_text
-from despacho.functions.quantities import TOTAL, converted
+from despacho.functions.dates import age_in_days, business_date, day, iso_text
+from despacho.functions.quantities import TOTAL, converted, coordinate_text
 from despacho.operators.control import control_totals
 from despacho.operators.joins import broadcast_small
-from despacho.operators.lookups import MAIN_CONFIG, distributor_code, package_number
+from despacho.operators.lookups import MAIN_CONFIG, PACKAGE_SERIES, distributor_code, package_number
 from despacho.plans import customers, delivery, dimensions, runs, sales, stock
 from despacho.plans.dimensions import Tables
-from despacho.session import shared_folder, split_hot_keys_early
+from despacho.session import delivery_folder
 from despacho.sources.sample import sample_ledger, sample_packages, sample_tables
 
 try:
@@ -36,6 +37,10 @@ QUARTER = {"supplier": SUPPLIER, "start": "1998-04-01", "end": "1998-06-30"}
 MAY = {"supplier": SUPPLIER, "start": "1/5/1998", "end": "31/5/1998"}
 
 
+SECOND_SALES_DAY = {"supplier": SUPPLIER, "start": "1998-05-11", "end": "1998-05-11"}
+SECOND_STOCK_DAY = {"supplier": SUPPLIER, "start": "1998-05-23", "end": "1998-05-23"}
+
+
 def _one_day() -> dict:
     yesterday = business_date(AS_OF, -1)
     return {"supplier": SUPPLIER, "start": yesterday, "end": yesterday}
@@ -44,10 +49,12 @@ def _one_day() -> dict:
 EXTRACTS: dict[str, Callable[[Tables], DataFrame]] = {
     "sales_range": lambda t: sales.sales_range(t, **QUARTER, excluded_article=EXCLUDED),
     "sales_daily": lambda t: sales.sales_range(t, **_one_day(), excluded_article=EXCLUDED),
+    "sales_second_day": lambda t: sales.sales_range(t, **SECOND_SALES_DAY, excluded_article=EXCLUDED),
     "sales_since": lambda t: sales.sales_since(t, supplier=SUPPLIER, start="2001-07-25"),
     "sales_by_alias": lambda t: sales.sales_by_alias(t, **QUARTER),
     "inventory_units": lambda t: stock.inventory_units(t, **MAY, excluded_article=EXCLUDED),
     "inventory_daily": lambda t: stock.inventory_units(t, **_one_day(), excluded_article=EXCLUDED),
+    "inventory_second_day": lambda t: stock.inventory_units(t, **SECOND_STOCK_DAY, excluded_article=EXCLUDED),
     "inventory_boxes": lambda t: stock.inventory_boxes(t, **MAY),
     "inventory_alias_units": lambda t: stock.inventory_alias_units(t, **MAY),
     "inventory_alias_boxes": lambda t: stock.inventory_alias_boxes(t, **MAY),
@@ -160,10 +167,62 @@ def _voucher_reasons(t: Tables) -> DataFrame:
     return seller.join_to(with_reason, "cod_ven", "left").select("comprobante", "motivo", "vendedor")
 
 
+def _padded(t: Tables) -> Tables:
+    """The tables with blanks behind the codes that conditions compare, as a fixed-width column has them."""
+    numbering = t["numeracion"]
+    for name in ("tiponum", "letra"):
+        numbering = numbering.withColumn(name, F.rpad(name, 5, " "))
+    return {**t, "numeracion": numbering, "cliente": t["cliente"].withColumn("estado", F.rpad("estado", 4, " "))}
+
+
+def _backlog_numbers(t: Tables) -> DataFrame:
+    """Waiting packages with the number before their run, after a run on every day with vouchers."""
+    run_days = t["venta"].select(F.col("fecha").alias("run_date")).distinct()
+    number = (F.datediff("run_date", F.lit("1995-01-01")) + 41).cast("bigint").alias("numero")
+    key = [F.lit(value).alias(name) for name, value in asdict(PACKAGE_SERIES).items()]
+    log = run_days.select(*key, number, "run_date")
+    return runs.numbers_before(_pending(t), log, t["numeracion"])
+
+
+def _control_text_ids(t: Tables) -> DataFrame:
+    """Two of six customers have an id that reads as a number."""
+    code, kind = F.col("codigo").cast("string"), F.col("codigo") % 6
+    ids = (
+        F.when(kind == 0, F.concat(code, F.lit("D")))
+        .when(kind == 1, F.concat(code, F.lit("f")))
+        .when(kind == 2, "NaN")
+        .when(kind == 3, "Infinity")
+        .when(kind == 4, F.concat(F.lit("-"), code, F.lit(".50")))
+        .otherwise(code)
+    )
+    return control_totals(t["cliente"].select(ids.alias("id")), "id")
+
+
+def _coordinate_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Float coordinates; the sample's tables hold decimals."""
+    balance = spark.read.parquet(f"{folder}/customer.parquet")
+    return balance.select(
+        F.col("c_custkey").alias("codigo"), coordinate_text(F.col("c_acctbal") / 7, floating=True).alias("latitud")
+    )
+
+
+def _delivered_rows(t: Tables) -> DataFrame:
+    """What a reader finds after two days were delivered, one of them twice and a third without rows."""
+    spark = t["venta"].sparkSession
+    root = f"{delivery_folder(spark)}/{spark.sparkContext.applicationId}/rows"
+    second, empty, one = dt.date(1998, 5, 11), dt.date(1990, 1, 1), dt.date(1998, 5, 13)
+    rows = EXTRACTS["sales_second_day"](t)
+    delivery.deliver(rows.unionAll(rows), root, delivery.SALES, second)
+    delivery.deliver(rows.limit(0), root, delivery.SALES, empty)
+    both = [rows.withColumn("business_date", day(second)), EXTRACTS["sales_daily"](t).withColumn("business_date", day(one))]
+    delivery.deliver_days(both[0].unionAll(both[1]), root, delivery.SALES, [second, one])
+    return delivery.delivered(spark, root, delivery.SALES, rows.schema)
+
+
 def _delivery_roundtrip(t: Tables) -> DataFrame:
     """Deliver one day's three packages to the shared folder; their control totals as read back."""
     spark = t["venta"].sparkSession
-    root = f"{shared_folder(spark)}/despacho/{spark.sparkContext.applicationId}"
+    root = f"{delivery_folder(spark)}/{spark.sparkContext.applicationId}/roundtrip"
     day = dt.date(1998, 5, 13)
     delivery.deliver(EXTRACTS["sales_daily"](t), root, delivery.SALES, day)
     delivery.deliver(EXTRACTS["inventory_daily"](t), root, delivery.STOCK, day)
@@ -182,7 +241,12 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "delivery_names": _delivery_names,
     "skip_delivered": _skip_delivered,
     "pending_deliveries": _pending,
+    "backlog_numbers": _backlog_numbers,
     "mark_delivered": _mark_delivered,
+    "sales_range_padded_codes": lambda t: EXTRACTS["sales_range"](_padded(t)),
+    "customer_master_padded_codes": lambda t: EXTRACTS["customer_master"](_padded(t)),
+    "control_text_ids": _control_text_ids,
+    "delivered_rows": _delivered_rows,
     "unit_conversion": _unit_conversion,
     "document_types": _document_types,
     "associated_vouchers": _associated_vouchers,
@@ -194,7 +258,6 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
 
 def _over_sample(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        split_hot_keys_early(spark)
         return plan(sample_tables(spark, sf_dir))
 
     return query
@@ -206,7 +269,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = {name: _over_sample(plan) for name, plan in PLANS.items()}
+    own = {name: _over_sample(plan) for name, plan in PLANS.items()} | {"coordinate_texts": _coordinate_texts}
     return own | (llm_queries.queries() if llm_queries else {})
 
 

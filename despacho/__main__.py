@@ -10,17 +10,20 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from despacho.operators.lookups import config_row
+from despacho.operators.lookups import ADVANCED_SERIES, PACKAGE_SERIES, config_row
 from despacho.plans import customers, runs, sales, stock
 from despacho.plans.dimensions import Tables
 from despacho.session import tune
 from despacho.sources.base import parquet_tables
 
 VARIANTS = {"units": runs.units_extracts, "boxes": runs.boxes_extracts}
+SERIES = {"advanced": ADVANCED_SERIES, "package": PACKAGE_SERIES}
 REPORTS: dict[str, Callable[[Tables, int, dt.date, dt.date], DataFrame]] = {
     "sales_range": lambda t, s, a, b: sales.sales_range(t, supplier=s, start=a, end=b),
     "sales_since": lambda t, s, a, b: sales.sales_since(t, supplier=s, start=a),
@@ -42,8 +45,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         command.add_argument("--as-of", type=dt.date.fromisoformat, default=None, help="run date, today by default")
         command.add_argument("--day-offset", type=int, default=-1)
         command.add_argument("--variant", choices=VARIANTS, default="units")
+        command.add_argument("--format", choices=("parquet", "csv"), default="parquet", help="of the delivered files")
         if name == "daily":
             command.add_argument("--every-time", action="store_true", help="also when the run date is stamped already")
+            command.add_argument("--series", choices=SERIES, default="advanced", help="the series that the run advances")
     report = commands.add_parser("report")
     report.add_argument("name", choices=REPORTS)
     report.add_argument("--start", type=dt.date.fromisoformat, required=True)
@@ -51,6 +56,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     report.add_argument("--output", required=True)
     for command in commands.choices.values():
         command.add_argument("--tables", required=True, help="folder with one parquet folder per base table")
+        command.add_argument("--paths", type=json.loads, default={}, help='JSON of tables that lie elsewhere: {"venta": "s3a://..."}')
+        command.add_argument("--renames", type=json.loads, default={}, help='JSON of renamed columns: {"venta": {"theirs": "ours"}}')
     return parser.parse_args(argv)
 
 
@@ -58,19 +65,19 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"despacho-{args.command}").getOrCreate()
     tune(spark)
-    t = parquet_tables(spark, args.tables)
+    t = parquet_tables(spark, args.tables, args.paths, args.renames)
     if args.command == "report":
         supplier = config_row(t["configuracion"])["codigo_proveedor"]
         rows = REPORTS[args.name](t, supplier, args.start, args.end or args.start)
         rows.write.mode("overwrite").parquet(args.output)
         return
-    as_of = args.as_of or dt.date.today()
+    as_of = args.as_of or spark.range(1).select(F.current_date()).first()[0]
+    variant = VARIANTS[args.variant]
     if args.command == "daily":
-        done = runs.daily_run(
-            spark, t, args.root, as_of, args.day_offset, VARIANTS[args.variant], once_a_day=not args.every_time
-        )
+        series, once = SERIES[args.series], not args.every_time
+        done = runs.daily_run(spark, t, args.root, as_of, args.day_offset, variant, series, once, args.format)
     else:
-        done = runs.run_backlog(spark, t, args.root, as_of, args.day_offset, VARIANTS[args.variant])
+        done = runs.run_backlog(spark, t, args.root, as_of, args.day_offset, variant, args.format)
     for package, controls in done.items():
         print(package, {name: str(value) for name, value in controls.items()})
 

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 MAIN_CONFIG = 1  # fixed value: key of the configuration row in use
 
 
+def is_code(column: Column, code: str) -> Column:
+    """Whether a text column holds the code, blanks behind it aside; the prefix reaches the scan."""
+    return column.startswith(code) & (F.rtrim(column) == code)
+
+
 @dataclass(frozen=True)
 class Series:
     """Key of one row of the numbering table."""
@@ -22,8 +27,8 @@ class Series:
     def matches(self) -> Column:
         return (
             (F.col("sucursal") == self.sucursal)
-            & (F.col("tiponum") == self.tiponum)
-            & (F.col("letra") == self.letra)
+            & is_code(F.col("tiponum"), self.tiponum)
+            & is_code(F.col("letra"), self.letra)
             & (F.col("empresa_id") == self.empresa_id)
         )
 
@@ -50,7 +55,7 @@ def numbering_copies(numbering: DataFrame, series: Series = PACKAGE_SERIES) -> C
     Summing k equal copies is k times the sum, so the count takes the place of
     the pairing; k = 0 leaves no sales at all.
     """
-    return numbering.filter(F.col("tiponum") == series.tiponum).agg(F.count("*").alias("copies")).scalar()
+    return numbering.filter(is_code(F.col("tiponum"), series.tiponum)).agg(F.count("*").alias("copies")).scalar()
 
 
 def config_row(config: DataFrame, code: int = MAIN_CONFIG) -> Row:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from despacho.functions.quantities import coordinate_text
-from despacho.operators.lookups import distributor_code, package_number
+from despacho.functions.quantities import coordinate_text, is_floating
+from despacho.operators.lookups import distributor_code, is_code, package_number
 from despacho.plans.dimensions import Tables
 
 # Constant columns and the status of an active customer.
@@ -16,9 +16,14 @@ ACTIVE = "A"
 
 def customer_master(t: Tables) -> DataFrame:
     """Active customers with a positive code."""
+    kinds = t["cliente"].schema
+
+    def coordinate(name: str) -> Column:
+        return coordinate_text(F.col(name), is_floating(kinds[name].dataType))
+
     return (
         t["cliente"]
-        .filter((F.col("codigo") > 0) & (F.col("estado") == ACTIVE))
+        .filter((F.col("codigo") > 0) & is_code(F.col("estado"), ACTIVE))
         .select(
             distributor_code(t["configuracion"]).alias("IdDistribuidor"),
             package_number(t["numeracion"], 1).alias("IdPaquete"),
@@ -31,8 +36,8 @@ def customer_master(t: Tables) -> DataFrame:
             F.col("direccion").alias("Calle"),
             F.lit("").alias("Numero"),
             F.col("cuit").alias("CUIT"),
-            coordinate_text(F.col("geoy")).alias("Latitud"),
-            coordinate_text(F.col("geox")).alias("Longitud"),
+            coordinate("geoy").alias("Latitud"),
+            coordinate("geox").alias("Longitud"),
             F.col("ramo").alias("IdTipoCliente"),
         )
     )

@@ -4,7 +4,7 @@ Layout under a delivery root that all executors share:
 
     <root>/<kind>/business_date=YYYY-MM-DD/                      the data
     <root>/verificacion/kind=<kind>/business_date=YYYY-MM-DD/    its control totals
-    <root>/ledger/kind=<kind>/business_date=YYYY-MM-DD/          when it was delivered
+    <root>/ledger/kind=<kind>/business_date=YYYY-MM-DD/          when it was delivered, and under which name
 
 A partition is swapped in when its job commits, so delivering a package again
 replaces that package and no other, and a lost executor leaves the old one.
@@ -13,29 +13,21 @@ replaces that package and no other, and a lost executor leaves the old one.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from despacho.functions.dates import compact_text, day
 from despacho.functions.quantities import TOTAL
-from despacho.operators.control import (
-    COUNT_NAME,
-    INDICATOR,
-    TOTAL_NAME,
-    VALUE,
-    control_totals,
-    numeric_count,
-    rounded_total,
-)
+from despacho.operators.control import INDICATOR, VALUE, totals
 
 VERIFICATION = f"kind string, business_date date, {INDICATOR} string, {VALUE} decimal(28,2)"
 LEDGER = "kind string, business_date date, sent_at timestamp_ntz"
+NAMED_LEDGER = f"{LEDGER}, package_name string"
 
 
 @dataclass(frozen=True)
@@ -64,6 +56,12 @@ def literal_rows(spark: SparkSession, *rows: dict) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there, asked of the file system that holds it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def write_partitions(df: DataFrame, path: str, *by: str, file_format: str = "parquet") -> None:
     """Write ``df`` by the given columns, replacing exactly the partitions it has rows for."""
     writer = df.write.format(file_format).partitionBy(*by).mode("overwrite")
@@ -75,13 +73,10 @@ def write_partitions(df: DataFrame, path: str, *by: str, file_format: str = "par
 
 def read_partitions(spark: SparkSession, path: str, schema: StructType | str, file_format: str = "parquet") -> DataFrame:
     """What ``write_partitions`` wrote; no rows if nothing was written yet."""
-    try:
-        reader = spark.read.format(file_format).schema(schema)
-        return (reader.option("header", "true") if file_format == "csv" else reader).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    reader = spark.read.format(file_format).schema(schema)
+    return (reader.option("header", "true") if file_format == "csv" else reader).load(path)
 
 
 def delivered(spark: SparkSession, root: str, kind: Kind, schema: StructType, file_format: str = "parquet") -> DataFrame:
@@ -90,51 +85,71 @@ def delivered(spark: SparkSession, root: str, kind: Kind, schema: StructType, fi
     return read_partitions(spark, f"{root}/{kind.name}", dated, file_format)
 
 
-def deliver(
-    df: DataFrame, root: str, kind: Kind, business_date: dt.date, file_format: str = "parquet"
-) -> Mapping[str, Decimal]:
-    """Write one package with its control totals, which are taken from the rows read back.
+Controls = Mapping[str, Decimal]
+
+
+def deliver_days(
+    df: DataFrame, root: str, kind: Kind, days: Sequence[dt.date], file_format: str = "parquet"
+) -> dict[dt.date, Controls]:
+    """Write the packages of several days, told apart by ``business_date``, with their control totals.
 
-    The rebalance splits a large package over many files and joins small ones.
-    Rows are counted and summed while they are written; a difference from the
-    control totals is an error.
+    One write for all; the rebalance splits a large package over many files and
+    joins small ones. Rows are counted and summed while they are written; a
+    difference from the control totals, which are taken from the rows read
+    back, is an error. A day without rows becomes an empty package.
     """
     spark = df.sparkSession
-    observed = Observation(f"deliver_{kind.name}_{business_date:%Y%m%d}")
-    checks = {COUNT_NAME: numeric_count(df, kind.counted)}
-    if kind.summed is not None:
-        checks[TOTAL_NAME] = rounded_total(kind.summed)
-    rows = df.hint("rebalance").observe(
-        observed, F.count("*").alias("rows"), *(c.alias(name) for name, c in checks.items())
-    )
+    observed = Observation(f"deliver_{kind.name}_{min(days):%Y%m%d}")
+    content = df.drop("business_date").schema
+    business_date = F.col("business_date")
+    expected = {
+        (d, name): value
+        for d in days
+        for name, value in totals(df, kind.counted, kind.summed, business_date == day(d)).items()
+    }
+    counts = {d: F.count(F.when(business_date == day(d), 1)) for d in days}
+    metrics = [c.alias(f"rows {d}") for d, c in counts.items()] + [c.alias(f"{name} {d}") for (d, name), c in expected.items()]
+    rows = df.filter(business_date.isin(*map(day, days))).hint("rebalance").observe(observed, *metrics)
     path = f"{root}/{kind.name}"
-    write_partitions(rows.withColumn("business_date", day(business_date)), path, "business_date", file_format=file_format)
-    if observed.get["rows"] == 0:
-        # No row names the partition, so an earlier delivery of the day is replaced by hand.
-        empty = spark.createDataFrame([], df.schema).write.format(file_format).mode("overwrite")
-        empty.save(f"{path}/business_date={business_date:%Y-%m-%d}")
-
-    package = delivered(spark, root, kind, df.schema, file_format).filter(F.col("business_date") == day(business_date))
-    controls = {r[INDICATOR]: r[VALUE] for r in control_totals(package, kind.counted, kind.summed).collect()}
-    for name in checks:
-        if controls[name] != Decimal(observed.get[name]):
-            raise RuntimeError(f"{kind.name}: {name} written {observed.get[name]}, read back {controls[name]}")
-    package_key = {"kind": kind.name, "business_date": business_date}
-    sheet = literal_rows(spark, *({**package_key, INDICATOR: name, VALUE: value} for name, value in controls.items()))
+    write_partitions(rows, path, "business_date", file_format=file_format)
+    for d in days:
+        if observed.get[f"rows {d}"] == 0:
+            # No row names the partition, so an earlier delivery of the day is replaced by hand.
+            empty = spark.createDataFrame([], content).write.format(file_format).mode("overwrite")
+            empty.save(f"{path}/business_date={d:%Y-%m-%d}")
+
+    written = delivered(spark, root, kind, content, file_format).filter(business_date.isin(*map(day, days)))
+    wide = written.groupBy("business_date").agg(*(c.alias(n) for n, c in totals(written, kind.counted, kind.summed).items()))
+    names = list(totals(written, kind.counted, kind.summed))
+    read = {r["business_date"]: r for r in wide.collect()}
+    controls = {d: {n: read[d][n] if d in read else Decimal("0.00") for n in names} for d in days}
+    for (d, name) in expected:
+        if controls[d][name] != Decimal(observed.get[f"{name} {d}"]):
+            raise RuntimeError(f"{kind.name}: {name} of {d} written {observed.get[f'{name} {d}']}, read back {controls[d][name]}")
+    sheet = literal_rows(
+        spark,
+        *({"kind": kind.name, "business_date": d, INDICATOR: n, VALUE: v} for d in days for n, v in controls[d].items()),
+    )
     write_partitions(
         sheet.withColumn(VALUE, F.col(VALUE).cast(TOTAL)), f"{root}/verificacion", "kind", "business_date"
     )
     return controls
 
 
+def deliver(df: DataFrame, root: str, kind: Kind, business_date: dt.date, file_format: str = "parquet") -> Controls:
+    """Write one package with its control totals."""
+    dated = df.withColumn("business_date", day(business_date))
+    return deliver_days(dated, root, kind, [business_date], file_format)[business_date]
+
+
 def verification(spark: SparkSession, root: str) -> DataFrame:
     """Control totals of every delivered package."""
     return read_partitions(spark, f"{root}/verificacion", VERIFICATION)
 
 
 def ledger(spark: SparkSession, root: str) -> DataFrame:
-    """What was delivered and when."""
-    return read_partitions(spark, f"{root}/ledger", LEDGER)
+    """What was delivered, when, and under which name."""
+    return read_partitions(spark, f"{root}/ledger", NAMED_LEDGER)
 
 
 def record_delivery(sent: DataFrame, root: str) -> None:

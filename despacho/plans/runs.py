@@ -11,7 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from despacho.functions.dates import Day, age_in_days, day
-from despacho.operators.lookups import ADVANCED_SERIES, MAIN_CONFIG, Series, config_row, package_number
+from despacho.operators.lookups import (
+    ADVANCED_SERIES,
+    MAIN_CONFIG,
+    PACKAGE_SERIES,
+    Series,
+    config_row,
+    package_number,
+)
 from despacho.plans import customers, sales, stock
 from despacho.plans.delivery import (
     CUSTOMERS,
@@ -19,8 +26,10 @@ from despacho.plans.delivery import (
     STOCK,
     Kind,
     deliver,
+    deliver_days,
     ledger,
     literal_rows,
+    package_name,
     read_partitions,
     record_delivery,
     write_partitions,
@@ -92,27 +101,31 @@ Extracts = Mapping[Kind, Callable[[], DataFrame]]
 ExtractsOf = Callable[[Tables, int, dt.date], Extracts]
 
 
-def units_extracts(t: Tables, supplier: int, business_date: dt.date) -> Extracts:
-    """The daily datasets in units, sales of the one day."""
-    one_day = {"supplier": supplier, "start": business_date, "end": business_date}
+def units_extracts(t: Tables, supplier: int, first: dt.date, last: dt.date | None = None) -> Extracts:
+    """The daily datasets in units of the business dates from ``first`` to ``last``, sales of each day alone."""
+    days = {"supplier": supplier, "start": first, "end": last or first}
     return {
-        SALES: lambda: sales.sales_range(t, **one_day),
-        STOCK: lambda: stock.inventory_units(t, **one_day),
+        SALES: lambda: sales.sales_range(t, **days),
+        STOCK: lambda: stock.inventory_units(t, **days),
         CUSTOMERS: lambda: customers.customer_master(t),
     }
 
 
-def boxes_extracts(t: Tables, supplier: int, business_date: dt.date) -> Extracts:
+def boxes_extracts(t: Tables, supplier: int, first: dt.date, last: dt.date | None = None) -> Extracts:
     """The daily datasets with stock in purchase boxes, sales from the day on."""
     return {
-        SALES: lambda: sales.sales_since(t, supplier=supplier, start=business_date),
-        STOCK: lambda: stock.inventory_boxes(t, supplier=supplier, start=business_date, end=business_date),
+        SALES: lambda: sales.sales_since(t, supplier=supplier, start=first),
+        STOCK: lambda: stock.inventory_boxes(t, supplier=supplier, start=first, end=last or first),
         CUSTOMERS: lambda: customers.customer_master(t),
     }
 
 
+# Datasets whose package of a business date holds later days as well.
+OPEN_ENDED: Mapping[ExtractsOf, frozenset[str]] = {boxes_extracts: frozenset([SALES.name])}
+
+
 def run_log(spark: SparkSession, root: str) -> DataFrame:
-    """One row per run date: the number its series was advanced to."""
+    """One row per run date and series: the number the series was advanced to."""
     columns = "sucursal int, tiponum string, letra string, empresa_id int, numero bigint, run_date date"
     return read_partitions(spark, f"{root}/runs", columns)
 
@@ -145,16 +158,30 @@ def record_run(numbering: DataFrame, root: str, as_of: dt.date, series: Series)
     key = [F.lit(value).alias(name) for name, value in asdict(series).items()]
     advanced = package_number(advance_sequence(numbering, series), 0, series)
     row = spark.range(1).select(*key, advanced.cast("bigint").alias("numero"), day(as_of).alias("run_date"))
-    write_partitions(row, f"{root}/runs", "run_date")
+    write_partitions(row, f"{root}/runs", *asdict(series), "run_date")
+
+
+def numbers_before(packages: DataFrame, log: DataFrame, numbering: DataFrame, series: Series = PACKAGE_SERIES) -> DataFrame:
+    """The packages with ``numero``, their series' number as it was before the run that created them.
+
+    The log has a row per run, so its history is one value.
+    """
+    run = F.struct("run_date", "numero")
+    history = log.filter(series.matches()).agg(F.sort_array(F.collect_list(run)).alias("runs")).scalar()
+    earlier = F.filter("runs", lambda r: r["run_date"] < F.col("created"))
+    number = F.greatest(package_number(numbering, 0, series).cast("bigint"), F.get(earlier, F.size(earlier) - 1)["numero"])
+    return packages.withColumn("runs", history).withColumn("numero", number).drop("runs")
 
 
 def _packages(spark: SparkSession, packages: list[tuple[str, dt.date]]) -> DataFrame:
     return literal_rows(spark, *({"kind": kind, "business_date": date} for kind, date in packages))
 
 
-def _record(spark: SparkSession, root: str, packages: list[tuple[str, dt.date]]) -> None:
+def _record(spark: SparkSession, root: str, user: str, packages: list[tuple[str, dt.date]]) -> None:
     if packages:
-        record_delivery(_packages(spark, packages).withColumn("sent_at", F.localtimestamp()), root)
+        name = package_name(F.lit(user), F.col("kind"), F.col("business_date"))
+        rows = _packages(spark, packages).withColumn("sent_at", F.localtimestamp()).withColumn("package_name", name)
+        record_delivery(rows, root)
 
 
 def daily_run(
@@ -166,6 +193,7 @@ def daily_run(
     extracts: ExtractsOf = units_extracts,
     series: Series = ADVANCED_SERIES,
     once_a_day: bool = True,
+    file_format: str = "parquet",
 ) -> Mapping[str, Mapping[str, Decimal]]:
     """One run: gate, build and deliver what is missing, then the bookkeeping.
 
@@ -176,22 +204,25 @@ def daily_run(
     them. Returns the control totals of the packages delivered, by kind.
     """
     config = config_at(t["configuracion"], root, as_of)
-    numbering = numbering_at(t["numeracion"], root, as_of, series, before=True)
+    numbering = t["numeracion"]
+    for each in {PACKAGE_SERIES, series}:
+        numbering = numbering_at(numbering, root, as_of, each, before=True)
     t = {**t, "configuracion": config, "numeracion": numbering}
     if once_a_day and due(config, as_of).filter(F.col("codigo") == MAIN_CONFIG).isEmpty():
         return {}
-    supplier = config_row(config)["codigo_proveedor"]
+    settings = config_row(config)
+    supplier, user = settings["codigo_proveedor"], settings["usuario"]
     business_date = as_of + dt.timedelta(days=day_offset)
 
     datasets = extracts(t, supplier, business_date)
     planned = _packages(spark, [(kind.name, business_date) for kind in datasets])
     missing = {r["kind"] for r in skip_delivered(planned, ledger(spark, root)).collect()}
     controls = {
-        kind.name: deliver(build(), root, kind, business_date)
+        kind.name: deliver(build(), root, kind, business_date, file_format)
         for kind, build in datasets.items()
         if kind.name in missing
     }
-    _record(spark, root, [(name, business_date) for name in controls])
+    _record(spark, root, user, [(name, business_date) for name in controls])
     record_run(numbering, root, as_of, series)
     return controls
 
@@ -203,21 +234,40 @@ def run_backlog(
     as_of: dt.date,
     day_offset: int = -1,
     extracts: ExtractsOf = units_extracts,
-    series: Series = ADVANCED_SERIES,
+    file_format: str = "parquet",
 ) -> Mapping[tuple[str, dt.date], Mapping[str, Decimal]]:
     """Deliver the stock and sales packages of the last days that are not in the ledger yet.
 
-    Package by package, each recorded as soon as it is verified; the run date
-    and the sequence stay as they are.
+    One job per dataset for all its waiting days, then one ledger write. Every
+    package carries the number it had before the run that should have delivered
+    it; the run date and the sequences stay as they are.
     """
     config = config_at(t["configuracion"], root, as_of)
-    t = {**t, "configuracion": config, "numeracion": numbering_at(t["numeracion"], root, as_of, series)}
-    supplier = config_row(config)["codigo_proveedor"]
-    waiting = pending(calendar(spark, as_of, day_offset), ledger(spark, root), as_of).collect()
+    t = {**t, "configuracion": config}
+    settings = config_row(config)
+    supplier, user = settings["codigo_proveedor"], settings["usuario"]
+    waiting = pending(calendar(spark, as_of, day_offset), ledger(spark, root), as_of)
+    base = package_number(t["numeracion"], 0).cast("bigint")
+    waiting = numbers_before(waiting, run_log(spark, root), t["numeracion"]).withColumn("ahead", F.col("numero") - base)
+    # At most one package a kind and day of the backlog's horizon.
+    by_kind: dict[str, dict[dt.date, int]] = {}
+    for row in waiting.select(*PACKAGE, "ahead").collect():
+        by_kind.setdefault(row["kind"], {})[row["business_date"]] = row["ahead"] or 0
+
     controls = {}
-    for package in sorted(waiting, key=lambda r: (r["business_date"], r["kind"])):
-        name, business_date = package["kind"], package["business_date"]
-        [(kind, build)] = [(k, b) for k, b in extracts(t, supplier, business_date).items() if k.name == name]
-        controls[name, business_date] = deliver(build(), root, kind, business_date)
-        _record(spark, root, [(name, business_date)])
+    for name, ahead in sorted(by_kind.items()):
+        days = sorted(ahead)
+        [(kind, build)] = [(k, b) for k, b in extracts(t, supplier, days[0], days[-1]).items() if k.name == name]
+        rows, fecha = build(), F.to_date("Fecha")
+        if name in OPEN_ENDED.get(extracts, ()):
+            dates = F.filter(F.array(*map(day, days)), lambda d: d <= fecha)
+            rows = rows.select("*", F.explode(dates).alias("business_date"))
+        else:
+            rows = rows.withColumn("business_date", fecha).filter(F.col("business_date").isin(*map(day, days)))
+        steps = F.create_map(*[x for d in days for x in (day(d), F.lit(ahead[d]))])
+        kept = rows.schema["IdPaquete"].dataType
+        rows = rows.withColumn("IdPaquete", (F.col("IdPaquete") + steps[F.col("business_date")]).cast(kept))
+        done = deliver_days(rows, root, kind, days, file_format)
+        controls |= {(name, d): done[d] for d in days}
+    _record(spark, root, user, sorted(controls))
     return controls

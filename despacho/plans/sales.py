@@ -65,31 +65,33 @@ def net_lines(t: Tables, sold: Dimension, start: Day | Column, end: Day | Column
     )
 
 
-def _net_sales(t: Tables, headers: DataFrame, lines: DataFrame, *attributes: str) -> DataFrame:
-    """Sums per reported voucher, product and header attributes, times the numbering copies."""
-    per_voucher = (
-        headers.join(lines, VOUCHER_KEY)
-        .groupBy("fecha", "comprobante", "referencia", "cod_cli", "cod_ven", "IdProducto", "motivo", "tipo", *attributes)
+def _net_sales(sold_vouchers: DataFrame, copies: Column, *attributes: str) -> DataFrame:
+    """Sums per voucher, product and looked-up attributes, times the numbering copies."""
+    return (
+        sold_vouchers.groupBy(
+            "fecha", "comprobante", "referencia", "cod_cli", "cod_ven", "IdProducto", "motivo", "tipo", *attributes
+        )
         .agg(
             F.sum("converted").alias("converted"),
             F.sum("units").alias("units"),
             F.bool_or("zero_divisor").alias("zero_divisor"),
         )
-    )
-    checked = F.when(F.col("zero_divisor"), F.raise_error(F.lit("division by zero: uxbcompra"))).otherwise(
-        F.col("converted")
-    )
-    return (
-        per_voucher.withColumn("copies", numbering_copies(t["numeracion"]))
+        .withColumn("copies", copies)
         .filter(F.col("copies") > 0)
-        .withColumn("converted", checked * F.col("copies"))
+        .withColumn("converted", F.col("converted") * F.col("copies"))
         .withColumn("units", F.col("units") * F.col("copies"))
     )
 
 
+def _reported_rows(net: DataFrame, dropped: Column) -> DataFrame:
+    """Rows that aren't dropped; a zero divisor in one is an error, whichever columns are read."""
+    failure = F.raise_error(F.lit("division by zero: uxbcompra")).cast("boolean")
+    return net.filter(F.when(dropped, False).when(F.col("zero_divisor"), failure).otherwise(True))
+
+
 def _current_columns(t: Tables, net: DataFrame, name: Column, surname: Column) -> DataFrame:
     voucher = F.col("comprobante")
-    return net.filter(F.col("units") != 0).select(
+    return _reported_rows(net, F.coalesce(F.col("units") == 0, F.lit(True))).select(
         distributor_code(t["configuracion"]).alias("IdDistribuidor"),
         package_number(t["numeracion"], 1).alias("IdPaquete"),
         F.col("cod_cli").alias("IdCliente"),
@@ -108,18 +110,25 @@ def _current_columns(t: Tables, net: DataFrame, name: Column, surname: Column) -
     )
 
 
-def _customer_headers(
+def _sold_vouchers(
     t: Tables,
     start: Day | Column,
     end: Day | Column | None,
+    sold: Dimension,
     reason: Dimension,
     customer: Dimension,
     types: list[Dimension],
     type_required: bool,
 ) -> DataFrame:
-    """Reported vouchers of known customers, with reason and customer type."""
-    headers = reason.join_to(invoiced_vouchers(t, start, end), "motivodev", "left")
-    return with_type(customer.join_to(headers, "cod_cli"), *types, required=type_required)
+    """Reported vouchers with their net lines; then reason and customer type, of known customers.
+
+    Vouchers and lines are shuffled on the voucher key, which leaves one
+    supplier's vouchers for the lookups. A customer that holds many vouchers
+    matters only to a lookup that is itself a shuffle join.
+    """
+    met = invoiced_vouchers(t, start, end).join(net_lines(t, sold, start, end), VOUCHER_KEY)
+    met = reason.join_to(customer.join_to(met, "cod_cli"), "motivodev", "left")
+    return with_type(met, *types, required=type_required)
 
 
 def sales_range(
@@ -134,9 +143,8 @@ def sales_range(
     sold, seller, reason, customer, *types = broadcast_small(
         products(t, supplier, excluded_article), sellers(t), reasons(t), customers(t), *type_dimensions(t)
     )
-    headers = _customer_headers(t, start, end, reason, customer, types, type_required=False)
-    headers = seller.join_to(headers, "cod_ven", "left")
-    net = _net_sales(t, headers, net_lines(t, sold, start, end), "vendedor")
+    met = _sold_vouchers(t, start, end, sold, reason, customer, types, type_required=False)
+    net = _net_sales(seller.join_to(met, "cod_ven", "left"), numbering_copies(t["numeracion"]), "vendedor")
     return _current_columns(t, net, F.col("vendedor"), F.col("vendedor"))
 
 
@@ -145,8 +153,8 @@ def sales_since(t: Tables, *, supplier: int, start: Day | Column) -> DataFrame:
     sold, reason, customer, *types = broadcast_small(
         products(t, supplier), reasons(t), customers(t), *type_dimensions(t)
     )
-    headers = _customer_headers(t, start, None, reason, customer, types, type_required=False)
-    net = _net_sales(t, headers, net_lines(t, sold, start, None))
+    met = _sold_vouchers(t, start, None, sold, reason, customer, types, type_required=False)
+    net = _net_sales(met, numbering_copies(t["numeracion"]))
     return _current_columns(t, net, F.lit(SELLER_NAME), F.lit(SELLER_SURNAME))
 
 
@@ -155,10 +163,12 @@ def sales_by_alias(t: Tables, *, supplier: int, start: Day | Column, end: Day |
     sold, reason, customer, *types = broadcast_small(
         aliased_products(t, supplier), reasons(t), customers(t), *type_dimensions(t)
     )
-    headers = _customer_headers(t, start, end, reason, customer, types, type_required=True)
-    net = _net_sales(t, headers, net_lines(t, sold, start, end))
+    met = _sold_vouchers(t, start, end, sold, reason, customer, types, type_required=True)
+    net = _net_sales(met, numbering_copies(t["numeracion"]))
     voucher = F.col("comprobante")
-    return net.filter(F.col("converted") != 0).select(
+    # The quantity itself decides whether a row is reported, so every bad divisor is an error.
+    dropped = ~F.coalesce("zero_divisor", F.lit(False)) & F.coalesce(F.col("converted") == 0, F.lit(True))
+    return _reported_rows(net, dropped).select(
         distributor_code(t["configuracion"]).alias("IdDistribuidor"),
         package_number(t["numeracion"], 0).alias("IdPaquete"),
         F.col("fecha").alias("Fecha"),

@@ -10,7 +10,6 @@ from pyspark.sql import SparkSession
 SPLIT_EARLY = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32MB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
 }
 PROFILE = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,13 +22,19 @@ PROFILE = {
 
 
 def build_session(app: str, cpus: int, **settings: str) -> SparkSession:
-    """Local session for tests and the bench; a cluster brings its own session."""
+    """Local session for tests and the bench; a cluster brings its own session.
+
+    Its tables are about a thousandth of a cluster's, and so is the size below
+    which shuffle partitions are joined: else every small shuffle is one task,
+    and what one task wrote can't be split where a key is hot.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**PROFILE, **settings}.items():
@@ -78,3 +83,9 @@ def shared_folder(spark: SparkSession) -> str:
             _local_folders[application] = tempfile.mkdtemp(prefix="despacho-")
         folder = _local_folders[application]
     return folder.rstrip("/")
+
+
+def delivery_folder(spark: SparkSession) -> str:
+    """Where deliveries go that name no root: ``spark.despacho.delivery``, else a folder beside the checkpoints."""
+    folder = spark.conf.get("spark.despacho.delivery", None)
+    return folder.rstrip("/") if folder else f"{shared_folder(spark)}/despacho"

@@ -11,8 +11,8 @@ from conftest import TESTDATA
 import __spark_entry__ as entry_points
 from despacho.sources.sample import sample_tables
 
-QUERIES = entry_points.queries()
-TEXTS = entry_points.oracle_sql()
+QUERIES = {name: entry_points.queries()[name] for name in (*entry_points.PLANS, "coordinate_texts")}
+TEXTS = {name: text for name, text in entry_points.oracle_sql().items() if name in QUERIES}
 
 pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="needs the test tables")
 

@@ -26,9 +26,9 @@ CHANGES = {
         ("left join ramo_equivalencia", "join ramo_equivalencia"),
         ("left join tipo_cliente", "join tipo_cliente"),
         ("left join vendedor", "join vendedor"),
-        ("ifnull(tipo, 8)", "tipo"),
-        ("ifnull(referencia, '')", "referencia"),
-        ("when 'ND' then 'DE'", ""),
+        ("coalesce(tipo, 8)", "tipo"),
+        ("coalesce(referencia, '')", "referencia"),
+        ("when convertida >= 0 and left(comprobante, 2) = 'ND' then 'DE'", ""),
         ("numero + 1", "numero"),
     ],
     "sales_since": [
@@ -44,7 +44,7 @@ CHANGES = {
         ("fecha_factura is not null and", ""),
         ("prove = 3 and", ""),
         ("join tipo_cliente", "left join tipo_cliente"),
-        ("if(left(referencia, 2)", "if(left(comprobante, 2)"),
+        ("case when left(referencia, 2)", "case when left(comprobante, 2)"),
         ("* inv_uxbcompra", ""),
         ("where convertida <> 0", ""),
     ],
@@ -53,7 +53,7 @@ CHANGES = {
         ("prove = 3 and", ""),
         ("and baja = 0", ""),
         ("deposito_id = 0 and", ""),
-        ("cantidad, 0)", "cantidad, -1)"),
+        ("cantidad else 0 end", "cantidad else -1 end"),
     ],
     "inventory_boxes": [("* inv_uxbcompra", ""), ("::decimal(18,2)), 0)", "::decimal(18,2)), 1)")],
     "inventory_alias_units": [
@@ -65,10 +65,11 @@ CHANGES = {
     "customer_master": [
         ("codigo > 0 and", ""),
         ("and estado = 'A'", ""),
-        ("if(geoy = 0, '', geoy::varchar)", "geoy::varchar"),
+        ("case when geoy = 0 then '' else geoy::varchar end", "geoy::varchar"),
         ("geox::varchar", "geoy::varchar"),
     ],
     "pending_deliveries": [("<= 3", "<= 2"), ("<= 3", "<= 8"), ("p.kind in ('inv', 'vta') and", "")],
+    "backlog_numbers": [("fecha < p.created", "fecha <= p.created"), ("max_by", "min_by")],
     "mark_delivered": [("08:00:00", "09:00:00")],
     "due_gate": [("is distinct from", "=")],
     "advance_sequence": [("tiponum = 'JJ'", "tiponum = 'BD'")],
