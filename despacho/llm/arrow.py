@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from despacho.session import shared_folder
 
-CHUNK_BYTES = 4 << 20  # text per call; a longer text makes a chunk of its own
+CHUNK_BYTES = 1 << 20  # text per call; a longer text makes a chunk of its own
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
