@@ -10,7 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from despacho.functions import dates, quantities, vouchers
-from despacho.operators.control import control_totals
+from despacho.functions.quantities import coordinate_text
+from despacho.operators.control import control_totals, numeric_count
 from despacho.operators.joins import broadcast_small, measured_bytes
 
 
@@ -162,3 +163,32 @@ def test_broadcast_only_within_the_measured_size(spark):
     assert [d.thin(facts, "s").count() for d in dimensions] == [1, 3]
     assert [d.join_to(facts, "s").count() for d in dimensions] == [1, 50]
     assert [d.join_to(facts, "s", "left").count() for d in dimensions] == [3, 52]
+
+
+def test_text_counts_only_where_it_is_a_number(spark):
+    texts = ["12", " 12 ", "-1.5", ".5", "5.", "1e3", "12D", "7f", "NaN", "Infinity", "", " ", "1 2", "0x1F", None, "+7"]
+    df = spark.createDataFrame([(t,) for t in texts], "id string")
+    assert df.agg(numeric_count(df, "id")).first()[0] == 7
+
+
+def test_floats_have_six_significant_digits(spark):
+    cases = {
+        -34.60372249: "-34.6037",
+        -58.381592: "-58.3816",
+        100.0: "100",
+        0.0001: "0.0001",
+        0.000012345678: "1.23457e-005",
+        999999.0: "999999",
+        999999.6: "1e+006",
+        1234567.0: "1.23457e+006",
+        0.1 + 0.2: "0.3",
+        -0.5: "-0.5",
+        0.0: "",
+    }
+    df = spark.createDataFrame([(float(x),) for x in cases], "x double")
+    got = df.select(coordinate_text(F.col("x"), floating=True)).collect()
+    assert [r[0] for r in got] == list(cases.values())
+    nulls = spark.createDataFrame([(None,)], "x double").select(coordinate_text(F.col("x"), floating=True))
+    assert nulls.first()[0] is None
+    decimals = spark.sql("select cast(-34.603722 as decimal(12,6)) as x").select(coordinate_text(F.col("x")))
+    assert decimals.first()[0] == "-34.603722"

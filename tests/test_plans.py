@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from despacho.operators import joins
+from despacho.operators.lookups import is_code
 from despacho.plans import dimensions, sales, stock
 from despacho.sources.sample import sample_tables
 
@@ -118,3 +119,29 @@ def test_no_dimension_is_broadcast_beyond_the_limit(spark, monkeypatch, conf):
     ):
         assert "BroadcastHashJoin" not in plan_of(df)
         assert "LeftSemi" not in plan_of(df)
+
+
+def test_vouchers_meet_the_lines_before_a_large_customer_table(spark, monkeypatch, conf):
+    """With customers beyond the limit the vouchers are shuffled once, on their key, ahead of the customer join."""
+    t = sample_tables(spark, FOLDER)
+    sizes = dict(zip(("customers", "products"), joins.measured_bytes(dimensions.customers(t), dimensions.products(t, 3))))
+    assert sizes["products"] < sizes["customers"]
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", sizes["customers"] - 1)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(sales.sales_range(t, supplier=3, start="1998-04-01", end="1998-06-30", excluded_article=723))
+    joined = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    customer, voucher = (next(i for i, line in enumerate(joined) if key in line) for key in ("[cod_cli#", "[comprobante#"))
+    assert customer < voucher  # the customer join stands above the voucher join
+    below = plan[plan.index("SortMergeJoin [comprobante#") :]
+    vouchers_side = below[: below.index("FileScan parquet")]
+    assert len(re.findall("Exchange hashpartitioning", vouchers_side)) == 1 and "cod_cli" in vouchers_side
+    assert "hashpartitioning(comprobante" in vouchers_side
+
+
+def test_padded_codes_leave_the_scan_filters(spark):
+    plan = plan_of(entry_points.queries()["sales_range_padded_codes"](spark, FOLDER))
+    assert "GreaterThanOrEqual(o_orderdate,1998-04-01T00:00)" in plan
+    stored = spark.read.parquet(f"{FOLDER}/orders.parquet").select(F.col("o_orderpriority").alias("estado"))
+    assert "StringStartsWith(estado,1)" in plan_of(stored.filter(is_code(F.col("estado"), "1"))) or "StringStartsWith(o_orderpriority,1)" in plan_of(
+        stored.filter(is_code(F.col("estado"), "1"))
+    )

@@ -13,7 +13,7 @@ from small import DAY, edge_rows, frames
 
 import __spark_entry__ as entry_points
 from despacho import __main__ as command_line
-from despacho.operators.lookups import PACKAGE_SERIES, Series, config_row, package_number
+from despacho.operators.lookups import ADVANCED_SERIES, PACKAGE_SERIES, Series, config_row, package_number
 from despacho.plans import delivery, runs, stock
 from despacho.plans.customers import customer_master
 from despacho.session import SPLIT_EARLY, shared_folder, split_hot_keys_early, tune
@@ -234,3 +234,83 @@ def test_shared_folder_comes_from_the_session(spark):
         shared_folder(Session("k8s://cluster"))
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_folder(spark) == named.rstrip("/")
+
+
+def test_two_series_on_one_day_both_advance_and_repeats_advance_neither_twice(spark, tables, tmp_path):
+    root = str(tmp_path)
+    for series in (ADVANCED_SERIES, PACKAGE_SERIES, ADVANCED_SERIES, PACKAGE_SERIES):
+        runs.daily_run(spark, tables, root, AS_OF, series=series, once_a_day=False)
+    number = tables["numeracion"]
+    for series in (ADVANCED_SERIES, PACKAGE_SERIES):
+        number = runs.numbering_at(number, root, AS_OF, series)
+    assert {r["tiponum"]: r["numero"] for r in number.collect()} == {"BD": 42, "JJ": 8, "FA": 900}
+    assert runs.run_log(spark, root).count() == 2
+
+
+@pytest.mark.parametrize("series, numbers", [(PACKAGE_SERIES, [42, 43, 44]), (ADVANCED_SERIES, [42, 42, 42])])
+@pytest.mark.parametrize("extracts", [runs.units_extracts, runs.boxes_extracts])
+def test_a_package_has_one_number_from_its_run_and_from_the_backlog(spark, tables, tmp_path, series, numbers, extracts):
+    """The ledger loses three days; the backlog delivers the same rows again."""
+    root, again = f"{tmp_path}/own", f"{tmp_path}/again"
+    days = [AS_OF + dt.timedelta(days=n) for n in range(3)]
+    for as_of in days:
+        for folder in (root, again):
+            runs.daily_run(spark, tables, folder, as_of, series=series, extracts=extracts)
+    schema = next(build for kind, build in extracts(tables, 3, DAY).items() if kind == delivery.STOCK)().schema
+
+    def delivered(folder, kind, like):
+        rows = delivery.delivered(spark, folder, kind, like.schema).filter(F.col("business_date") >= F.lit(DAY))
+        return sorted(map(repr, rows.collect()))
+
+    built = {kind: build() for kind, build in extracts(tables, 3, DAY).items() if kind.name in runs.RETRIED_KINDS}
+    want = {kind: delivered(root, kind, df) for kind, df in built.items()}
+    (tmp_path / "again" / "ledger").rename(tmp_path / "lost")
+    done = runs.run_backlog(spark, tables, again, days[-1], extracts=extracts)
+    assert {d for _, d in done} >= {d - dt.timedelta(days=1) for d in days}
+    assert {kind: delivered(again, kind, df) for kind, df in built.items()} == want
+    stocked = delivery.delivered(spark, again, delivery.STOCK, schema)
+    found = dict(tuples(stocked.select("business_date", "IdPaquete").distinct()))
+    assert {d: n for d, n in zip([DAY + dt.timedelta(days=k) for k in range(3)], numbers) if d in found} == {
+        d: n for d, n in found.items() if d >= DAY
+    }
+
+
+def test_backlog_scans_each_fact_table_once_a_dataset(spark, tables, tmp_path, monkeypatch):
+    built = []
+
+    def counted(t, supplier, first, last=None):
+        return {
+            kind: (lambda kind=kind, build=build: built.append((kind.name, first, last)) or build())
+            for kind, build in runs.units_extracts(t, supplier, first, last).items()
+        }
+
+    runs.run_backlog(spark, tables, str(tmp_path), AS_OF, extracts=counted)
+    assert sorted(name for name, _, _ in built) == ["inv", "vta"]
+    assert all(last - first == dt.timedelta(days=3) for _, first, last in built)
+
+
+def test_the_ledger_names_every_package(spark, tables, tmp_path):
+    root = str(tmp_path)
+    runs.daily_run(spark, tables, root, AS_OF)
+    user = config_row(tables["configuracion"])["usuario"]
+    assert tuples(delivery.ledger(spark, root).select("package_name")) == [(f"{user}_{k}_20230510",) for k in ("inv", "mc", "vta")]
+
+
+def test_command_line_delivers_csv_from_renamed_tables(spark, tables, tmp_path):
+    for name, df in tables.items():
+        df = df.withColumnRenamed("codigoprov", "supplier_code") if name == "articulo" else df
+        df.write.parquet(f"{tmp_path}/{'elsewhere' if name == 'venta' else 'tables'}/{name}")
+    out = f"{tmp_path}/out"
+    command_line.main(
+        ["daily", "--tables", f"{tmp_path}/tables", "--root", out, "--as-of", "2023-05-11", "--format", "csv"]
+        + ["--paths", f'{{"venta": "{tmp_path}/elsewhere/venta"}}', "--series", "package"]
+        + ["--renames", '{"articulo": {"supplier_code": "codigoprov"}}']
+    )
+    assert list((tmp_path / "out" / "inv").rglob("*.csv"))
+    assert delivery.ledger(spark, out).filter("package_name is not null").count() == 3
+    assert {r["tiponum"] for r in runs.run_log(spark, out).collect()} == {"BD"}
+
+
+def test_missing_folders_are_asked_for_not_caught(spark, tmp_path):
+    assert not delivery.exists(spark, f"{tmp_path}/nothing")
+    assert delivery.exists(spark, str(tmp_path))
