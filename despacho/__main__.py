@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from despacho.operators.lookups import ADVANCED_SERIES, PACKAGE_SERIES, config_row
 from despacho.plans import customers, runs, sales, stock
 from despacho.plans.dimensions import Tables
-from despacho.session import tune
-from despacho.sources.base import parquet_tables
+from despacho.session import folder_bytes, tune
+from despacho.sources.base import FACTS, parquet_tables
 
 VARIANTS = {"units": runs.units_extracts, "boxes": runs.boxes_extracts}
 SERIES = {"advanced": ADVANCED_SERIES, "package": PACKAGE_SERIES}
@@ -64,7 +64,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"despacho-{args.command}").getOrCreate()
-    tune(spark)
+    facts = (args.paths.get(name, f"{args.tables}/{name}") for name in FACTS)
+    tune(spark, sum(folder_bytes(spark, path) for path in facts))
     t = parquet_tables(spark, args.tables, args.paths, args.renames)
     if args.command == "report":
         supplier = config_row(t["configuracion"])["codigo_proveedor"]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from despacho.functions.dates import Day, age_in_days, day
+from despacho.operators.joins import remembered_sizes
 from despacho.operators.lookups import (
     ADVANCED_SERIES,
     MAIN_CONFIG,
@@ -217,11 +218,12 @@ def daily_run(
     datasets = extracts(t, supplier, business_date)
     planned = _packages(spark, [(kind.name, business_date) for kind in datasets])
     missing = {r["kind"] for r in skip_delivered(planned, ledger(spark, root)).collect()}
-    controls = {
-        kind.name: deliver(build(), root, kind, business_date, file_format)
-        for kind, build in datasets.items()
-        if kind.name in missing
-    }
+    with remembered_sizes():
+        controls = {
+            kind.name: deliver(build(), root, kind, business_date, file_format)
+            for kind, build in datasets.items()
+            if kind.name in missing
+        }
     _record(spark, root, user, [(name, business_date) for name in controls])
     record_run(numbering, root, as_of, series)
     return controls
@@ -255,19 +257,20 @@ def run_backlog(
         by_kind.setdefault(row["kind"], {})[row["business_date"]] = row["ahead"] or 0
 
     controls = {}
-    for name, ahead in sorted(by_kind.items()):
-        days = sorted(ahead)
-        [(kind, build)] = [(k, b) for k, b in extracts(t, supplier, days[0], days[-1]).items() if k.name == name]
-        rows, fecha = build(), F.to_date("Fecha")
-        if name in OPEN_ENDED.get(extracts, ()):
-            dates = F.filter(F.array(*map(day, days)), lambda d: d <= fecha)
-            rows = rows.select("*", F.explode(dates).alias("business_date"))
-        else:
-            rows = rows.withColumn("business_date", fecha).filter(F.col("business_date").isin(*map(day, days)))
-        steps = F.create_map(*[x for d in days for x in (day(d), F.lit(ahead[d]))])
-        kept = rows.schema["IdPaquete"].dataType
-        rows = rows.withColumn("IdPaquete", (F.col("IdPaquete") + steps[F.col("business_date")]).cast(kept))
-        done = deliver_days(rows, root, kind, days, file_format)
-        controls |= {(name, d): done[d] for d in days}
+    with remembered_sizes():
+        for name, ahead in sorted(by_kind.items()):
+            days = sorted(ahead)
+            [(kind, build)] = [(k, b) for k, b in extracts(t, supplier, days[0], days[-1]).items() if k.name == name]
+            rows, fecha = build(), F.to_date("Fecha")
+            if name in OPEN_ENDED.get(extracts, ()):
+                dates = F.filter(F.array(*map(day, days)), lambda d: d <= fecha)
+                rows = rows.select("*", F.explode(dates).alias("business_date"))
+            else:
+                rows = rows.withColumn("business_date", fecha).filter(F.col("business_date").isin(*map(day, days)))
+            steps = F.create_map(*[x for d in days for x in (day(d), F.lit(ahead[d]))])
+            kept = rows.schema["IdPaquete"].dataType
+            rows = rows.withColumn("IdPaquete", (F.col("IdPaquete") + steps[F.col("business_date")]).cast(kept))
+            done = deliver_days(rows, root, kind, days, file_format)
+            controls |= {(name, d): done[d] for d in days}
     _record(spark, root, user, sorted(controls))
     return controls

@@ -51,18 +51,31 @@ def split_hot_keys_early(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
-def tune(spark: SparkSession) -> None:
+# Facts meet a dimension too large to broadcast behind a Bloom filter of its keys; Spark's own limit is 10 MB.
+THINNING = {"spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512MB"}
+SHUFFLE_BYTES = 128 << 20  # of the scanned data for a partition
+
+
+def tune(spark: SparkSession, scanned_bytes: int = 0) -> None:
     """Apply the profile to a cluster's session and size its shuffles.
 
     Adaptive execution joins small shuffle partitions but does not add any, so
-    it starts from three per core unless the session names a number itself.
+    it starts from one per 128 MB of ``scanned_bytes`` and at least three per
+    core, unless the session names a number itself.
     """
-    for key, value in PROFILE.items():
+    for key, value in {**PROFILE, **THINNING}.items():
         spark.conf.set(key, value)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     configured = {"spark.sql.shuffle.partitions", initial} & dict(spark.sparkContext.getConf().getAll()).keys()
     if not configured:
-        spark.conf.set(initial, str(max(200, 3 * spark.sparkContext.defaultParallelism)))
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(initial, str(max(200, 3 * cores, -(-scanned_bytes // SHUFFLE_BYTES))))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a folder, as its file system tells them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
 
 
 _local_folders: dict[str, str] = {}

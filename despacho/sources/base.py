@@ -29,6 +29,8 @@ COLUMNS = {
     ),
 }
 
+FACTS = ("venta", "item_venta", "stockhistorico")  # the tables that grow by the day
+
 QUERY_TIMEOUT_SECONDS = 3600  # fixed value
 
 

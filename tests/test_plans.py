@@ -12,6 +12,7 @@ import __spark_entry__ as entry_points
 from despacho.operators import joins
 from despacho.operators.lookups import is_code
 from despacho.plans import dimensions, sales, stock
+from despacho.session import THINNING
 from despacho.sources.sample import sample_tables
 
 pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="needs the test tables")
@@ -145,3 +146,48 @@ def test_padded_codes_leave_the_scan_filters(spark):
     assert "StringStartsWith(estado,1)" in plan_of(stored.filter(is_code(F.col("estado"), "1"))) or "StringStartsWith(o_orderpriority,1)" in plan_of(
         stored.filter(is_code(F.col("estado"), "1"))
     )
+
+
+def test_the_sum_of_broadcasts_is_bounded(spark):
+    frames = [spark.range(100 * (i + 1)).withColumnRenamed("id", f"k{i}") for i in range(7)]
+    sizes = joins.measured_bytes(*frames)
+    every = joins.broadcast_small(*frames, limit=sizes[-1], total=sum(sizes))
+    assert all(d.small for d in every)
+    some = joins.broadcast_small(*frames, limit=sizes[-1], total=sum(sizes[:4]) + 1)
+    assert [d.small for d in some] == [True] * 4 + [False] * 3
+
+
+def test_a_run_measures_a_dimension_once(spark, monkeypatch):
+    measured = []
+    measure = joins.measured_bytes
+    monkeypatch.setattr(joins, "measured_bytes", lambda *frames: measured.append(len(frames)) or measure(*frames))
+    t = sample_tables(spark, FOLDER)
+    with joins.remembered_sizes():
+        for _ in range(3):
+            sales.sales_range(t, supplier=3, start="1998-04-01", end="1998-06-30")
+        sales.sales_since(t, supplier=3, start="1998-04-01")
+    assert measured == [7, 1]  # all dimensions; then the products without an excluded article
+    sales.sales_since(t, supplier=3, start="1998-04-01")
+    assert len(measured) == 3
+
+
+def test_measuring_customers_reads_no_column(spark):
+    frame = dimensions.customers(sample_tables(spark, FOLDER))
+    plan = plan_of(frame.select(joins._row_bytes(frame).alias("bytes")).agg(F.sum("bytes")))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_lines_are_thinned_by_a_bloom_filter_where_products_are_large(spark, monkeypatch, conf, tmp_path):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+        **{key.replace(".", "__"): value for key, value in THINNING.items()},
+    )
+    t = dict(sample_tables(spark, FOLDER))
+    t["item_venta"].write.parquet(f"{tmp_path}/item_venta")
+    t["item_venta"] = spark.read.parquet(f"{tmp_path}/item_venta")
+    df = sales.sales_range(t, supplier=3, start="1998-04-01", end="1998-06-30", excluded_article=723)
+    assert "might_contain" in plan_of(df)
+    assert df.count() == 183

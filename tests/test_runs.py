@@ -16,7 +16,7 @@ from despacho import __main__ as command_line
 from despacho.operators.lookups import ADVANCED_SERIES, PACKAGE_SERIES, Series, config_row, package_number
 from despacho.plans import delivery, runs, stock
 from despacho.plans.customers import customer_master
-from despacho.session import SPLIT_EARLY, shared_folder, split_hot_keys_early, tune
+from despacho.session import SHUFFLE_BYTES, SPLIT_EARLY, folder_bytes, shared_folder, split_hot_keys_early, tune
 from despacho.sources.sample import sample_tables
 
 AS_OF = DAY + dt.timedelta(days=1)
@@ -314,3 +314,22 @@ def test_command_line_delivers_csv_from_renamed_tables(spark, tables, tmp_path):
 def test_missing_folders_are_asked_for_not_caught(spark, tmp_path):
     assert not delivery.exists(spark, f"{tmp_path}/nothing")
     assert delivery.exists(spark, str(tmp_path))
+
+
+def test_shuffles_are_sized_by_what_is_scanned(conf):
+    settings = {}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(set=settings.__setitem__),
+        sparkContext=SimpleNamespace(defaultParallelism=10, getConf=lambda: SimpleNamespace(getAll=dict)),
+    )
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    tune(session)
+    assert settings[initial] == "200"
+    tune(session, 1 << 40)
+    assert settings[initial] == str((1 << 40) // SHUFFLE_BYTES)
+
+
+def test_folder_bytes(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "b").write_bytes(b"x" * 100)
+    assert folder_bytes(spark, str(tmp_path)) == 100
