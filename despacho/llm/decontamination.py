@@ -5,7 +5,9 @@ As a set it is made of shingles of three words. To hold a window a document
 must hold all its shingles, so one of them, the window's prefix, is enough to
 find every candidate: the one that is rarest in the documents. Candidates that
 would begin before the document or end after it fall out, and the rest count
-only if the document's words at that place equal the window's.
+only if the document's words at that place equal the window's. Words don't go
+with the shingles: a document with candidates is met again as one row, so what
+a document takes grows with its length alone.
 
 Defined cases: a null or empty text has no words; items without words have no
 windows; items without an id hit words but are not listed; repeated items count
@@ -111,63 +113,86 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda seen: seen["n"])
 
 
-def contamination(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Per document (doc_id, text) the words that lie in windows of items, and those items."""
-    # Texts are told apart by a digest, so that equal ids with different texts stay apart.
-    docs = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), words(F.col("text")).alias("words"))
-    docs = docs.withColumn("n_words", F.size("words"))
-    windows = item_windows(items, window)
+CANDIDATES = "array<struct<start: int, length: int, window_text: string>>"
+
+
+def _candidates(docs: DataFrame, windows: DataFrame, shingle: int, limit: int) -> DataFrame:
+    """Per document (doc_id, digest, n_words) its number of rows and the places where a window's prefix fits."""
+    key = ["doc_id", "digest", "n_words"]
     prefixes, sizes = _prefixes(docs, windows, shingle, limit)
-    key = ["doc_id", "digest"]
-    n_words = "n_words"
     if not sizes:
-        nothing = F.lit(None).cast("array<struct<start:int,length:int>>")
-        rows = docs.select(*key, n_words, F.lit(1).alias("base"), F.lit(None).cast("string").alias("window_text"), nothing[0].alias("span"))
+        rows = docs.select(*key, F.lit(1).alias("base"), F.array().cast(CANDIDATES)[0].alias("place"))
+        rows = rows.withColumn("place", F.when(F.lit(False), F.col("place")))
     else:
         begin = F.col("position") - 1 - F.col("offset")
         in_bounds = (begin >= 0) & (begin + F.col("length") <= F.col("n_words"))
-        equal = F.array_join(F.slice("words", begin + 1, F.col("length")), " ") == F.col("window_text")
-        base = F.when(F.col("position").isNull(), 1).otherwise(0).alias("base")
-        span = F.when(F.col("window_text").isNotNull(), F.struct(begin.alias("start"), F.col("length")))
+        place = F.struct(begin.alias("start"), "length", "window_text")
         [small] = broadcast_small(prefixes, limit=limit)
+        found = _shingles(docs, sizes, *key)
         if small.small:
-            matched = small.join_to(_shingles(docs, sizes, *key, n_words, "words"), "hash", "left")
-            matched = matched.filter(F.col("position").isNull() | (F.col("window_text").isNotNull() & in_bounds & equal))
-            rows = matched.select(*key, "n_words", base, "window_text", span.alias("span"))
+            base = F.when(F.col("position").isNull(), 1).otherwise(0).alias("base")
+            rows = small.join_to(found, "hash", "left").filter(F.col("position").isNull() | in_bounds)
+            rows = rows.select(*key, base, F.when(in_bounds, place).alias("place"))
         else:
-            # Places alone are shuffled; the words of documents with candidates come back by their key.
-            found = _shingles(docs, sizes, *key, n_words).filter("hash is not null").join(prefixes, "hash").filter(in_bounds)
-            held = docs.dropDuplicates(key).select(F.col("doc_id").alias("held_id"), F.col("digest").alias("held_digest"), "words")
-            same = F.col("doc_id").eqNullSafe(F.col("held_id")) & (F.col("digest") == F.col("held_digest"))
-            hits = found.join(held, same).filter(equal).select(*key, "n_words", F.lit(0).alias("base"), "window_text", span.alias("span"))
-            rows = hits.unionAll(
-                docs.select(*key, n_words, F.lit(1).alias("base"), F.lit(None).cast("string"), F.lit(None).cast("struct<start:int,length:int>"))
-            )
-    spans = F.array_sort(F.collect_set("span"))
-    per_doc = rows.groupBy(*key, "n_words").agg(
-        F.sum("base").alias("copies"), _covered(spans).alias("n_hit"), F.collect_set(F.md5("window_text")).alias("windows")
+            rows = found.filter("hash is not null").join(prefixes, "hash").filter(in_bounds)
+            rows = rows.select(*key, F.lit(0).alias("base"), place.alias("place"))
+            rows = rows.unionAll(docs.select(*key, F.lit(1), F.lit(None).cast(rows.schema["place"].dataType)))
+    return rows.groupBy(*key).agg(F.sum("base").alias("copies"), F.collect_set("place").cast(CANDIDATES).alias("candidates"))
+
+
+def _same(left_id: str, left_digest: str, right_id: str, right_digest: str) -> Column:
+    return F.col(left_id).eqNullSafe(F.col(right_id)) & (F.col(left_digest) == F.col(right_digest))
+
+
+def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
+    """Documents (d, g) where windows occur: how many words they cover, and their digests."""
+    open_ = candidates.filter(F.size("candidates") > 0).select(F.col("doc_id").alias("d"), F.col("digest").alias("g"), "candidates")
+    [ids] = broadcast_small(open_.select("d", "g"))
+    held = texts.join(ids.rows, _same("doc_id", "digest", "d", "g"), "left_semi").dropDuplicates(["doc_id", "digest"])
+    both = open_.join(held, _same("d", "g", "doc_id", "digest"))
+
+    def occurs(words_: Column) -> Column:
+        def equal(c: Column) -> Column:
+            return F.array_join(F.slice(words_, c["start"] + 1, c["length"]), " ") == c["window_text"]
+
+        return F.filter("candidates", equal)
+
+    # The words are bound to a name, so that they are taken from the text once and not per candidate.
+    found = F.element_at(F.transform(F.array(words(F.col("text"))), occurs), 1)
+    spans = F.array_sort(F.array_distinct(F.transform("found", lambda c: F.struct(c["start"].alias("start"), c["length"].alias("length")))))
+    digests = F.array_distinct(F.transform("found", lambda c: F.md5(c["window_text"])))
+    return both.select("d", "g", found.alias("found")).filter(F.size("found") > 0).select(
+        "d", "g", _covered(spans).alias("n_hit"), digests.alias("windows")
     )
-    per_doc = written(per_doc, "document-hits")
+
+
+def contamination(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Per document (doc_id, text) the words that lie in windows of items, and those items."""
+    # Texts are told apart by a digest, so that equal ids with different texts stay apart.
+    texts = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")
+    worded = texts.select("doc_id", "digest", words(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
+    windows = item_windows(items, window)
+    candidates = written(_candidates(worded, windows, shingle, limit), "document-candidates")
+    hits = written(_verified(candidates, texts), "document-hits")
     members = windows.select(F.md5("window_text").alias("window"), F.col("item_id").cast("string").alias("item_id")).distinct()
     listed = F.concat_ws(",", F.array_sort(F.collect_set("item_id")))
     by_doc = (
-        per_doc.select(F.col("doc_id").alias("d"), F.col("digest").alias("g"), F.explode("windows").alias("window"))
+        hits.select("d", "g", "n_hit", F.explode("windows").alias("window"))
         .join(members, "window")
-        .groupBy("d", "g")
+        .groupBy("d", "g", "n_hit")
         .agg(F.countDistinct("item_id").alias("n_items"), listed.alias("items"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))
-    result = per_doc.join(by_doc, same, "left")
+    result = candidates.drop("candidates").join(by_doc, _same("doc_id", "digest", "d", "g"), "left")
     copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
     return result.select("*", copies.alias("copy")).select(
         "doc_id",
         F.col("n_words").cast("bigint").alias("n_words"),
-        F.col("n_hit").cast("bigint").alias("n_hit"),
+        F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         "digest",
     )
 
