@@ -74,11 +74,20 @@ def with_columns(
     return source.select(*[f"`{c}`" for c in carried], *([] if hidden in carried else [hidden])).mapInArrow(run, schema)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the folder all executors share: computed once, and safe when executors are lost."""
+FILES_PER_CORE = 4
+
+
+def written(df: DataFrame, name: str, shuffled: bool = True) -> DataFrame:
+    """``df`` as a table in the folder all executors share: computed once, and safe when executors are lost.
+
+    Where its last stage reads a shuffle, a task of it takes several of the
+    shuffle's partitions, one after the other, so that a table of few rows isn't
+    a file for each of thousands of partitions.
+    """
     spark: SparkSession = df.sparkSession
     path = f"{shared_folder(spark)}/despacho-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    rows = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism) if shuffled else df
+    rows.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

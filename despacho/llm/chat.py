@@ -149,7 +149,7 @@ def prefix_tree(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]
     of the stream that hold its ancestors).
     """
     nodes, leaves = paths(turns.select("conv_id", "turn", "role", "text"))
-    emitted = written(_emit(nodes, tokenizer), "chat-nodes")
+    emitted = written(_emit(nodes, tokenizer), "chat-nodes", shuffled=False)
     # Per part: where it starts, and the ancestors of its first node that stand in earlier parts.
     parts = emitted.groupBy("part").agg(F.sum("n_tokens").alias("total"), F.min("path").alias("first"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part

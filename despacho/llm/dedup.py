@@ -257,7 +257,7 @@ def links_in_large_buckets(members: DataFrame, classes: DataFrame, docs: DataFra
 
 def duplicate_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
-    prints = written(fingerprints(docs), "prints")
+    prints = written(fingerprints(docs), "prints", shuffled=False)
     usable = prints.filter("doc_id is not null and n_shingles > 0")
     least = F.min(F.struct("doc_id", "n_shingles", "signature", "bands")).alias("least")
     classes = written(

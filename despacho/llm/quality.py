@@ -194,7 +194,7 @@ def fit(
     chosen = written(labelled_sample(labels, sample), "quality-sample")
     ratios = log_ratios(*ngram_counts(docs, chosen, buckets))
     scored = with_log_weights(docs.select("doc_id", "text"), ratios, "log_weight").drop("text")
-    scored = written(scored.withColumn("rank", rank_of(F.col("log_weight"), F.col("doc_id"), seed)), "quality-weights")
+    scored = written(scored.withColumn("rank", rank_of(F.col("log_weight"), F.col("doc_id"), seed)), "quality-weights", shuffled=False)
     if k is None:
         known = scored.join(F.broadcast(chosen), F.col("doc_id") == F.col("sample_id"))
         # One row an id, so that repeated rows don't make the fit grow.
