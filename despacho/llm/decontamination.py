@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from despacho.llm.arrow import written
+from despacho.llm.arrow import fresh, written
 from despacho.operators.joins import BROADCAST_BYTES, broadcast_small
 
 WINDOW = 10
@@ -203,9 +203,10 @@ def document_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, all columns, in which no window of an item occurs."""
-    hit = contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias("_hit_id"), F.col("digest").alias("_hit_digest")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (F.md5(F.coalesce("text", F.lit(""))) == F.col("_hit_digest"))
-    return docs.join(hit, same, "left_anti")
+    hit_id, hit_digest = fresh(docs, "hit_id"), fresh(docs, "hit_digest")
+    hit = contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias(hit_id), F.col("digest").alias(hit_digest))
+    same = F.col("doc_id").eqNullSafe(F.col(hit_id)) & (F.md5(F.coalesce("text", F.lit(""))) == F.col(hit_digest))
+    return docs.join(hit.distinct(), same, "left_anti")
 
 
 SQL = rf"""

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from despacho.llm.arrow import chunks, text_bytes, with_columns, written
+from despacho.llm.arrow import chunks, fresh, text_bytes, with_columns, written
 from despacho.llm.components import components
 from despacho.llm.words import Words, gathered, mix
 from despacho.operators.joins import broadcast_small
@@ -305,11 +305,12 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents, all columns, one of each group; rows that repeat a kept id are reduced to one."""
     groups = written(duplicate_groups(docs), "groups")
-    removed = groups.filter("not kept").select(F.col("doc_id").alias("_removed")).distinct()
-    again = groups.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
+    gone, more = fresh(docs, "removed"), fresh(docs, "again")
+    removed = groups.filter("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    again = groups.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias(more)).count().filter("count > 1").select(more)
     [removed, again] = broadcast_small(removed, again)
-    rows = docs.join(removed.rows, F.col("doc_id") == F.col("_removed"), "left_anti")
+    rows = docs.join(removed.rows, F.col("doc_id") == F.col(gone), "left_anti")
     if again.rows.isEmpty():
         return rows
-    same = F.col("doc_id") == F.col("_again")
+    same = F.col("doc_id") == F.col(more)
     return rows.join(again.rows, same, "left_anti").unionAll(rows.join(again.rows, same, "left_semi").dropDuplicates(["doc_id"]))
