@@ -11,8 +11,6 @@ column named as the new one gives way, as in ``withColumn``).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

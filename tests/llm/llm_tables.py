@@ -25,7 +25,10 @@ EDGE = [
     (13, "!!! ??? ..."),
     (None, "a text that has no id at all"),
 ]
-CLASHES = "score rank shard slot ids lossless digest n_words log_weight component_id kept text_ _text variant Group host base bucket hit_id removed again".split()
+CLASHES = (
+    "score rank shard slot ids lossless digest n_words log_weight component_id kept text_ _text variant Group host base"
+    " bucket hit_id removed again"
+).split()
 SCHEMA = "doc_id long, text string"
 FULL = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES)
 
