@@ -1,6 +1,6 @@
 """Visible text of HTML pages, laid out in lines.
 
-A tree builder adds the end tags that authors leave out; a walk over the tree
+A tree builder adds the tags that authors leave out; a walk over the tree
 drops what a browser wouldn't show and lays out the rest: blocks on lines of their
 own, a blank line where a block has margins, markers and indents for lists, table
 cells in aligned columns, and preformatted text as it is.
@@ -30,7 +30,7 @@ from despacho.llm.arrow import with_columns
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "head script style template title noscript noembed noframes iframe object audio video canvas svg math datalist".split()
+    "script style template title noscript noembed noframes iframe object audio video canvas svg math datalist".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote figure table hr fieldset menu dir".split())
 BLOCK = SPACED | frozenset(
@@ -40,6 +40,7 @@ BLOCK = SPACED | frozenset(
 ENDS_P = BLOCK - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "legend", "optgroup"}
 CELLS, SECTIONS = frozenset(["td", "th"]), frozenset(["thead", "tbody", "tfoot"])
 LISTS = frozenset(["ul", "ol", "menu", "dir"])
+OF_TABLE = SECTIONS | {"tr", "caption", "colgroup"} | CELLS
 # What a start tag ends if it is open, and the elements beyond which it is not looked for.
 ENDED_BY = {
     "li": (frozenset(["li"]), LISTS),
@@ -47,12 +48,15 @@ ENDED_BY = {
     "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
     "option": (frozenset(["option"]), frozenset(["select", "datalist", "optgroup"])),
     "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
-    "td": (CELLS, frozenset(["tr", "table"])),
-    "th": (CELLS, frozenset(["tr", "table"])),
-    "tr": (frozenset(["tr"]) | CELLS, SECTIONS | {"table"}),
-    "thead": (SECTIONS | {"tr", "caption", "colgroup"} | CELLS, frozenset(["table"])),
-    "tbody": (SECTIONS | {"tr", "caption", "colgroup"} | CELLS, frozenset(["table"])),
-    "tfoot": (SECTIONS | {"tr", "caption", "colgroup"} | CELLS, frozenset(["table"])),
+    "td": (CELLS | {"caption", "colgroup"}, frozenset(["tr", "table"])),
+    "th": (CELLS | {"caption", "colgroup"}, frozenset(["tr", "table"])),
+    "tr": (OF_TABLE - SECTIONS, SECTIONS | {"table"}),
+    "thead": (OF_TABLE, frozenset(["table"])),
+    "tbody": (OF_TABLE, frozenset(["table"])),
+    "tfoot": (OF_TABLE, frozenset(["table"])),
+    "caption": (OF_TABLE, frozenset(["table"])),
+    "colgroup": (OF_TABLE, frozenset(["table"])),
+    "col": (OF_TABLE - {"colgroup"}, frozenset(["table"])),
 }
 SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "html"])
 MOST_COLUMNS, MOST_ROWS = 1000, 65534  # of one cell, as HTML has it
@@ -64,7 +68,8 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
-SPACE = re.compile(r"[ \t\n\r\f]+")
+BLANKS = " \t\n\r\f"
+SPACE = re.compile(rf"[{BLANKS}]+")
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
 
@@ -84,9 +89,14 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def build(html: str) -> Node:
-    """The page as a tree; start tags end what they imply, end tags what is open inside."""
-    root = Node("html", {})
-    open_ = [root]
+    """The page as a tree; start tags end what they imply, end tags what is open inside.
+
+    Nothing that may stand in a head is shown and all else ends it, so a head has
+    no node of its own; there is always one body.
+    """
+    root, body = Node("html", {}), Node("body", {})
+    root.children.append(body)
+    open_ = [root, body]
     count: Counter = Counter()  # open elements by name, so that nothing is looked for in vain
 
     def cut(i: int) -> None:
@@ -103,7 +113,14 @@ def build(html: str) -> Node:
             elif open_[i].tag in until:
                 return
 
+    def end_columns() -> None:
+        # A group of columns holds nothing but columns; whatever else comes ends it.
+        if open_[-1].tag == "colgroup":
+            cut(len(open_) - 1)
+
     def add(text: str) -> None:
+        if text.strip(BLANKS):
+            end_columns()
         if text:
             open_[-1].children.append(unescape(text) if "&" in text else text)
 
@@ -124,18 +141,22 @@ def build(html: str) -> Node:
                 if open_[i].tag == name:
                     cut(i)
                     break
-                if open_[i].tag in SCOPE and name not in SCOPE | SECTIONS | {"tr", "body"}:
+                if open_[i].tag in SCOPE and name not in SCOPE | SECTIONS | {"tr"}:
                     break
             continue
-        if name == "html":
+        attributes = _attributes(m["attributes"]) if m["attributes"].strip("/ \n") else {}
+        if name in ("html", "head", "body"):
+            if name != "head" and not count["template"]:
+                whole = root if name == "html" else body
+                whole.attributes = attributes | whole.attributes
             continue
+        if name not in ("col", "template"):
+            end_columns()
         if name in ENDS_P:
             close(frozenset(["p"]), SCOPE)
         if name in ENDED_BY:
             close(*ENDED_BY[name])
-        if name == "body":
-            close(frozenset(["head"]), frozenset())
-        node = Node(name, _attributes(m["attributes"]) if m["attributes"].strip("/ \n") else {})
+        node = Node(name, attributes)
         open_[-1].children.append(node)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
@@ -373,7 +394,8 @@ def _leave(out: Lines, indent: str, marker: str) -> None:
 
 
 def visible_text(html: str) -> str:
-    return "\n".join(render(build(html)))
+    page = build(html)
+    return "\n".join(render(page)) if shown(page) else ""
 
 
 def with_visible_text(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:

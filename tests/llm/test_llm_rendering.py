@@ -59,6 +59,42 @@ def test_no_visible_word_is_lost_or_made(parts):
     assert set(shown) <= set(words) if hides else shown == words
 
 
+def words_of(html):
+    return [w for w in visible_text(html).replace("-", " ").split() if w.startswith("w")]
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<html><head><title>T</title><p>Hello", "Hello"),
+        ("<head><meta charset=utf-8><style>s</style>Hello", "Hello"),
+        ("<head><title>T</title></head>Hello", "Hello"),
+        ("<div>a<head>b</div>c", "ab\nc"),
+        ("<p>a<body>b", "ab"),
+        ("<head hidden><p>a", "a"),
+        ("<body hidden>a", ""),
+        ("<table><colgroup><col><tr><td>A</table>", "A"),
+        ("<table><colgroup><col><td>A</table>", "A"),
+        ("<table><colgroup>A<tr><td>B</table>", "A\nB"),
+        ("<table><caption>C<tr><td>A<td>B<tr><td>D</table>", "C\nA  B\nD"),
+        ("<table><caption>C<col><td>A</table>", "C\nA"),
+        ("<table><tr><td>A<colgroup><col><tr><td>B</table>", "A\nB"),
+    ],
+)
+def test_tags_left_out_in_head_and_columns(html, text):
+    assert visible_text(html) == text
+
+
+MORE_TAGS = [*TAGS, *"head body colgroup col caption".split() * 3]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([f"<{t}>" for t in MORE_TAGS] + [f"</{t}>" for t in MORE_TAGS]), st.from_regex(r"w[0-9]{6}", fullmatch=True)), max_size=40))
+def test_no_word_is_lost_with_heads_and_columns(parts):
+    html = "".join(p if p.startswith("<") else f" {p} " for p in parts if p not in ("<details>", "<select>"))
+    assert sorted(words_of(html)) == sorted(p for p in parts if not p.startswith("<"))
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "t"), (2, "", "t"), (3, "<p>" + "long " * 50_000, "t"), (3, "<p>x", "t"), (None, "<b>y", "t")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
