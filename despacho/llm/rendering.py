@@ -6,8 +6,10 @@ own, a blank line where a block has margins, markers and indents for lists, tabl
 cells in aligned columns, and preformatted text as it is.
 
 Not shown: head, scripts, styles, templates, fallbacks for scripts and media,
-``hidden`` elements, ``display:none`` and ``visibility:hidden``, closed details
-but their summary, closed dialogs, all but the selected option. Defined cases: a
+``hidden`` elements, ``display:none`` and ``visibility:hidden`` of style attributes
+(but what is visible again inside the latter), closed details but their summary,
+closed dialogs, all but the selected option of a menu, and of formulas and drawings
+what only describes or defines (no ``use`` is followed). Defined cases: a
 null page has a null text, an empty one an empty text; a tag that isn't closed
 ends with the page; columns pad to 60 characters at most (longer cells are whole);
 tables nested deeper than 20 levels run on without columns; an empty table gives
@@ -30,8 +32,11 @@ from despacho.llm.arrow import with_columns
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "script style template title noscript noembed noframes iframe object audio video canvas svg math datalist".split()
+    "script style template title noscript noembed noframes iframe object audio video canvas datalist".split()
 )
+# Elements of drawings and formulas go by names of their own, which no tag of HTML can have.
+UNSEEN |= {f"svg {x}" for x in "title desc metadata defs symbol clippath mask marker pattern style script".split()}
+UNSEEN |= {f"math {x}" for x in "annotation annotation-xml mphantom".split()}
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote figure table hr fieldset menu dir".split())
 BLOCK = SPACED | frozenset(
     "html body address article aside center details dialog dd div dt fieldset figcaption footer form header hgroup legend li main"
@@ -58,7 +63,13 @@ ENDED_BY = {
     "colgroup": (OF_TABLE, frozenset(["table"])),
     "col": (OF_TABLE - {"colgroup"}, frozenset(["table"])),
 }
-SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "html"])
+# Some of them hold HTML; elsewhere in them these tags end the drawing or formula.
+HOLDS_HTML = {f"svg {x}" for x in ("foreignobject", "desc", "title")} | {f"math {x}" for x in "mi mo mn ms mtext".split()}
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre"
+    " ruby s small span strong strike sub sup table tt u ul var".split()
+)
+SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "html"]) | HOLDS_HTML
 MOST_COLUMNS, MOST_ROWS = 1000, 65534  # of one cell, as HTML has it
 PAD, GAP, DEEPEST = 60, "  ", 20
 
@@ -70,14 +81,53 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
 BLANKS = " \t\n\r\f"
 SPACE = re.compile(rf"[{BLANKS}]+")
-NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+STRING = r"\"(?:[^\"\\]|\\.)*+(?:\"|\Z)|'(?:[^'\\]|\\.)*+(?:'|\Z)"
+DECLARATION = re.compile(rf"(?:[^;\"'(]|{STRING}|\((?:[^)\"']|{STRING})*+(?:\)|\Z))++", re.S)
+EVERYWHERE = frozenset("inherit initial unset revert revert-layer".split())
+# Browsers pass over a declaration whose value they don't know.
+KNOWN = {
+    "visibility": frozenset(["visible", "hidden", "collapse"]) | EVERYWHERE,
+    "display": EVERYWHERE
+    | frozenset(
+        "none contents block inline run-in flow flow-root table flex grid ruby math list-item inline-block inline-table inline-flex"
+        " inline-grid table-row-group table-header-group table-footer-group table-row table-cell table-column-group table-column"
+        " table-caption ruby-base ruby-text -webkit-box -webkit-inline-box -webkit-flex -webkit-inline-flex".split()
+    ),
+}
+
+
+def declared(style: str) -> dict[str, str]:
+    """The display and visibility that a style attribute sets: of each the last declaration, important ones first."""
+    found: dict[str, str] = {}
+    binding = set()
+    for declaration in DECLARATION.findall(STYLE_COMMENT.sub(" ", style)):
+        name, _, value = declaration.partition(":")
+        name = name.strip().lower()
+        if name not in KNOWN:
+            continue
+        value, mark, word = value.strip().lower().partition("!")
+        important = word.strip() == "important"
+        if mark and not important or not value.split() or not KNOWN[name].issuperset(value.split()):
+            continue
+        if important or name not in binding:
+            found[name] = value.strip()
+        if important:
+            binding.add(name)
+    return found
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "display", "visibility", "marked")
 
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag, self.attributes, self.children = tag, attributes, []
+        self.marked = True  # whether a list item's marker is shown
+        self.styled()
+
+    def styled(self) -> None:
+        found = declared(self.attributes["style"]) if "style" in self.attributes else {}
+        self.display, self.visibility = found.get("display"), found.get("visibility")
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -88,11 +138,20 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def _empty(attributes: str) -> bool:
+    """Whether the tag ends in a slash that is no part of a value."""
+    last = None
+    for last in ATTRIBUTE.finditer(attributes):
+        pass
+    return attributes.endswith("/") and not (last and last.end() == len(attributes))
+
+
 def build(html: str) -> Node:
     """The page as a tree; start tags end what they imply, end tags what is open inside.
 
     Nothing that may stand in a head is shown and all else ends it, so a head has
-    no node of its own; there is always one body.
+    no node of its own; there is always one body. Elements of drawings and formulas
+    are named ``svg ...`` and ``math ...``.
     """
     root, body = Node("html", {}), Node("body", {})
     root.children.append(body)
@@ -124,6 +183,22 @@ def build(html: str) -> Node:
         if text:
             open_[-1].children.append(unescape(text) if "&" in text else text)
 
+    def foreign() -> str:
+        """What names begin with where the next tag stands: nothing, or that of a drawing or formula."""
+        tag = open_[-1].tag
+        return tag[: tag.find(" ") + 1] if tag not in HOLDS_HTML else ""
+
+    def end_foreign(name: str) -> bool:
+        """End the open element of a drawing or formula that has this name."""
+        for i in range(len(open_) - 1, 1, -1):
+            _, space, local = open_[i].tag.partition(" ")
+            if not space:
+                return False
+            if local == name:
+                cut(i)
+                return True
+        return False
+
     at = 0
     while at < len(html):
         m = TAG.search(html, at)
@@ -134,9 +209,15 @@ def build(html: str) -> Node:
         at = m.end()
         name = m["name"]
         if not name:
+            if m[0].startswith("<![CDATA[") and foreign():
+                end = html.find("]]>", m.start())
+                open_[-1].children.append(html[m.start() + 9 : end if end >= 0 else len(html)])
+                at = end + 3 if end >= 0 else len(html)
             continue
         name = name.lower()
         if m["end"]:
+            if " " in open_[-1].tag and end_foreign(name):
+                continue
             for i in range(len(open_) - 1, 0, -1) if count[name] else ():
                 if open_[i].tag == name:
                     cut(i)
@@ -145,10 +226,24 @@ def build(html: str) -> Node:
                     break
             continue
         attributes = _attributes(m["attributes"]) if m["attributes"].strip("/ \n") else {}
+        space = foreign()
+        if space and (name in ENDS_FOREIGN or name == "font" and not attributes.keys().isdisjoint(("color", "face", "size"))):
+            while foreign():
+                cut(len(open_) - 1)
+            space = ""
+        if space or name in ("svg", "math"):
+            end_columns()
+            node = Node((space or name + " ") + name, attributes)
+            open_[-1].children.append(node)
+            if not _empty(m["attributes"]):
+                open_.append(node)
+                count[node.tag] += 1
+            continue
         if name in ("html", "head", "body"):
             if name != "head" and not count["template"]:
                 whole = root if name == "html" else body
                 whole.attributes = attributes | whole.attributes
+                whole.styled()
             continue
         if name not in ("col", "template"):
             end_columns()
@@ -171,10 +266,40 @@ def build(html: str) -> Node:
 
 
 def shown(node: Node) -> bool:
+    """Whether an element has a place in the layout; a display of its own overrules what ``hidden`` and ``dialog`` imply."""
     a = node.attributes
-    if node.tag in UNSEEN or "hidden" in a or "style" in a and NOT_SHOWN.search(a["style"]):
+    if node.tag in UNSEEN or node.display == "none" or a.get("hidden", "").strip().lower() == "until-found":
+        return False
+    if node.tag == "input" and a.get("type", "").lower() == "hidden":
         return False
-    return not (node.tag == "dialog" and "open" not in a) and not (node.tag == "input" and a.get("type", "").lower() == "hidden")
+    return node.display is not None or not ("hidden" in a or node.tag == "dialog" and "open" not in a)
+
+
+def _visible(node: Node, inherited: bool) -> bool:
+    if node.visibility in (None, "inherit", "unset", "revert", "revert-layer"):
+        return inherited
+    return node.visibility in ("visible", "initial")
+
+
+def remove_invisible(root: Node) -> None:
+    """Take out what ``visibility`` hides, but not what is visible again inside; cells and list items keep their place."""
+    order, work = [], [(root, True)]
+    while work:
+        node, inherited = work.pop()
+        visible = _visible(node, inherited)
+        order.append((node, visible))
+        work += [(x, visible) for x in node.children if isinstance(x, Node)]
+    empty = set()
+    for node, visible in reversed(order):
+        if node.visibility == "collapse" and node.tag in SECTIONS | {"tr"}:
+            empty.add(node)
+        children = [x for x in node.children if x not in empty] if empty else node.children
+        if not visible:
+            node.marked = False
+            children = [x for x in children if isinstance(x, Node)]
+            if not children and node.tag not in CELLS | {"li"}:
+                empty.add(node)
+        node.children = children
 
 
 class Lines:
@@ -339,7 +464,11 @@ def render(top: Node, depth: int = 0) -> list[str]:
                         options.append(x)
                     elif isinstance(x, Node):
                         look += reversed(x.children)
-                inside = [x for x in options if "selected" in x.attributes] or (options if "multiple" in a else options[:1])
+                if "multiple" not in a and _span(item, "size", MOST_ROWS) == 1:
+                    # A menu shows one option, a list all of them.
+                    inside = [x for x in options if "selected" in x.attributes] or options[:1]
+                else:
+                    inside = options
                 work.append(("into", [" ", *[y for x in inside for y in (x, " ")]]))
                 continue
             if tag == "details" and "open" not in a:
@@ -373,6 +502,8 @@ def render(top: Node, depth: int = 0) -> list[str]:
                 if lists and lists[-1][0]:
                     marker = f"{lists[-1][1]}. "
                     lists[-1][1] += 1
+                if not item.marked:
+                    marker = " " * len(marker)
                 work.append(("run", lambda before=(out.indent, out.marker): _leave(out, *before)))
                 out.indent, out.marker = out.indent + " " * len(marker), marker
             elif tag in ("dd", "blockquote"):
@@ -383,6 +514,8 @@ def render(top: Node, depth: int = 0) -> list[str]:
                 work.append(("run", preformatted.pop))
                 if inside and isinstance(inside[0], str) and inside[0].startswith("\n"):
                     inside = [inside[0][1:], *inside[1:]]
+            elif tag == "svg text":
+                inside = [" ", *inside, " "]
             work.append(("into", inside))
     out.end_line()
     return out.done
@@ -395,6 +528,8 @@ def _leave(out: Lines, indent: str, marker: str) -> None:
 
 def visible_text(html: str) -> str:
     page = build(html)
+    if "visibility" in html.lower():
+        remove_invisible(page)
     return "\n".join(render(page)) if shown(page) else ""
 
 

@@ -95,6 +95,39 @@ def test_no_word_is_lost_with_heads_and_columns(parts):
     assert sorted(words_of(html)) == sorted(p for p in parts if not p.startswith("<"))
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p style='backface-visibility:hidden'>a", "a"),
+        ("<p style='-webkit-backface-visibility: hidden; color:red'>a", "a"),
+        ("<p style='x-display:none'>a", "a"),
+        ("<p style='content:\";display:none\"; background:url(a;display:none)'>a", "a"),
+        ("<p style='display:none;display:block'>a", "a"),
+        ("<p style='display:none;display:bogus'>a", ""),
+        ("<p style='display:none !important;display:block'>a", ""),
+        ("<p style='color:red;/* x */ DISPLAY : None'>a", ""),
+        ("<p hidden style='display:block'>a<dialog>b</dialog>", "a"),
+        ("<div style='visibility:hidden'>a<p style='visibility:visible'>b</p>c</div>d", "b\n\nd"),
+        ("<div style='visibility:hidden'>a<p>b</p></div>c", "c"),
+        ("<div style='visibility:hidden'><div style='display:none'><p style='visibility:visible'>a</div></div>b", "b"),
+        ("<ol style='visibility:hidden'><li>a<li style='visibility:visible'>b<li>c<b style='visibility:visible'>d</b></ol>", "2. b\n   d"),
+        ("<table><tr><td style='visibility:hidden'>a<td>b<tr><td>c<td>d</table>", "   b\nc  d"),
+        ("<math><mi>x</mi><mo>=</mo><mn>1</mn></math>", "x=1"),
+        ("<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>y", "xy"),
+        ("<svg><title>t</title><desc>u</desc><defs><text>v</text></defs><text>a</text><text>b</text></svg>", "a b"),
+        ("<svg><title/><script href=x /><path d=M0 /><text><![CDATA[a<b]]></text></svg>c", "a<b c"),
+        ("<svg><defs><p>a", "a"),
+        ("<svg><foreignObject><div>a</div>b</foreignObject><desc>c</desc></svg>d", "a\nbd"),
+        ("<p><svg><text>a</svg>b</p>c", "a b\n\nc"),
+        ("<title>t</title><metadata>a</metadata><symbol>b</symbol>", "ab"),
+        ("<select multiple><option>a<option selected>b<option>c</select>", "a b c"),
+        ("<select size=3><option>a<option selected>b<option>c</select>", "a b c"),
+    ],
+)
+def test_what_a_browser_shows(html, text):
+    assert visible_text(html) == text
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "t"), (2, "", "t"), (3, "<p>" + "long " * 50_000, "t"), (3, "<p>x", "t"), (None, "<b>y", "t")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
