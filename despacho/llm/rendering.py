@@ -73,14 +73,16 @@ SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "html"])
 MOST_COLUMNS, MOST_ROWS = 1000, 65534  # of one cell, as HTML has it
 PAD, GAP, DEEPEST = 60, "  ", 20
 
+BLANKS = " \t\n\r\f"
+SPACE = re.compile(rf"[{BLANKS}]+")
+# A quote opens a value only directly behind "=" and blanks; anywhere else it is a character like others.
+NAME, VALUE = rf"=?[^{BLANKS}/>=]*+", rf"\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^{BLANKS}>\"'][^{BLANKS}>]*)"
+ATTRIBUTE = re.compile(rf"(?!(?:[{BLANKS}/>]|\Z))({NAME})(?:[{BLANKS}]*=[{BLANKS}]*(?:{VALUE})?)?+")
 TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']+|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*+)(?:>|$)",
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][^{BLANKS}/>]*)(?P<attributes>(?:[{BLANKS}/]++|{ATTRIBUTE.pattern})*+)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")
-BLANKS = " \t\n\r\f"
-SPACE = re.compile(rf"[{BLANKS}]+")
 STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 STRING = r"\"(?:[^\"\\]|\\.)*+(?:\"|\Z)|'(?:[^'\\]|\\.)*+(?:'|\Z)"
 DECLARATION = re.compile(rf"(?:[^;\"'(]|{STRING}|\((?:[^)\"']|{STRING})*+(?:\)|\Z))++", re.S)

@@ -128,6 +128,33 @@ def test_what_a_browser_shows(html, text):
     assert visible_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p title=don't>Hello <b>you</b>", "Hello you"),
+        ('<p title=5"x class=a>Hello', "Hello"),
+        ("<p title=a=\"b>Hello</p>'", "Hello\n\n'"),
+        ("<p don't>Hello</p>isn't", "Hello\n\nisn't"),
+        ("<p title='a'b\">Hello\"", 'Hello"'),
+        ("<p title = 'a>b' x>Hello", "Hello"),
+        ("<p title=\n\"a>b\" hidden>Hello", ""),
+        ("<p title= >Hello", "Hello"),
+        ("<p ='a>Hello", "Hello"),
+        ("</p title=don't>Hello", "Hello"),
+        ("<input value=it's>", "it's"),
+        ("<input value='a b'/><input value=c/>", "a b c/"),
+        ("<p title='a>b", ""),
+    ],
+)
+def test_quotes_open_values_only_behind_equals_signs(html, text):
+    assert visible_text(html) == text
+
+
+@pytest.mark.parametrize("part", ["a", " ", "=", "'", "a=", "='", " a", "/ ", "a='", '"=', "< a"])
+def test_long_tags_take_linear_time(part):
+    assert visible_text("x<p " + part * 100_000) in ("x", "x" + part)
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "t"), (2, "", "t"), (3, "<p>" + "long " * 50_000, "t"), (3, "<p>x", "t"), (None, "<b>y", "t")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")
