@@ -4,17 +4,23 @@ The vocabulary of a merge-type model is read from a file whose path is a
 parameter. A text becomes its characters with a space before it; then the best
 scored pair of neighbours that forms a piece is merged, the leftmost of equals,
 until none is left. A candidate merge is skipped for good if a hash of the seed,
-the document's variant, the segment and the merge's place and piece falls below
-``alpha``, so a seed always gives the same segmentation and another seed another
-one. What is no piece in the end is written as byte pieces.
+the document's id, the segment, its place in the text and the merge's place and
+piece falls below ``alpha``: each occurrence of a segment draws for itself, a seed
+always gives the same segmentation and another seed another one. What is no piece
+in the end is written as byte pieces.
 
 No piece holds a space behind another character, so segments from one run of
 spaces to the next are encoded on their own: many short ones at once as arrays,
-long ones by an agenda (a heap of candidates). Both give the same result.
+long ones by an agenda (a heap of candidates). Both give the same result. A task
+remembers for a segment and the merges skipped in it which others are made and what
+they lead to. An occurrence draws for the merges made; if some are skipped, it goes
+on with the run without them, until none of a run's is. Only a merge that would be
+made next has any effect, so this skips as if all candidates were drawn for.
 
 Decoding is exact: the character that models show for a space is encoded as
-bytes where the text has it. Defined cases: a null or empty text has no ids;
-equal texts of one variant have equal ids; an empty table gives no rows.
+bytes where the text has it. Defined cases: a null or empty text has no ids; rows
+that repeat an id and a text have equal ids, as have equal texts without an id; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,12 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from despacho.llm.arrow import chunks, fresh, text_bytes, without
-from despacho.llm.words import PAD, SpanCache, gathered, loadable, mix, span_hashes
+from despacho.llm.words import PAD, gathered, loadable, mix, span_hashes
 
 ALPHA = 0.1  # share of the candidate merges that are skipped
-VARIANTS = 4  # documents are dealt to so many variants of one seed
 LONG = 48  # characters from which a segment goes to the agenda
-KEPT = 1_500_000  # segments a task remembers
+KEPT = 1_500_000  # runs a task remembers
 NEVER = np.iinfo(np.int64).max
 SHOWN_SPACE = "▁"
 STEP = 0x9E3779B97F4A7C15
@@ -49,6 +54,12 @@ def mix_one(x: int) -> int:
     return x ^ (x >> 31)
 
 
+def candidate_codes(start: np.ndarray, end: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """A hash of the place and piece of each candidate merge."""
+    place = (start.astype(np.uint64) << np.uint64(42)) ^ (end.astype(np.uint64) << np.uint64(21)) ^ piece.astype(np.uint64)
+    return mix(place * np.uint64(STEP))
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces by id as bytes with plain spaces, and every pair of pieces that forms a third."""
@@ -70,12 +81,40 @@ class Vocabulary:
     def pairs(self) -> dict[int, tuple[int, int]]:
         return {k: (r, i) for k, r, i in zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), self.pair_ids.tolist())}
 
+    @cached_property
+    def hashed(self) -> tuple[np.ndarray, np.uint64, int]:
+        """Indexes of the pairs by a hash of their keys (-1: none), the shift of the hash, and the most slots one is off its own."""
+        bits = max(int(len(self.pair_keys)).bit_length() + 3, 8)
+        shift = np.uint64(64 - bits)
+        slots = ((self.pair_keys.astype(np.uint64) * np.uint64(STEP)) >> shift).astype(np.int64)
+        table = np.full((1 << bits) + len(slots) + 2, -1, np.int32)
+        left, step = np.arange(len(slots)), 0
+        while len(left):
+            # Of those that want a free slot one gets it; the others look one further.
+            at = slots[left] + step
+            free = table[at] < 0
+            table[at[free]] = left[free]
+            left = left[table[at] != left]
+            step += 1
+        return table, shift, step
+
     def find_pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and id of the piece that each pair forms; NEVER and 0 if none. Characters that are no piece are -1."""
-        keys = left * len(self.piece_bytes) + right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        hit = (self.pair_keys[at] == keys) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.pair_ranks[at], NEVER), np.where(hit, self.pair_ids[at], 0)
+        keys = np.where((left >= 0) & (right >= 0), left * len(self.piece_bytes) + right, -1)
+        table, shift, most = self.hashed
+        slot = ((keys.astype(np.uint64) * np.uint64(STEP)) >> shift).astype(np.int64)
+        found = table[slot]
+        hit = self.pair_keys[found] == keys
+        open_ = np.flatnonzero(~hit & (found >= 0))
+        for step in range(1, most + 1):
+            if not len(open_):
+                break
+            now = table[slot[open_] + step]
+            same = (now >= 0) & (self.pair_keys[now] == keys[open_])
+            found[open_[same]], hit[open_[same]] = now[same], True
+            open_ = open_[~same & (now >= 0)]
+        hit &= found >= 0
+        return np.where(hit, self.pair_ranks[found], NEVER), np.where(hit, self.pair_ids[found], 0)
 
     def initial(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -120,20 +159,58 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(piece_bytes, byte_ids, points, char_ids, keys, ids, ranks)
 
 
+class Runs:
+    """Runs by a 64-bit key, up to ``limit``: those that came first.
+
+    A run stands in ``pool`` as the number of its merges, that of its ids, the
+    merges' codes and the ids.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.keys, self.starts = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending keys
+        self.pool, self.used = np.zeros(1 << 16, np.uint64), 0
+
+    def resolve(self, keys: np.ndarray, produce) -> np.ndarray:
+        """Where in the pool the run of each of the distinct, ascending ``keys`` starts, until the next call.
+
+        ``produce`` makes the runs for the indexes of keys that aren't held, one
+        behind the other, and their lengths.
+        """
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        held = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        starts = np.zeros(len(keys), np.int64)
+        starts[held] = self.starts[at[held]]
+        missing = np.flatnonzero(~held)
+        if len(missing):
+            runs, lengths = produce(missing)
+            end = self.used + len(runs)
+            if end > len(self.pool):
+                self.pool = np.concatenate([self.pool[: self.used], np.zeros(end - self.used + self.used // 2, np.uint64)])
+            self.pool[self.used : end] = runs
+            starts[missing] = self.used + np.cumsum(lengths) - lengths
+            kept = max(min(len(missing), self.limit - len(self.keys)), 0)
+            if kept:
+                where = np.searchsorted(self.keys, keys[missing[:kept]])
+                self.keys = np.insert(self.keys, where, keys[missing[:kept]])
+                self.starts = np.insert(self.starts, where, starts[missing[:kept]])
+                self.used += int(lengths[:kept].sum())
+        return starts
+
+
 @dataclass
 class Encoder:
     vocabulary: Vocabulary
     alpha: float = ALPHA
     seed: int = 0
-    cache: SpanCache = field(default_factory=lambda: SpanCache(KEPT))
+    cache: Runs = field(default_factory=lambda: Runs(KEPT))
 
     @property
     def bar(self) -> int:
         return int(self.alpha * (1 << 53))
 
-    def _skipped(self, key: np.ndarray, start: np.ndarray, end: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        place = (start.astype(np.uint64) << np.uint64(42)) ^ (end.astype(np.uint64) << np.uint64(21)) ^ piece.astype(np.uint64)
-        return (mix(key ^ mix(place * np.uint64(STEP))) >> np.uint64(11)).astype(np.int64) < self.bar
+    def _skipped(self, key: np.ndarray, code: np.ndarray) -> np.ndarray:
+        return (mix(key ^ code) >> np.uint64(11)).astype(np.int64) < self.bar
 
     def _skipped_one(self, key: int, start: int, end: int, piece: int) -> bool:
         place = ((start << 42) ^ (end << 21) ^ piece) & MASK
@@ -174,8 +251,11 @@ class Encoder:
             offer(left)
         return [(i, ends[i], symbols[i]) for i in range(n) if not gone[i]]
 
-    def _rounds(self, symbols: np.ndarray, words: np.ndarray, starts: np.ndarray, keys: np.ndarray):
-        """Final (word, start, end, id) arrays of short segments: in each round every segment makes its best merge."""
+    def _rounds(self, symbols: np.ndarray, words: np.ndarray, starts: np.ndarray, skipped, made: list | None = None):
+        """Final (word, start, end, id) arrays of short segments: in each round every segment makes its best merge.
+
+        ``skipped`` tells of words and codes of candidates which are; words and codes of the merges made go to ``made``.
+        """
         ends = starts + 1
         done = []
 
@@ -184,7 +264,8 @@ class Encoder:
             rank[words[left] != words[left + 1]] = NEVER
             live = np.flatnonzero(rank != NEVER)
             i = left[live]
-            rank[live[self._skipped(keys[words[i]], starts[i], ends[i + 1], piece[live])]] = NEVER
+            code = candidate_codes(starts[i], ends[i + 1], piece[live])
+            rank[live[skipped(words[i], code)]] = NEVER
             return rank, piece
 
         ranks, pieces = np.full(len(symbols), NEVER), np.zeros(len(symbols), np.int64)
@@ -206,6 +287,8 @@ class Encoder:
             # The leftmost of the best candidates of each segment.
             hits = np.flatnonzero(ranks == np.repeat(best, size))
             at = hits[np.flatnonzero(np.diff(words[hits], prepend=-1))]
+            if made is not None:
+                made.append((words[at], candidate_codes(starts[at], ends[at + 1], pieces[at])))
             symbols[at], ends[at] = pieces[at], ends[at + 1]
             stay = np.ones(len(symbols), bool)
             stay[at + 1] = False
@@ -220,16 +303,33 @@ class Encoder:
         order = np.argsort(word, kind="stable")
         return word[order], start[order], end[order], symbol[order]
 
+    def _short(self, strings: list[str], skipped, made: list | None = None):
+        """``_rounds`` of short segments."""
+        symbols = self.vocabulary.initial("".join(strings))
+        lengths = np.array([len(s) for s in strings], np.int64)
+        words = np.repeat(np.arange(len(strings)), lengths)
+        starts = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        return self._rounds(symbols, words, starts, skipped, made)
+
+    def _spelt(self, strings: list[str], word, start, end, symbol) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each segment; characters that are no piece are written as bytes."""
+        unknown = np.flatnonzero(symbol < 0)
+        if not len(unknown):
+            return symbol.astype(np.int32), np.bincount(word, minlength=len(strings))
+        as_bytes = [strings[word[i]][start[i] : end[i]].encode() for i in unknown]
+        counts = np.ones(len(symbol), np.int64)
+        counts[unknown] = [len(b) for b in as_bytes]
+        ids = np.repeat(symbol, counts)
+        ids[ids < 0] = self.vocabulary.byte_ids[np.frombuffer(b"".join(as_bytes), np.uint8)]
+        return ids.astype(np.int32), np.bincount(np.repeat(word, counts), minlength=len(strings))
+
     def segments(self, texts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of every segment, one behind the other, and how many each has."""
+        """Ids of every segment, one behind the other, and how many each has; all by themselves, nothing is remembered."""
         strings = [t.decode() for t in texts]
         sizes = np.array([len(s) for s in strings], np.int64)
         short = np.flatnonzero(sizes <= LONG)
-        symbols = self.vocabulary.initial("".join(strings[i] for i in short))
-        lengths = sizes[short]
-        words = np.repeat(np.arange(len(short)), lengths)
-        starts = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        word, start, end, symbol = self._rounds(symbols, words, starts, keys[short])
+        of_short = keys[short]
+        word, start, end, symbol = self._short([strings[i] for i in short], lambda w, code: self._skipped(of_short[w], code))
         word = short[word]
         long = [(i, *found) for i in np.flatnonzero(sizes > LONG) for found in self.agenda(strings[i], int(keys[i]))]
         if long:
@@ -237,19 +337,76 @@ class Encoder:
             word, start, end, symbol = (np.concatenate([x, more[:, k]]) for k, x in enumerate((word, start, end, symbol)))
             order = np.lexsort((start, word))
             word, start, end, symbol = word[order], start[order], end[order], symbol[order]
-        # Characters that are no piece are written as bytes.
-        unknown = np.flatnonzero(symbol < 0)
-        if not len(unknown):
-            return symbol.astype(np.int32), np.bincount(word, minlength=len(texts))
-        as_bytes = [strings[word[i]][start[i] : end[i]].encode() for i in unknown]
-        counts = np.ones(len(symbol), np.int64)
-        counts[unknown] = [len(b) for b in as_bytes]
-        ids = np.repeat(symbol, counts)
-        ids[ids < 0] = self.vocabulary.byte_ids[np.frombuffer(b"".join(as_bytes), np.uint8)]
-        return ids.astype(np.int32), np.bincount(np.repeat(word, counts), minlength=len(texts))
+        return self._spelt(strings, word, start, end, symbol)
 
-    def encode(self, texts: list[bytes | None], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and from where to where each text's go."""
+    def _runs_without(self, texts: list[bytes], own: np.ndarray, gone_word: np.ndarray, gone_code: np.ndarray):
+        """The runs, as ``Runs`` has them, of short segments that skip just those merges, and their lengths."""
+        strings = [t.decode() for t in texts]
+        salt = mix(np.arange(1, len(texts) + 1).astype(np.uint64) * np.uint64(STEP))
+        gone = np.sort(salt[gone_word] ^ gone_code)
+
+        def skipped(word, code):
+            result = np.zeros(len(word), bool)
+            if len(gone):
+                # Those to be skipped are among those that ``own`` draws.
+                drawn = np.flatnonzero(self._skipped(own[word], code))
+                codes = salt[word[drawn]] ^ code[drawn]
+                result[drawn] = gone[np.minimum(np.searchsorted(gone, codes), len(gone) - 1)] == codes
+            return result
+
+        made: list = []
+        ids, n_ids = self._spelt(strings, *self._short(strings, skipped, made))
+        word, code = (np.concatenate(x) for x in zip(*made)) if made else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        code = code[np.argsort(word, kind="stable")]
+        n_made = np.bincount(word, minlength=len(texts))
+        lengths = 2 + n_made + n_ids
+        starts = np.cumsum(lengths) - lengths
+        runs = np.zeros(int(lengths.sum()), np.uint64)
+        runs[starts], runs[starts + 1] = n_made, n_ids
+        runs[np.repeat(starts + 2 - (np.cumsum(n_made) - n_made), n_made) + np.arange(len(code))] = code
+        runs[np.repeat(starts + 2 + n_made - (np.cumsum(n_ids) - n_ids), n_ids) + np.arange(len(ids))] = ids
+        return runs, lengths
+
+    def _remembered(self, joined: bytes, starts: np.ndarray, lengths: np.ndarray, spans: np.ndarray, own: np.ndarray):
+        """Ids of short segments, one behind the other in an order of their own; from where they go, and how many they are."""
+        states = spans.copy()
+        open_ = np.arange(len(starts))
+        gone_at, gone_code = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        flats, from_, sizes, total = [], np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64), 0
+        while len(open_):
+            unique, first, inverse = np.unique(states[open_], return_index=True, return_inverse=True)
+
+            def produce(missing):
+                which = open_[first[missing]]
+                number = np.full(len(starts), -1)
+                number[which] = np.arange(len(which))
+                word = number[gone_at]
+                texts = [joined[s : s + n] for s, n in zip(starts[which].tolist(), lengths[which].tolist())]
+                return self._runs_without(texts, own[which], word[word >= 0], gone_code[word >= 0])
+
+            run = self.cache.resolve(unique, produce)[inverse]
+            pool = self.cache.pool
+            n_made, n_ids = pool[run].astype(np.int64), pool[run + 1].astype(np.int64)
+            at = np.zeros(0, np.int64)
+            if self.bar:
+                at = np.repeat(np.arange(len(open_)), n_made)
+                code = gathered(pool, run + 2, n_made)
+                hit = np.flatnonzero(self._skipped(own[open_[at]], code))
+                at, code = at[hit], code[hit]
+                np.add.at(states, open_[at], mix(code))
+                gone_at, gone_code = np.concatenate([gone_at, open_[at]]), np.concatenate([gone_code, code])
+            over = np.ones(len(open_), bool)
+            over[at] = False
+            ready = open_[over]
+            sizes[ready] = n_ids[over]
+            from_[ready] = total + np.cumsum(n_ids[over]) - n_ids[over]
+            flats.append(gathered(pool, run[over] + 2 + n_made[over], n_ids[over]).astype(np.int32))
+            total += len(flats[-1])
+            open_ = open_[~over]
+        return np.concatenate([np.zeros(0, np.int32), *flats]), from_, sizes
+
+    def encode(self, texts: list[bytes | None], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and from where to where each text's go; ``keys`` tell the documents apart."""
         # A space goes before each text that isn't empty.
         spaced = [b" " + t if t else b"" for t in texts]
         sizes = np.array([len(t) for t in spaced], np.int64)
@@ -263,23 +420,25 @@ class Encoder:
         lengths = np.diff(np.append(starts, len(joined)))
         owner = np.searchsorted(text_starts, starts, side="right") - 1
         # Empty texts share their start with the text behind them, which is the last of equals.
-        salt = mix(np.array(variants, np.int64).astype(np.uint64) + np.uint64((self.seed * STEP) & MASK))
-        keys = mix(span_hashes(loadable(buffer), starts, lengths) ^ salt[owner])
-        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-
-        def produce(missing):
-            spans = [joined[s : s + n] for s, n in zip(starts[first[missing]].tolist(), lengths[first[missing]].tolist())]
-            return self.segments(spans, unique[missing])
-
-        pool, from_, size = self.cache.resolve(unique, produce)
-        sizes_of = size[inverse]
-        flat = gathered(pool, from_[inverse], sizes_of)
-        per_text = np.bincount(owner, sizes_of, minlength=len(texts)).astype(np.int64)
-        return flat, np.concatenate([[0], np.cumsum(per_text)])
-
-    def encode_checked(self, texts: list[bytes | None], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        salt = mix(np.array(keys, np.int64).astype(np.uint64) + np.uint64((self.seed * STEP) & MASK))
+        spans = span_hashes(loadable(buffer), starts, lengths)
+        place = (starts - text_starts[owner]).astype(np.uint64)
+        own = mix(spans ^ mix(salt[owner] + place * np.uint64(STEP)))
+        chars = np.concatenate([[0], np.cumsum((buffer[: len(joined)] & 0xC0) != 0x80)])
+        is_long = chars[starts + lengths] - chars[starts] > LONG
+        short, long = np.flatnonzero(~is_long), np.flatnonzero(is_long)
+        from_, size = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        flat, from_[short], size[short] = self._remembered(joined, starts[short], lengths[short], spans[short], own[short])
+        if len(long):
+            ids, counts = self.segments([joined[s : s + n] for s, n in zip(starts[long].tolist(), lengths[long].tolist())], own[long])
+            from_[long], size[long] = len(flat) + np.cumsum(counts) - counts, counts
+            flat = np.concatenate([flat, ids])
+        per_text = np.bincount(owner, size, minlength=len(texts)).astype(np.int64)
+        return gathered(flat, from_, size), np.concatenate([[0], np.cumsum(per_text)])
+
+    def encode_checked(self, texts: list[bytes | None], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode``; a text that doesn't decode to itself (two segments with one hash) is encoded anew by itself."""
-        flat, bounds = self.encode(texts, variants)
+        flat, bounds = self.encode(texts, keys)
         decoded = decode(self.vocabulary, flat, bounds)
         wrong = [i for i, t in enumerate(texts) if decoded[i] != (t or b"")]
         if not wrong:
@@ -287,7 +446,7 @@ class Encoder:
         parts = [flat[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
         for i in wrong:
             alone = Encoder(self.vocabulary, self.alpha, self.seed)
-            parts[i] = alone.encode([texts[i]], [variants[i]])[0]
+            parts[i] = alone.encode([texts[i]], [keys[i]])[0]
         return np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts])
 
 
@@ -300,16 +459,16 @@ def decode(vocabulary: Vocabulary, flat: np.ndarray, bounds: np.ndarray) -> list
     return [data[s + 1 : e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
-def encoded(
-    docs: DataFrame, model: str, seed: int = 0, alpha: float = ALPHA, variants: int = VARIANTS, key: str = "doc_id"
-) -> DataFrame:
+def encoded(docs: DataFrame, model: str, seed: int = 0, alpha: float = ALPHA, key: str = "doc_id") -> DataFrame:
     """The documents with ``ids`` and whether these decode to the text as ``lossless``; columns so named give way."""
     vocabulary = load_vocabulary(model)
     kept = without(docs, ["ids", "lossless"])
-    variant, hidden = fresh(docs, "variant"), fresh(docs, "text_")
+    own, hidden = fresh(docs, "own"), fresh(docs, "text_")
+    # Rows without an id draw by their text.
+    by = [F.lit(seed), F.col(key), F.when(F.col(key).isNull(), F.col("text"))]
     source = docs.select(
         *[f"`{c}`" for c in kept],
-        F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(variants)).cast("int").alias(variant),
+        F.xxhash64(*by).alias(own),
         F.col("text").alias(hidden),
     )
     schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL("ids array<int>, lossless boolean").fields)
@@ -318,7 +477,7 @@ def encoded(
         encoder = Encoder(vocabulary, alpha, seed)
         for batch in chunks(batches, hidden):
             texts = text_bytes(batch, hidden)
-            flat, bounds = encoder.encode_checked(texts, batch.column(variant).to_pylist())
+            flat, bounds = encoder.encode_checked(texts, batch.column(own).to_pylist())
             same = [a == (b or b"") for a, b in zip(decode(vocabulary, flat, bounds), texts)]
             ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), ids, pa.array(same)], schema.names)

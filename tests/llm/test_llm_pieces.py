@@ -5,7 +5,7 @@ import pytest
 import sentencepiece
 from llm_tables import EDGE, edge, empty, vocabulary
 
-from despacho.llm.pieces import Encoder, decode, decoded, document_pieces, encoded, load_vocabulary
+from despacho.llm.pieces import NEVER, Encoder, Runs, decode, decoded, document_pieces, encoded, load_vocabulary
 from despacho.llm.queries import tokenizer_file
 
 MODEL = tokenizer_file("piece_bpe_32k.model")
@@ -77,3 +77,56 @@ def test_columns_stay_and_decoding_gives_the_texts(spark):
     assert rows.columns == [c for c in docs.columns if c not in ("ids", "lossless")] + ["ids", "lossless"]
     back = decoded(rows.select("doc_id", "ids"), MODEL).collect()
     assert sorted((str(r.doc_id), r.text) for r in back) == sorted((str(i), t or "") for i, t in EDGE)
+
+
+def test_every_occurrence_draws_for_itself(spark):
+    # A word that many documents hold in many places has far more than a handful of segmentations.
+    word = "internationalization"
+    docs = spark.createDataFrame([(i, " ".join([word] * 50)) for i in range(40)], "doc_id long, text string")
+    rows = {r.doc_id: r.ids for r in encoded(docs, MODEL, alpha=0.3).collect()}
+    by_id = load_vocabulary(MODEL).piece_bytes
+
+    def cuts(ids):
+        found, one = [], ()
+        for i in ids:
+            if by_id[i].startswith(b" ") and one:
+                found.append(one)
+                one = ()
+            one += (i,)
+        return [*found, one]
+
+    inside = [len(set(cuts(ids))) for ids in rows.values()]
+    assert min(inside) > 4
+    assert len({tuple(ids) for ids in rows.values()}) == 40
+    assert len({c for ids in rows.values() for c in cuts(ids)}) > 40
+    again = {r.doc_id: r.ids for r in encoded(docs.repartition(3), MODEL, alpha=0.3).collect()}
+    assert again == rows
+
+
+@pytest.mark.parametrize("alpha", [0.0, 0.1, 0.3, 0.9, 1.0])
+@pytest.mark.parametrize("kept", [0, 50, 1 << 19])
+def test_remembered_runs_equal_direct_ones(pieces, alpha, kept):
+    rng, words = random.Random(8), vocabulary(8, 60) + ["é日", "x" * 60, "a▁b"]
+    encoder, seen = Encoder(pieces, alpha, 5, Runs(kept)), []
+    direct = encoder.segments
+
+    class Direct(Encoder):
+        def _remembered(self, joined, starts, lengths, spans, own):
+            ids, counts = direct([joined[s : s + n] for s, n in zip(starts.tolist(), lengths.tolist())], own)
+            seen.append(len(counts))
+            return ids, np.cumsum(counts) - counts, counts
+
+    for _ in range(3):
+        texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))).encode() for _ in range(20)]
+        keys = [rng.randrange(1 << 60) for _ in texts]
+        got, want = encoder.encode(texts, keys), Direct(pieces, alpha, 5).encode(texts, keys)
+        assert runs(*got) == runs(*want)
+    assert seen
+
+
+def test_the_share_of_skipped_candidates_is_alpha(pieces):
+    pair = pieces.initial("ab")
+    assert pieces.find_pairs(pair[:1], pair[1:])[0][0] < NEVER
+    keys = np.arange(20_000, dtype=np.uint64) * np.uint64(977)
+    _, counts = Encoder(pieces, 0.3, 1).segments([b"ab"] * len(keys), keys)
+    assert abs((counts == 2).mean() - 0.3) < 0.02
