@@ -28,8 +28,8 @@ from despacho.llm.words import Words, mix
 
 BUCKETS = 1 << 16
 SAMPLE = 20_000  # labelled rows, taken by a hash of their ids, that fit the target model and the threshold
-SCALE = 1 << 20  # keys are ranked as whole multiples of 1 / SCALE
 CLAMP = float(1 << 40)
+FINE, FINE_SCALE, SCALE = float(1 << 14), float(1 << 46), float(1 << 19)  # steps of ranks up to FINE and beyond
 
 
 def _shapes(words: Words, same: np.ndarray) -> np.ndarray:
@@ -167,8 +167,17 @@ def kth_largest(rows: DataFrame, rank: str, k: int) -> int | None:
 
 
 def rank_of(log_weight: Column, key: Column, seed: int) -> Column:
-    noisy = F.greatest(F.least(log_weight + gumbel(key, seed), F.lit(CLAMP)), F.lit(-CLAMP))
-    return F.round((noisy + F.lit(CLAMP)) * F.lit(SCALE)).cast("bigint")
+    """The noisy log weight as a whole number from 0 on, in the same order.
+
+    Up to FINE it has steps of 2^-46, about those of the double itself; beyond,
+    where only very long texts are, of 2^-19. Nothing is added to the double, which
+    would cost it digits.
+    """
+    noisy = log_weight + gumbel(key, seed)
+    size = F.least(F.abs(noisy), F.lit(CLAMP))
+    fine = F.round(F.least(size, F.lit(FINE)) * F.lit(FINE_SCALE)).cast("bigint")
+    coarse = F.round(F.greatest(size - F.lit(FINE), F.lit(0.0)) * F.lit(SCALE)).cast("bigint")
+    return F.lit(1 << 61) + F.when(noisy < 0, -(fine + coarse)).otherwise(fine + coarse)
 
 
 @dataclass(frozen=True)

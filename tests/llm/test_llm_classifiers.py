@@ -114,6 +114,22 @@ def test_gumbel_top_k_takes_k(learnt):
     assert {r.doc_id for r in taken} != {r.doc_id for r in scored.filter(other.selected(F.col("rank"))).collect()}
 
 
+def test_top_k_is_exact_where_many_documents_are_close(spark):
+    # Without target rows all weights are 1, and only the noise parts the documents.
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")).cache()
+    for k in (1, 777, 9000):
+        resampler, scored = quality.fit(docs, labels_frame(spark, []), k=k)
+        assert scored.filter(resampler.selected(F.col("rank"))).count() == k
+    assert scored.select("rank").distinct().count() == 20_000
+
+
+def test_ranks_have_the_order_of_the_keys(spark):
+    weights = [-1e13, -3e12, -1e6, -16384.5, -16384.0, -16383.9, -5.0, -1e-9, 0.0, 1e-9, 7.25, 16383.9, 16384.0, 16384.1, 1e6, 1e12]
+    rows = spark.createDataFrame([(i, w) for i, w in enumerate(weights)], "i long, w double")
+    ranks = [r["rank"] for r in rows.select("i", quality.rank_of(F.col("w"), F.lit(4), 1).alias("rank")).orderBy("i").collect()]
+    assert all(0 <= a < b < 1 << 62 for a, b in zip(ranks[1:], ranks[2:])) and ranks[0] == ranks[1]
+
+
 def test_weights_equal_the_ratio_of_both_models():
     raw, target = np.array([3.0, 0.0, 5.0]), np.array([1.0, 0.0, 4.0])
     want = [np.log(((t + 1) / 8) / ((r + 1) / 11)) for r, t in zip(raw, target)]
