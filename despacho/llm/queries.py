@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import chat, decontamination, dedup, pieces, quality, rendering, sharding, syncmers, token_files, toxicity
+from despacho.llm import chat, decontamination, dedup, packing, pieces, quality, rendering, sharding, syncmers, token_files, toxicity
 from despacho.llm.arrow import table
 
 
@@ -57,6 +57,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.document_packing(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_pieces": op9_pieces,
     "op10_minhash": op10_minhash,
+    "op13_packing": op13_packing,
     "pipeline": pipeline,
 }
 

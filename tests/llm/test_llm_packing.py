@@ -1,0 +1,147 @@
+import random
+import zlib
+from itertools import groupby
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_tables import EDGE, edge, empty, frame, prose, vocabulary
+from tokenizers import Tokenizer
+
+from despacho.llm.byte_pairs import ByteEncoder
+from despacho.llm.packing import PLACED, differenced, document_packing, packed, packed_sequences
+from despacho.llm.queries import tokenizer_file
+
+PATH = tokenizer_file("byte_bpe_50k.json")
+ODD = [
+    "<|endoftext|> b <|endoftext|>c, <|endoftext|>",
+    "don't 'll 12.34, a.b.c ,, . end.",
+    "  two  blanks \n\n lines\r\n\ttabs ",
+    "a  b　 c\x85d\x1ce \x00",
+    "É́ ñ ß日本語 🙂🙂 ́",
+]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_words_make_the_ids_of_whole_texts(reference):
+    encoder, rng = ByteEncoder(PATH), random.Random(5)
+    parts = ["a", "Word", " ", "  ", "\n", "é", " ", "1", "'s", "🙂", "\t", "<|endoftext|>", "\x85", "\x1c", ".", ","]
+    texts = ODD + [t or "" for _, t in EDGE] + ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(3000)]
+    for group in (texts, texts[:1], [""], texts[::-1]):
+        flat, bounds = encoder.encode([t.encode() for t in group])
+        assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [reference(t) for t in group]
+
+
+def test_words_of_one_hash_are_noticed(reference, monkeypatch):
+    from despacho.llm import byte_pairs
+
+    monkeypatch.setattr(byte_pairs, "span_hashes", lambda eight, starts, lengths: lengths.astype(np.uint64))
+    flat, bounds = ByteEncoder(PATH).encode([b"some words have just one hash here", b"none"])
+    assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [reference("some words have just one hash here"), reference("none")]
+
+
+def test_without_the_second_library_ids_are_equal(reference):
+    encoder = ByteEncoder(PATH)
+    encoder.fast = None
+    flat, bounds = encoder.encode([t.encode() for t in ODD])
+    assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [reference(t) for t in ODD]
+
+
+def plain_differencing(sizes, windows):
+    """Sums of the windows, by the definition: full tuples, a linear search for the two largest differences."""
+    tuples = [sorted([s] + [0] * (windows - 1)) for s in sizes]
+    while len(tuples) > 1:
+        tuples.sort(key=lambda t: t[0] - t[-1])
+        a, b, *rest = tuples
+        tuples = [sorted(x + y for x, y in zip(a, reversed(b))), *rest]
+    return tuples[0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=25), st.integers(1, 9))
+def test_differencing_keeps_every_item_and_balances(sizes, windows):
+    found = differenced(sizes, windows)
+    assert len(found) == len(sizes) and set(found) <= set(range(windows))
+    sums = np.bincount(found, sizes, minlength=windows)
+    # Items of one partial partition differ by no more than the largest item, as in the plain definition.
+    plain = plain_differencing(sizes, windows)
+    assert sums.max() - sums.min() <= max(sizes)
+    assert plain[-1] - plain[0] <= max(sizes)
+
+
+def test_differencing_of_a_known_case():
+    # 8 and 7 part, 6 meets 7 ... the classic two-way example leaves a difference of 2.
+    sums = sorted(np.bincount(differenced([8, 7, 6, 5, 4], 2), [8, 7, 6, 5, 4]).tolist())
+    assert sums == [14, 16] == plain_differencing([8, 7, 6, 5, 4], 2)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60))
+def test_no_window_exceeds_the_capacity(sizes):
+    window, count = packed(sizes, 64)
+    assert count >= -(-sum(sizes) // 64)
+    assert not sizes or max(np.bincount(window, sizes)) <= 64
+
+
+def test_an_item_beyond_the_capacity_is_an_error():
+    with pytest.raises(ValueError):
+        packed([65], 64)
+
+
+def check(rows, docs, reference, capacity=1024):
+    """Every id of every document in one piece, windows without gaps."""
+    wanted = sorted(((i is None, i or 0), tuple(reference(t) + [0])) for i, t in docs)
+    by_window = sorted(rows, key=lambda r: (r.sequence_id, r.offset))
+    for _, pieces in groupby(by_window, key=lambda r: r.sequence_id):
+        at = 0
+        for p in pieces:
+            assert p.offset == at and p.length > 0
+            at += p.length
+        assert at <= capacity
+    pool = {}
+    for r in rows:
+        pool.setdefault((r.doc_id, r.doc_tokens, r.start), []).append((r.length, r.ids_crc32))
+    for (_, key), ids in wanted:
+        doc_id = next(i for i, t in docs if (i or 0) == key)
+        start = 0
+        while start < len(ids):
+            length, crc = next(
+                p for p in pool[(doc_id, len(ids), start)] if p[1] == zlib.crc32(np.array(ids[start : start + p[0]], "<u4").tobytes())
+            )
+            pool[(doc_id, len(ids), start)].remove((length, crc))
+            start += length
+        assert start == len(ids)
+    assert not any(pool.values())
+
+
+def test_edge_rows(spark, reference):
+    got = document_packing(edge(spark), PATH)
+    assert got.columns == [c.split()[0] for c in PLACED.split(", ")]
+    rows = [r for r in got.collect() if r.doc_id is not None]
+    check(rows, [(i, t) for i, t in EDGE if i is not None], reference)
+    assert sum(r.length for r in got.collect() if r.doc_id is None) == len(reference(EDGE[-1][1])) + 1
+    assert document_packing(empty(spark), PATH).collect() == []
+
+
+def test_many_documents_leave_little_padding(spark, reference):
+    rng, words = random.Random(3), vocabulary(3)
+    docs = [(i, prose(rng, words, rng.choice([0, 3, 40, 200, 900]))) for i in range(1200)]
+    sequences = packed_sequences(frame(spark, docs).repartition(2), PATH, 0)
+    sizes = [len(r.ids) for r in sequences.select("ids").collect()]
+    assert max(sizes) <= 1024
+    assert sum(1024 - s for s in sizes) < 0.03 * sum(sizes)
+    check(document_packing(frame(spark, docs), PATH).collect(), docs, reference)
+    for r in sequences.collect():
+        assert len(r.ids) == sum(p.length for p in r.pieces)
+
+
+def test_copies_of_one_document_and_id(spark):
+    docs = [(1, "one text that all rows hold " * 40)] * 3000
+    rows = document_packing(frame(spark, docs), PATH).collect()
+    assert sum(r.length for r in rows) == 3000 * rows[0].doc_tokens
