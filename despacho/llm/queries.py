@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from despacho.llm import chat, decontamination, dedup, packing, pieces, quality, rendering, sharding, syncmers, token_files, toxicity
+from despacho.llm import (
+    chat,
+    collocations,
+    decontamination,
+    dedup,
+    packing,
+    pieces,
+    quality,
+    rendering,
+    sharding,
+    syncmers,
+    token_files,
+    toxicity,
+    trie,
+)
 from despacho.llm.arrow import table
 
 
@@ -57,6 +71,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.document_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.document_packing(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -78,6 +100,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_pieces": op9_pieces,
     "op10_minhash": op10_minhash,
+    "op11_trie": op11_trie,
+    "op12_collocations": op12_collocations,
     "op13_packing": op13_packing,
     "pipeline": pipeline,
 }
@@ -88,4 +112,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": decontamination.SQL, "op3_sharding": sharding.SQL}
+    return {
+        "op2_decontamination": decontamination.SQL,
+        "op3_sharding": sharding.SQL,
+        "op11_trie": trie.SQL,
+        "op12_collocations": collocations.SQL,
+    }
