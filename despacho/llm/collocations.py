@@ -10,11 +10,13 @@ chunk in which it begins, weighted with that chunk's frequency; one that begins
 an overlap is left to the chunk that the overlap begins, so every occurrence counts
 once. No phrase reaches beyond its chunk.
 
-Phrases are counted as texts, level by level: words, then pairs of words that occur
-often enough, then longer phrases all of whose pairs do. A level is told what the
-last one found by a bit table of at most ``MOST_BITS``, which may let rare phrases
-through but never keeps one out; beyond its size more are counted and dropped, and
-the result is the same.
+Rare phrases are kept out in passes that count hashes: those of words, then those of
+pairs whose words are frequent, and so on up to one word fewer than the longest has. A
+hash counts for all phrases that have it, so no frequent phrase is missed. The last
+pass counts phrases themselves, by their texts: those that may be frequent, and the
+longest ones all of whose parts may be. What the passes know of each other are bit
+tables of at most ``MOST_BITS``, which may let more phrases through; these are counted
+and dropped, and the result is the same.
 
 Defined cases: a null text is empty, a null language is ``und``; repeated rows and
 ids count each; a language without a frequent phrase gives no rows, nor does an
@@ -23,6 +25,8 @@ empty table; further columns are not read. A text fits into a task's memory.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -35,7 +39,7 @@ BLANKS = (9, 32)
 BREAKS = (10, 11, 12, 13, *b".,;:!?")
 LONGEST = 4  # words of a phrase
 ONE_IN = 16  # windows of words begin a chunk
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 MOST_BITS = 1 << 28  # 32 MB
 BITS_EACH = 16
 UNKNOWN = "und"
@@ -123,8 +127,8 @@ def _hashed_words(batch: pa.RecordBatch, column: str) -> tuple[Words, np.ndarray
     """The words of a column, and hashes of each with its row's language."""
     words = Words(text_bytes(batch, column), (10, 32), lower=False)
     langs = batch.column("lang").dictionary_encode()
-    names = Words([s.as_py().encode() or b"\0" for s in langs.dictionary], (10,), lower=False)
-    of_lang = mix(names.hashes())[langs.indices.to_numpy(zero_copy_only=False)]
+    digests = [hashlib.blake2b(s.as_py().encode(), digest_size=8).digest() for s in langs.dictionary]
+    of_lang = np.frombuffer(b"".join(digests), np.uint64)[langs.indices.to_numpy(zero_copy_only=False)]
     return words, mix(words.hashes() ^ of_lang[words.text_of_word()])
 
 
@@ -146,55 +150,80 @@ class BitTable:
         return found
 
 
-def bit_table(phrases: DataFrame, size: int) -> BitTable:
-    """The bit table of phrases (lang, phrase) of ``size`` words."""
+def bit_table(hashes: DataFrame) -> BitTable:
+    """The bit table of a column ``hash``."""
     bits = 1 << 12
-    while bits < min(MOST_BITS, BITS_EACH * phrases.count()):
+    while bits < min(MOST_BITS, BITS_EACH * hashes.count()):
         bits *= 2
 
     def run(batches):
         for batch in batches:
-            words, hashes = _hashed_words(batch, "phrase")
-            grams = _grams(hashes, size)[words.bounds[:-1]]
-            place = np.concatenate(BitTable.places(grams, bits))
+            place = np.concatenate(BitTable.places(batch.column("hash").to_numpy().view(np.uint64), bits))
             values = (np.uint64(1) << (place & np.uint64(63))).view(np.int64)
             slots = (place >> np.uint64(6)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(values)], ["slot", "bits"])
 
     # One row for each 64 bits of a table of bounded size.
-    slots = phrases.select("lang", "phrase").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    slots = hashes.select("hash").mapInArrow(run, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
     rows = slots.toArrow()
     table = np.zeros(bits // 64, np.uint64)
     table[rows.column("slot").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return BitTable(table)
 
 
-def counted(chunked: DataFrame, sizes: list[int], least: int, parts: tuple[int, BitTable] | None = None) -> DataFrame:
-    """Phrases of ``sizes`` words (lang, phrase, n) that occur ``least`` times.
+class Grams:
+    """The phrases of a batch of chunks: words, hashes, and which words begin phrases that all tables hold."""
+
+    def __init__(self, batch: pa.RecordBatch, tables: list[BitTable]):
+        self.words, self.hashes = _hashed_words(batch, "chunk")
+        self.count, self.row = len(self.words.starts), self.words.text_of_word()
+        self.at, self.ends = np.arange(self.count), self.words.bounds[self.row + 1]
+        self.begins = self.at - self.words.bounds[self.row] < batch.column("own").to_numpy()[self.row]
+        self.held = [t.holds(_grams(self.hashes, n)) & (self.at + n <= self.ends) for n, t in enumerate(tables, 1)]
+
+    def first_words(self, size: int) -> np.ndarray:
+        """Where phrases of ``size`` words begin whose parts, as long as there is a table for, are held."""
+        takes = self.begins & (self.at + size <= self.ends)
+        n = min(size, len(self.held))
+        for j in range(size - n + 1 if n else 0):
+            takes[: self.count - j] &= self.held[n - 1][j:]
+        return np.flatnonzero(takes)
+
+    def texts(self, first: np.ndarray, size: int) -> pa.Array:
+        last = first + size - 1
+        starts, ends = self.words.starts[first], self.words.starts[last] + self.words.lengths[last]
+        return _strings(self.words.buffer, starts, ends - starts)
 
-    ``parts`` holds all phrases of fewer words that do; those of it that a phrase
-    consists of must be there.
-    """
-    part_size, table = parts or (0, None)
-    shared = chunked.sparkSession.sparkContext.broadcast(table) if table else None
+
+def maybe_frequent(chunked: DataFrame, size: int, least: int, tables: list[BitTable]) -> BitTable:
+    """A table that holds all phrases of ``size`` words that occur ``least`` times and whose parts ``tables`` hold."""
+    shared = chunked.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches):
         for batch in _merged(batches, "chunk", BATCH_BYTES):
-            words, hashes = _hashed_words(batch, "chunk")
-            count, row = len(words.starts), words.text_of_word()
-            at = np.arange(count)
-            begins = at - words.bounds[row] < batch.column("own").to_numpy()[row]
-            ends = words.bounds[row + 1]
-            whole = shared.value.holds(_grams(hashes, part_size)) & (at + part_size <= ends) if shared else None
-            for size in sizes:
-                takes = begins & (at + size <= ends)
-                for j in range(size - part_size + 1 if shared else 0):
-                    takes[: count - j] &= whole[j:]
-                first = np.flatnonzero(takes)
-                last = first + size - 1
-                phrase = _strings(words.buffer, words.starts[first], words.starts[last] + words.lengths[last] - words.starts[first])
-                lang = batch.column("lang").take(pa.array(row[first]))
-                yield _summed({"lang": lang, "phrase": phrase}, batch.column("n").to_numpy()[row[first]])
+            grams = Grams(batch, shared.value)
+            first = grams.first_words(size)
+            hashes, where = np.unique(_grams(grams.hashes, size)[first], return_inverse=True)
+            sums = np.zeros(len(hashes), np.int64)
+            np.add.at(sums, where, batch.column("n").to_numpy()[grams.row[first]])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(sums)], ["hash", "n"])
+
+    counts = chunked.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return bit_table(written(counts.filter(F.col("n") >= least).select("hash"), "hashes"))
+
+
+def counted(chunked: DataFrame, longest: int, least: int, tables: list[BitTable]) -> DataFrame:
+    """Phrases of up to ``longest`` words (lang, phrase, n) that occur ``least`` times; ``tables`` hold those shorter than the longest."""
+    shared = chunked.sparkSession.sparkContext.broadcast(tables)
+
+    def run(batches):
+        for batch in _merged(batches, "chunk", BATCH_BYTES):
+            grams = Grams(batch, shared.value)
+            for size in range(1, longest + 1):
+                first = grams.first_words(size)
+                row = grams.row[first]
+                keys = {"lang": batch.column("lang").take(pa.array(row)), "phrase": grams.texts(first, size)}
+                yield _summed(keys, batch.column("n").to_numpy()[row])
 
     counts = chunked.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counts.filter(F.col("n") >= least)
@@ -204,13 +233,10 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int = LONGEST) -> tup
     """All phrases (lang, phrase, n, size) that occur ``least`` times, and all words (lang, n) of each language."""
     chunked = written(dictionary(docs, longest), "parse")
     totals = chunked.groupBy("lang").agg(F.sum(F.col("own") * F.col("n")).alias("n"))
-    levels = [written(counted(chunked, [1], least), "phrases")]
-    for sizes in filter(None, ([2][: longest - 1], [*range(3, longest + 1)])):
-        size = sizes[0] - 1
-        levels.append(written(counted(chunked, sizes, least, (size, bit_table(levels[-1], size))), "phrases"))
-    found = levels[0]
-    for level in levels[1:]:
-        found = found.unionAll(level)
+    tables: list[BitTable] = []
+    for size in range(1, longest):
+        tables.append(maybe_frequent(chunked, size, least, tables))
+    found = written(counted(chunked, longest, least, tables), "phrases")
     return found.withColumn("size", F.size(F.split("phrase", " "))), totals
 
 
@@ -273,6 +299,10 @@ def collocations(docs: DataFrame, least: int = 30, percent: int = 80, count: int
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def document_collocations(docs: DataFrame) -> DataFrame:
+    return collocations(docs, least=30, percent=80, count=2000)
+
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SQL = f"""
 with pieces as (
@@ -283,19 +313,23 @@ with pieces as (
     select lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda w: w <> '') as words from pieces
 ), totals as (
     select lang, sum(len(words))::bigint as n from worded group by lang
-), found as (
+), found as materialized (
     select lang, list_aggregate(words[i:i + size - 1], 'string_agg', ' ') as phrase, size, count(*) as f
     from worded, unnest(generate_series(1, len(words))) p(i), unnest([1, 2, 3, 4]) s(size)
     where i + size - 1 <= len(words)
     group by all having count(*) >= 30
 ), candidates as (
     select lang, phrase, size, f as a, string_split(phrase, ' ') as words from found where size > 1
+), split as (
+    select lang, phrase, size, a, k, list_aggregate(words[1:k], 'string_agg', ' ') as head,
+        list_aggregate(words[k + 1:size], 'string_agg', ' ') as tail
+    from candidates, unnest([1, 2, 3]) t(k)
+    where k < size
 ), cuts as (
-    select c.lang, c.phrase, c.size, c.a, k, x.f as l, y.f as r, ((2000000::hugeint * c.a) // (x.f + y.f))::bigint as score
-    from candidates c, unnest([1, 2, 3]) t(k), found x, found y
-    where k < c.size
-        and x.lang = c.lang and x.phrase = list_aggregate(words[1:k], 'string_agg', ' ')
-        and y.lang = c.lang and y.phrase = list_aggregate(words[k + 1:c.size], 'string_agg', ' ')
+    select s.*, x.f as l, y.f as r, ((2000000::hugeint * s.a) // (x.f + y.f))::bigint as score
+    from split s
+    join found x on x.lang = s.lang and x.phrase = s.head
+    join found y on y.lang = s.lang and y.phrase = s.tail
 ), scored as (
     select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
 ), parts as (

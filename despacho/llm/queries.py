@@ -76,7 +76,7 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations.collocations(table(spark, sf_dir, "documents"))
+    return collocations.document_collocations(table(spark, sf_dir, "documents"))
 
 
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

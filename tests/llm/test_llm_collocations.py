@@ -1,0 +1,123 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_tables import EDGE, edge, empty, lower_ascii, prose, vocabulary
+
+from despacho.llm import collocations
+from despacho.llm.collocations import dictionary, document_collocations, frequent_phrases
+
+ROWS = "doc_id long, text string, lang string, phrase string, n string, own string, part string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, lang, "x", "x", "x", "x") for i, (t, lang) in enumerate(rows)], ROWS)
+
+
+def pieces(text):
+    for piece in re.split("[.,;:!?\x0a-\x0d]", lower_ascii(text or "")):
+        yield re.findall("[^ \t]+", piece)
+
+
+def phrase_counts(rows, longest=4):
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for words in pieces(text):
+            totals[lang] += len(words)
+            for size in range(1, longest + 1):
+                counts.update((lang, tuple(words[i : i + size])) for i in range(len(words) - size + 1))
+    return counts, totals
+
+
+def brute(rows, least=30, percent=80, count=2000):
+    counts, totals = phrase_counts(rows)
+    candidates = {k: a for k, a in counts.items() if len(k[1]) > 1 and a >= least}
+    found = {}
+    for (lang, words), a in candidates.items():
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = counts[(lang, words[:k])], counts[(lang, words[k:])]
+            cuts.append((2_000_000 * a // (left + right), k, left, right))
+        score, _, left, right = min(cuts)
+
+        def inside(longer):
+            return any(longer[i : i + len(words)] == words for i in range(len(longer) - len(words) + 1))
+
+        if any(
+            o == lang and len(longer) > len(words) and 100 * b >= percent * a and inside(longer)
+            for (o, longer), b in candidates.items()
+        ):
+            continue
+        found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    result = []
+    for lang, phrases in found.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(phrases)[:count], 1):
+            result.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(result)
+
+
+def found(df):
+    assert df.dtypes == [("lang", "string"), ("rank", "bigint"), ("phrase", "string")] + [
+        (c, "bigint") for c in ("a", "l", "r", "n", "score")
+    ]
+    return sorted(map(tuple, df.collect()))
+
+
+def corpus(seed):
+    rng, words = random.Random(seed), vocabulary(seed, 9)
+    fixed = [prose(rng, words, rng.randint(2, 7)) for _ in range(12)]
+    rows = []
+    for i in range(250):
+        parts = [rng.choice(fixed) if rng.random() < 0.5 else prose(rng, words, rng.randint(1, 30)) for _ in range(rng.randint(0, 9))]
+        text = "".join(p + rng.choice([" ", ". ", ",", "\n", "  ", "\t", "?! ", "\x0b"]) for p in parts)
+        rows.append((text.title() if i % 9 == 0 else text, rng.choice(["en", "en", "en", "de", None, "und", "", "a\nb"])))
+    rows += [("same words over and over again " * 40, "en")] * 5 + [("a " * 500, "fr"), (None, "fr"), ("", None)]
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_corpus(spark, seed):
+    rows = corpus(seed)
+    got = found(document_collocations(frame(spark, rows)))
+    assert got == brute(rows) and len(got) > 50
+
+
+def test_edge_rows(spark):
+    assert found(document_collocations(edge(spark))) == brute([(t, None) for _, t in EDGE])
+    assert found(document_collocations(edge(spark).union(edge(spark)))) == brute([(t, None) for _, t in EDGE] * 2)
+    assert found(document_collocations(empty(spark))) == []
+
+
+def test_first_ranks_and_ties(spark):
+    words = vocabulary(8, 40)
+    rows = [(f"{a} {b}", "en") for a, b in zip(words, words[1:]) for _ in range(30)]
+    got = found(collocations.collocations(frame(spark, rows), count=10))
+    assert got == brute(rows, count=10) and [r[1] for r in got] == list(range(1, 11))
+
+
+def test_a_table_too_small_for_all_pairs_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MOST_BITS", 64)
+    rows = corpus(7)
+    assert found(document_collocations(frame(spark, rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("longest", [1, 2, 3, 4, 6])
+def test_every_occurrence_is_counted_once(spark, longest):
+    rows = corpus(4)
+    phrases, totals = frequent_phrases(frame(spark, rows), 5, longest)
+    counts, words = phrase_counts(rows, longest)
+    assert {(r.lang, tuple(r.phrase.split(" "))): r.n for r in phrases.collect()} == {k: n for k, n in counts.items() if n >= 5}
+    assert {r.lang: r.n for r in totals.collect()} == {k: n for k, n in words.items() if n}
+
+
+def test_repeats_share_chunks(spark):
+    """A passage among different words is parsed into the same chunks, but for its ends."""
+    rng, words = random.Random(2), vocabulary(2, 300)
+    passage = prose(rng, words, 300)
+    rows = [(f"{prose(rng, words, 5)} {passage} {prose(rng, words, 5)}", "en") for _ in range(50)]
+    parsed = dictionary(frame(spark, rows)).collect()
+    own = sum(r.own for r in parsed)
+    assert sum(r.own * r.n for r in parsed) == 50 * 310
+    assert own < 50 * 60
