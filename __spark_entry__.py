@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import asdict
 from pathlib import Path
@@ -219,6 +220,32 @@ def _delivered_rows(t: Tables) -> DataFrame:
     return delivery.delivered(spark, root, delivery.SALES, rows.schema)
 
 
+def _with_doubled_lines(t: Tables) -> Tables:
+    doubled = {c: (F.col(c) * 2).cast(t["item_venta"].schema[c].dataType) for c in ("cantidad", "cantidad_uni")}
+    return {**t, "item_venta": t["item_venta"].withColumns(doubled)}
+
+
+def _sales_and_stock(t: Tables, supplier: int, first: dt.date, last: dt.date | None = None) -> runs.Extracts:
+    days = {"supplier": supplier, "start": first, "end": last or first, "excluded_article": EXCLUDED}
+    return {delivery.SALES: lambda: sales.sales_range(t, **days), delivery.STOCK: lambda: stock.inventory_units(t, **days)}
+
+
+def _backlog_resend(t: Tables) -> DataFrame:
+    """Sales packages of two days are made; then all lines change and the backlog runs.
+
+    It sends these as they were made, leaves one that was made too long ago, and builds
+    those of the two days that no run made from what the lines are now.
+    """
+    spark = t["venta"].sparkSession
+    root = f"{delivery_folder(spark)}/{spark.sparkContext.applicationId}/resend-{uuid.uuid4().hex}"
+    for created, days in ((dt.date(1998, 5, 12), ("1998-05-11", "1998-05-13")), (dt.date(1998, 5, 5), ("1998-05-04",))):
+        days = [dt.date.fromisoformat(d) for d in days]
+        rows = _sales_and_stock(t, SUPPLIER, days[0], days[-1])[delivery.SALES]().withColumn("business_date", F.to_date("Fecha"))
+        delivery.make(spark, root, delivery.build_days(rows, root, delivery.SALES, days, created=created), {})
+    runs.run_backlog(spark, _with_doubled_lines(t), root, dt.date.fromisoformat(AS_OF), extracts=_sales_and_stock)
+    return delivery.delivered(spark, root, delivery.SALES, rows.drop("business_date").schema)
+
+
 def _delivery_roundtrip(t: Tables) -> DataFrame:
     """Deliver one day's three packages to the shared folder; their control totals as read back."""
     spark = t["venta"].sparkSession
@@ -247,6 +274,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "customer_master_padded_codes": lambda t: EXTRACTS["customer_master"](_padded(t)),
     "control_text_ids": _control_text_ids,
     "delivered_rows": _delivered_rows,
+    "backlog_resend": _backlog_resend,
     "unit_conversion": _unit_conversion,
     "document_types": _document_types,
     "associated_vouchers": _associated_vouchers,

@@ -1,8 +1,9 @@
-"""Bookkeeping of runs: what is due, delivered or pending, and the daily run itself."""
+"""Bookkeeping of runs: what is due, delivered or pending, the daily run itself, and the packages left behind."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import asdict
 from decimal import Decimal
@@ -20,22 +21,28 @@ from despacho.operators.lookups import (
     config_row,
     package_number,
 )
+from despacho.operators.limits import QUERY_SECONDS, time_limit
 from despacho.plans import customers, sales, stock
 from despacho.plans.delivery import (
     CUSTOMERS,
     SALES,
+    SENT,
     STOCK,
     Kind,
-    deliver,
-    deliver_days,
+    Transport,
+    build_days,
+    is_waiting,
     ledger,
-    literal_rows,
-    package_name,
-    read_partitions,
-    record_delivery,
-    write_partitions,
+    make,
+    packages,
+    read_records,
+    send,
+    steps,
+    waiting,
 )
 from despacho.plans.dimensions import Tables
+from despacho.sources.base import FACTS
+from despacho.sources.files import publish_once
 
 # How long an undelivered package stays pending, and which kinds are retried.
 MAX_AGE_DAYS = 3
@@ -49,14 +56,14 @@ def due(config: DataFrame, as_of: Day) -> DataFrame:
     return config.filter(~F.col("ult_envio").eqNullSafe(day(as_of)))
 
 
-def skip_delivered(packages: DataFrame, sent: DataFrame) -> DataFrame:
+def skip_delivered(planned: DataFrame, sent: DataFrame) -> DataFrame:
     """Packages without a ledger row."""
-    return packages.join(sent.select(*PACKAGE), PACKAGE, "left_anti")
+    return planned.join(sent.select(*PACKAGE), PACKAGE, "left_anti")
 
 
-def pending(packages: DataFrame, sent: DataFrame, as_of: Day, max_age: int = MAX_AGE_DAYS) -> DataFrame:
+def pending(planned: DataFrame, sent: DataFrame, as_of: Day, max_age: int = MAX_AGE_DAYS) -> DataFrame:
     """Undelivered stock and sales packages created at most ``max_age`` days before the run date."""
-    recent = packages.filter(
+    recent = planned.filter(
         F.col("kind").isin(*RETRIED_KINDS) & (age_in_days(as_of, F.col("created")) <= max_age)
     )
     return skip_delivered(recent, sent)
@@ -128,7 +135,7 @@ OPEN_ENDED: Mapping[ExtractsOf, frozenset[str]] = {boxes_extracts: frozenset([SA
 def run_log(spark: SparkSession, root: str) -> DataFrame:
     """One row per run date and series: the number the series was advanced to."""
     columns = "sucursal int, tiponum string, letra string, empresa_id int, numero bigint, run_date date"
-    return read_partitions(spark, f"{root}/runs", columns)
+    return read_records(spark, f"{root}/runs", columns)
 
 
 def config_at(config: DataFrame, root: str, as_of: dt.date) -> DataFrame:
@@ -153,16 +160,19 @@ def numbering_at(
     return numbering.withColumn("numero", F.when(series.matches(), advanced).otherwise(F.col("numero")))
 
 
-def record_run(numbering: DataFrame, root: str, as_of: dt.date, series: Series) -> None:
-    """Stamp the run date and advance the series, in one write."""
-    spark = numbering.sparkSession
-    key = [F.lit(value).alias(name) for name, value in asdict(series).items()]
-    advanced = package_number(advance_sequence(numbering, series), 0, series)
-    row = spark.range(1).select(*key, advanced.cast("bigint").alias("numero"), day(as_of).alias("run_date"))
-    write_partitions(row, f"{root}/runs", *asdict(series), "run_date")
+def record_run(numbering: DataFrame, root: str, as_of: dt.date, series: Series) -> bool:
+    """Stamp the run date and advance the series, in one step; False if that was done before.
+
+    Of two runs of one day only one can publish the record.
+    """
+    number = numbering.select(package_number(advance_sequence(numbering, series), 0, series)).first()
+    number = number[0] if number else None
+    record = {**asdict(series), "numero": number, "run_date": as_of.isoformat()}
+    name = "-".join(str(value) for value in asdict(series).values())
+    return publish_once(numbering.sparkSession, f"{root}/runs/{name}/{as_of:%Y-%m-%d}.json", json.dumps(record))
 
 
-def numbers_before(packages: DataFrame, log: DataFrame, numbering: DataFrame, series: Series = PACKAGE_SERIES) -> DataFrame:
+def numbers_before(planned: DataFrame, log: DataFrame, numbering: DataFrame, series: Series = PACKAGE_SERIES) -> DataFrame:
     """The packages with ``numero``, their series' number as it was before the run that created them.
 
     The log has a row per run, so its history is one value.
@@ -171,18 +181,7 @@ def numbers_before(packages: DataFrame, log: DataFrame, numbering: DataFrame, se
     history = log.filter(series.matches()).agg(F.sort_array(F.collect_list(run)).alias("runs")).scalar()
     earlier = F.filter("runs", lambda r: r["run_date"] < F.col("created"))
     number = F.greatest(package_number(numbering, 0, series).cast("bigint"), F.get(earlier, F.size(earlier) - 1)["numero"])
-    return packages.withColumn("runs", history).withColumn("numero", number).drop("runs")
-
-
-def _packages(spark: SparkSession, packages: list[tuple[str, dt.date]]) -> DataFrame:
-    return literal_rows(spark, *({"kind": kind, "business_date": date} for kind, date in packages))
-
-
-def _record(spark: SparkSession, root: str, user: str, packages: list[tuple[str, dt.date]]) -> None:
-    if packages:
-        name = package_name(F.lit(user), F.col("kind"), F.col("business_date"))
-        rows = _packages(spark, packages).withColumn("sent_at", F.localtimestamp()).withColumn("package_name", name)
-        record_delivery(rows, root)
+    return planned.withColumn("runs", history).withColumn("numero", number).drop("runs")
 
 
 def daily_run(
@@ -195,14 +194,18 @@ def daily_run(
     series: Series = ADVANCED_SERIES,
     once_a_day: bool = True,
     file_format: str = "parquet",
+    seconds: float | None = QUERY_SECONDS,
+    transport: Transport | None = None,
 ) -> Mapping[str, Mapping[str, Decimal]]:
-    """One run: gate, build and deliver what is missing, then the bookkeeping.
-
-    The ledger, then run date and sequence together, move only after every
-    package is written and verified. A run that broke off can be repeated: the
-    sequence is advanced from where it was before the run date. The base tables
-    stay as they are; what runs change is kept under ``root`` and laid over
-    them. Returns the control totals of the packages delivered, by kind.
+    """One run: gate, build what was not sent, send it, then the bookkeeping.
+
+    Every dataset is built before the first is sent; run date and sequence move
+    together, after all packages of the day are sent. A run that broke off can be
+    repeated: the sequence is advanced from where it was before the run date. Of
+    several runs at once each package is sent by one, and the run recorded by one.
+    A dataset that takes longer than ``seconds`` ends the run, and nothing of it is
+    seen. The base tables stay as they are; what runs change is kept under ``root``
+    and laid over them. Returns the control totals of the packages sent, by kind.
     """
     config = config_at(t["configuracion"], root, as_of)
     numbering = t["numeracion"]
@@ -216,17 +219,43 @@ def daily_run(
     business_date = as_of + dt.timedelta(days=day_offset)
 
     datasets = extracts(t, supplier, business_date)
-    planned = _packages(spark, [(kind.name, business_date) for kind in datasets])
-    missing = {r["kind"] for r in skip_delivered(planned, ledger(spark, root)).collect()}
+    of_day = steps(spark, root).filter(F.col("business_date") == day(business_date))
+    known = packages(of_day)
+    built = []
     with remembered_sizes():
-        controls = {
-            kind.name: deliver(build(), root, kind, business_date, file_format)
-            for kind, build in datasets.items()
-            if kind.name in missing
-        }
-    _record(spark, root, user, [(name, business_date) for name in controls])
-    record_run(numbering, root, as_of, series)
-    return controls
+        for kind, build in datasets.items():
+            old = known.get((kind.name, business_date))
+            if old is None or is_waiting(old):
+                with time_limit(spark, seconds):
+                    rows = build().withColumn("business_date", day(business_date))
+                    built += build_days(rows, root, kind, [business_date], file_format, as_of)
+    made = make(spark, root, built, {key: p.version for key, p in known.items()})
+    sent = send(spark, root, made, user, transport)
+    states = {kind: p.state for (kind, _), p in packages(steps(spark, root).filter(F.col("business_date") == day(business_date))).items()}
+    if all(states.get(kind.name) == SENT for kind in datasets):
+        record_run(numbering, root, as_of, series)
+    return {p.kind: p.controls for p in sent}
+
+
+def send_waiting(
+    spark: SparkSession,
+    root: str,
+    as_of: dt.date,
+    user: str | None = None,
+    max_age: int = MAX_AGE_DAYS,
+    transport: Transport | None = None,
+) -> Mapping[tuple[str, dt.date], Mapping[str, Decimal]]:
+    """Send the stock and sales packages of the last days that were made and not sent, as they were made.
+
+    No base table is read.
+    """
+    return {p.key: p.controls for p in send(spark, root, waiting(spark, root, as_of, max_age, RETRIED_KINDS), user, transport)}
+
+
+def on_days(t: Tables, days: list[dt.date]) -> Tables:
+    """The tables with the facts of some days only; where facts are stored by date, no other day's folder is read."""
+    chosen = [day(d) for d in days]
+    return {**t, **{name: t[name].filter(F.col("fecha").isin(*chosen)) for name in FACTS}}
 
 
 def run_backlog(
@@ -237,40 +266,48 @@ def run_backlog(
     day_offset: int = -1,
     extracts: ExtractsOf = units_extracts,
     file_format: str = "parquet",
+    seconds: float | None = QUERY_SECONDS,
+    transport: Transport | None = None,
 ) -> Mapping[tuple[str, dt.date], Mapping[str, Decimal]]:
-    """Deliver the stock and sales packages of the last days that are not in the ledger yet.
+    """Send the stock and sales packages of the last days that were not sent yet.
 
-    One job per dataset for all its waiting days, then one ledger write. Every
-    package carries the number it had before the run that should have delivered
-    it; the run date and the sequences stay as they are.
+    Those that were made are sent as they are. What no run made is built now, in one
+    job per dataset for all its days, with the number each package had before the run
+    that should have made it. The run date and the sequences stay as they are.
     """
     config = config_at(t["configuracion"], root, as_of)
     t = {**t, "configuracion": config}
     settings = config_row(config)
     supplier, user = settings["codigo_proveedor"], settings["usuario"]
-    waiting = pending(calendar(spark, as_of, day_offset), ledger(spark, root), as_of)
+    controls = dict(send_waiting(spark, root, as_of, user, transport=transport))
+
+    known = packages(steps(spark, root))
+    missing = pending(calendar(spark, as_of, day_offset), ledger(spark, root), as_of)
     base = package_number(t["numeracion"], 0).cast("bigint")
-    waiting = numbers_before(waiting, run_log(spark, root), t["numeracion"]).withColumn("ahead", F.col("numero") - base)
+    missing = numbers_before(missing, run_log(spark, root), t["numeracion"]).withColumn("ahead", F.col("numero") - base)
     # At most one package a kind and day of the backlog's horizon.
     by_kind: dict[str, dict[dt.date, int]] = {}
-    for row in waiting.select(*PACKAGE, "ahead").collect():
-        by_kind.setdefault(row["kind"], {})[row["business_date"]] = row["ahead"] or 0
+    for row in missing.select(*PACKAGE, "ahead").collect():
+        if (row["kind"], row["business_date"]) not in known:
+            by_kind.setdefault(row["kind"], {})[row["business_date"]] = row["ahead"] or 0
 
-    controls = {}
+    built = []
     with remembered_sizes():
         for name, ahead in sorted(by_kind.items()):
             days = sorted(ahead)
-            [(kind, build)] = [(k, b) for k, b in extracts(t, supplier, days[0], days[-1]).items() if k.name == name]
-            rows, fecha = build(), F.to_date("Fecha")
-            if name in OPEN_ENDED.get(extracts, ()):
-                dates = F.filter(F.array(*map(day, days)), lambda d: d <= fecha)
-                rows = rows.select("*", F.explode(dates).alias("business_date"))
-            else:
-                rows = rows.withColumn("business_date", fecha).filter(F.col("business_date").isin(*map(day, days)))
-            steps = F.create_map(*[x for d in days for x in (day(d), F.lit(ahead[d]))])
-            kept = rows.schema["IdPaquete"].dataType
-            rows = rows.withColumn("IdPaquete", (F.col("IdPaquete") + steps[F.col("business_date")]).cast(kept))
-            done = deliver_days(rows, root, kind, days, file_format)
-            controls |= {(name, d): done[d] for d in days}
-    _record(spark, root, user, sorted(controls))
-    return controls
+            open_ended = name in OPEN_ENDED.get(extracts, ())
+            facts = t if open_ended else on_days(t, days)
+            [(kind, build)] = [(k, b) for k, b in extracts(facts, supplier, days[0], days[-1]).items() if k.name == name]
+            with time_limit(spark, seconds):
+                rows, fecha = build(), F.to_date("Fecha")
+                if open_ended:
+                    dates = F.filter(F.array(*map(day, days)), lambda d: d <= fecha)
+                    rows = rows.select("*", F.explode(dates).alias("business_date"))
+                else:
+                    rows = rows.withColumn("business_date", fecha).filter(F.col("business_date").isin(*map(day, days)))
+                forward = F.create_map(*[x for d in days for x in (day(d), F.lit(ahead[d]))])
+                kept = rows.schema["IdPaquete"].dataType
+                rows = rows.withColumn("IdPaquete", (F.col("IdPaquete") + forward[F.col("business_date")]).cast(kept))
+                built += build_days(rows, root, kind, days, file_format, as_of)
+    made = make(spark, root, built, {})
+    return controls | {p.key: p.controls for p in send(spark, root, made, user, transport)}

@@ -250,7 +250,7 @@ def test_two_series_on_one_day_both_advance_and_repeats_advance_neither_twice(sp
 @pytest.mark.parametrize("series, numbers", [(PACKAGE_SERIES, [42, 43, 44]), (ADVANCED_SERIES, [42, 42, 42])])
 @pytest.mark.parametrize("extracts", [runs.units_extracts, runs.boxes_extracts])
 def test_a_package_has_one_number_from_its_run_and_from_the_backlog(spark, tables, tmp_path, series, numbers, extracts):
-    """The ledger loses three days; the backlog delivers the same rows again."""
+    """The packages of three days are lost; the backlog builds and sends the same rows again."""
     root, again = f"{tmp_path}/own", f"{tmp_path}/again"
     days = [AS_OF + dt.timedelta(days=n) for n in range(3)]
     for as_of in days:
@@ -264,7 +264,7 @@ def test_a_package_has_one_number_from_its_run_and_from_the_backlog(spark, table
 
     built = {kind: build() for kind, build in extracts(tables, 3, DAY).items() if kind.name in runs.RETRIED_KINDS}
     want = {kind: delivered(root, kind, df) for kind, df in built.items()}
-    (tmp_path / "again" / "ledger").rename(tmp_path / "lost")
+    (tmp_path / "again" / "packages").rename(tmp_path / "lost")
     done = runs.run_backlog(spark, tables, again, days[-1], extracts=extracts)
     assert {d for _, d in done} >= {d - dt.timedelta(days=1) for d in days}
     assert {kind: delivered(again, kind, df) for kind, df in built.items()} == want
