@@ -10,13 +10,12 @@ chunk in which it begins, weighted with that chunk's frequency; one that begins
 an overlap is left to the chunk that the overlap begins, so every occurrence counts
 once. No phrase reaches beyond its chunk.
 
-Rare phrases are kept out in passes that count hashes: those of words, then those of
-pairs whose words are frequent, and so on up to one word fewer than the longest has. A
-hash counts for all phrases that have it, so no frequent phrase is missed. The last
-pass counts phrases themselves, by their texts: those that may be frequent, and the
-longest ones all of whose parts may be. What the passes know of each other are bit
-tables of at most ``MOST_BITS``, which may let more phrases through; these are counted
-and dropped, and the result is the same.
+Words are counted first. Rare phrases are kept out by counting hashes of the pairs of
+frequent words: a hash counts for all pairs that have it, so no frequent pair is
+missed. The last pass counts phrases themselves, by their texts: pairs that may be
+frequent, and longer phrases all of whose pairs may be. What a pass knows of the one
+before it is a bit table of at most ``MOST_BITS``, which may let more phrases through;
+these are counted and dropped, and the result is the same.
 
 Defined cases: a null text is empty, a null language is ``und``; repeated rows and
 ids count each; a language without a frequent phrase gives no rows, nor does an
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from despacho.llm.arrow import chunks, text_bytes, written
-from despacho.llm.words import Words, gathered, mix
+from despacho.llm.words import LOW_BYTES, PAD, Words, gathered, loadable, mix
 
 BLANKS = (9, 32)
 BREAKS = (10, 11, 12, 13, *b".,;:!?")
@@ -42,6 +41,7 @@ ONE_IN = 16  # windows of words begin a chunk
 BATCH_BYTES = 4 << 20
 MOST_BITS = 1 << 28  # 32 MB
 BITS_EACH = 16
+RANGE = 4_000_000  # pairs of a range of hashes
 UNKNOWN = "und"
 
 CHUNKS = "lang string, chunk string, own int, n long"
@@ -57,10 +57,14 @@ def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
     return result
 
 
+def _array(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Texts that stand one behind the other."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
 def _strings(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
-    data = gathered(pool, starts, lengths)
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+    return _array(gathered(pool, starts, lengths), lengths)
 
 
 def _summed(keys: dict[str, pa.Array], amounts: np.ndarray) -> pa.RecordBatch:
@@ -72,7 +76,7 @@ def _summed(keys: dict[str, pa.Array], amounts: np.ndarray) -> pa.RecordBatch:
 
 
 def parse(texts: list[bytes | None], longest: int = LONGEST) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """The chunks of some texts: for each its text's number, its words with single spaces, and how many are its own."""
+    """The chunks of some texts: for each its text's number, its words with single spaces and a line end, and how many are its own."""
     words = Words(texts, BLANKS + BREAKS)
     count, overlap = len(words.starts), longest - 1
     if not count:
@@ -89,16 +93,18 @@ def parse(texts: list[bytes | None], longest: int = LONGEST) -> tuple[np.ndarray
     first = np.flatnonzero(begins)
     own_ends = np.append(first[1:], count)
     ends = np.minimum(own_ends + overlap, piece_ends[first])
-    spaced = np.where(np.isin(words.buffer, BLANKS + BREAKS), np.uint8(32), words.buffer)
-    pool = gathered(spaced, words.starts, words.lengths + 1)
+    pool = gathered(words.buffer, words.starts, words.lengths + 1)
     at = np.cumsum(words.lengths + 1)
+    pool[at - 1] = 32  # whatever stood behind a word
     starts = (at - words.lengths - 1)[first]
-    chunk = _strings(pool, starts, at[ends - 1] - 1 - starts)
-    return words.text_of_word()[first], chunk, (own_ends - first).astype(np.int32)
+    lengths = at[ends - 1] - starts
+    data = gathered(pool, starts, lengths)
+    data[np.cumsum(lengths) - 1] = 10
+    return words.text_of_word()[first], _array(data, lengths), (own_ends - first).astype(np.int32)
 
 
 def dictionary(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """Distinct chunks (lang, chunk, own, n) of documents (lang, text): ``own`` of its words begin phrases, ``n`` is its frequency."""
+    """Distinct chunks (lang, chunk, own, n) of documents (lang, text): the first ``own`` words begin phrases, ``n`` is the frequency."""
 
     def run(batches):
         for batch in chunks(batches, "text", BATCH_BYTES):
@@ -123,13 +129,43 @@ def _merged(batches, column: str, limit: int):
         yield from chunks(pa.Table.from_batches(held).combine_chunks().to_batches(), column, limit)
 
 
-def _hashed_words(batch: pa.RecordBatch, column: str) -> tuple[Words, np.ndarray]:
-    """The words of a column, and hashes of each with its row's language."""
-    words = Words(text_bytes(batch, column), (10, 32), lower=False)
-    langs = batch.column("lang").dictionary_encode()
+class LineWords(Words):
+    """Words of a column of texts that have single spaces and end with a line end each."""
+
+    def __init__(self, lines: pa.StringArray):
+        offsets = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset : lines.offset + len(lines) + 1].astype(np.int64)
+        data = np.frombuffer(lines.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        self.buffer = np.concatenate([data, np.full(PAD, 10, np.uint8)])
+        ends = np.flatnonzero((data == 32) | (data == 10))
+        self.starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+        self.lengths = ends - self.starts
+        self.text_starts = offsets - offsets[0]
+        self.bounds = np.searchsorted(self.starts, self.text_starts)
+        self.eight = loadable(self.buffer)
+
+
+def _word_hashes(words: Words, langs: pa.Array) -> np.ndarray:
+    """Hashes of words with their texts' language."""
+    langs = langs.dictionary_encode()
     digests = [hashlib.blake2b(s.as_py().encode(), digest_size=8).digest() for s in langs.dictionary]
     of_lang = np.frombuffer(b"".join(digests), np.uint64)[langs.indices.to_numpy(zero_copy_only=False)]
-    return words, mix(words.hashes() ^ of_lang[words.text_of_word()])
+    return mix(words.hashes() ^ np.repeat(of_lang, np.diff(words.bounds)))
+
+
+def _equal_spans(words: Words, some: np.ndarray, others: np.ndarray) -> bool:
+    """Whether the words ``some`` are, byte by byte, the words ``others``."""
+    lengths = words.lengths[some]
+    if not np.array_equal(lengths, words.lengths[others]):
+        return False
+    a, b, done = words.starts[some], words.starts[others], 0
+    while len(a):
+        mask = LOW_BYTES[np.minimum(lengths - done, 8)]
+        if ((words.eight[a + done] ^ words.eight[b + done]) & mask).any():
+            return False
+        done += 8
+        longer = lengths > done
+        a, b, lengths = a[longer], b[longer], lengths[longer]
+    return True
 
 
 class BitTable:
@@ -172,58 +208,130 @@ def bit_table(hashes: DataFrame) -> BitTable:
 
 
 class Grams:
-    """The phrases of a batch of chunks: words, hashes, and which words begin phrases that all tables hold."""
+    """The phrases of a batch of chunks: words, hashes, and the pairs of words that a table holds."""
 
-    def __init__(self, batch: pa.RecordBatch, tables: list[BitTable]):
-        self.words, self.hashes = _hashed_words(batch, "chunk")
+    def __init__(self, batch: pa.RecordBatch):
+        self.batch, self.words = batch, LineWords(batch.column("chunk"))
+        self.hashes = _word_hashes(self.words, batch.column("lang"))
         self.count, self.row = len(self.words.starts), self.words.text_of_word()
         self.at, self.ends = np.arange(self.count), self.words.bounds[self.row + 1]
         self.begins = self.at - self.words.bounds[self.row] < batch.column("own").to_numpy()[self.row]
-        self.held = [t.holds(_grams(self.hashes, n)) & (self.at + n <= self.ends) for n, t in enumerate(tables, 1)]
+        self.n = batch.column("n").to_numpy()
 
-    def first_words(self, size: int) -> np.ndarray:
-        """Where phrases of ``size`` words begin whose parts, as long as there is a table for, are held."""
+    def starts_of(self, size: int, part: int = 0, held: np.ndarray | None = None) -> np.ndarray:
+        """Where phrases of ``size`` words begin all of whose parts of ``part`` words are held."""
         takes = self.begins & (self.at + size <= self.ends)
-        n = min(size, len(self.held))
-        for j in range(size - n + 1 if n else 0):
-            takes[: self.count - j] &= self.held[n - 1][j:]
+        for j in range(size - part + 1 if part else 0):
+            takes[: self.count - j] &= held[j:]
         return np.flatnonzero(takes)
 
-    def texts(self, first: np.ndarray, size: int) -> pa.Array:
+    def counts(self, first: np.ndarray, size: int) -> pa.RecordBatch:
+        """The phrases of ``size`` words from ``first`` on, as (lang, phrase, n)."""
         last = first + size - 1
         starts, ends = self.words.starts[first], self.words.starts[last] + self.words.lengths[last]
-        return _strings(self.words.buffer, starts, ends - starts)
+        row = self.row[first]
+        keys = {"lang": self.batch.column("lang").take(pa.array(row)), "phrase": _strings(self.words.buffer, starts, ends - starts)}
+        return _summed(keys, self.n[row])
+
+    def word_counts(self) -> pa.RecordBatch:
+        """All words, as (lang, phrase, n)."""
+        first = self.starts_of(1)
+        _, one, which = np.unique(self.hashes[first], return_index=True, return_inverse=True)
+        one, row = first[one], self.row[first]
+        langs = self.batch.column("lang").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        if not np.array_equal(langs[row], langs[self.row[one]][which]) or not _equal_spans(self.words, first, one[which]):
+            return self.counts(first, 1)  # two words of one hash
+        sums = np.zeros(len(one), np.int64)
+        np.add.at(sums, which, self.n[row])
+        texts = _strings(self.words.buffer, self.words.starts[one], self.words.lengths[one])
+        return pa.RecordBatch.from_arrays([self.batch.column("lang").take(pa.array(self.row[one])), texts, pa.array(sums)], ["lang", "phrase", "n"])
+
+
+def _batches(batches):
+    return map(Grams, _merged(batches, "chunk", BATCH_BYTES))
 
 
-def maybe_frequent(chunked: DataFrame, size: int, least: int, tables: list[BitTable]) -> BitTable:
-    """A table that holds all phrases of ``size`` words that occur ``least`` times and whose parts ``tables`` hold."""
-    shared = chunked.sparkSession.sparkContext.broadcast(tables)
+def frequent_words(chunked: DataFrame, least: int) -> DataFrame:
+    """Words (lang, phrase, n) that occur ``least`` times."""
 
     def run(batches):
-        for batch in _merged(batches, "chunk", BATCH_BYTES):
-            grams = Grams(batch, shared.value)
-            first = grams.first_words(size)
-            hashes, where = np.unique(_grams(grams.hashes, size)[first], return_inverse=True)
-            sums = np.zeros(len(hashes), np.int64)
-            np.add.at(sums, where, batch.column("n").to_numpy()[grams.row[first]])
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(sums)], ["hash", "n"])
+        for grams in _batches(batches):
+            yield grams.word_counts()
+
+    counts = chunked.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return counts.filter(F.col("n") >= least)
+
+
+def word_table(words: DataFrame) -> BitTable:
+    """The bit table of words (lang, phrase)."""
+
+    def run(batches):
+        for batch in batches:
+            hashes = _word_hashes(LineWords(batch.column("line")), batch.column("lang"))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+
+    lines = words.select("lang", F.concat("phrase", F.lit("\n")).alias("line"))
+    return bit_table(lines.mapInArrow(run, "hash long"))
+
+
+def _sums(hashes: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, ascending, and the sum of each one's amounts."""
+    order = np.argsort(hashes)
+    hashes, amounts = hashes[order], amounts[order]
+    first = np.flatnonzero(np.diff(hashes, prepend=hashes[:1] + np.uint64(1))) if len(hashes) else np.zeros(0, np.int64)
+    return hashes[first], np.add.reduceat(amounts, first) if len(first) else amounts[:0]
+
+
+def pair_table(chunked: DataFrame, n_words: int, least: int, words: BitTable) -> BitTable:
+    """A table that holds all pairs of held words that occur ``least`` times.
+
+    Hashes are dealt into ranges that hold some ``RANGE`` of all pairs at most; what a task finds for a
+    range is one row, and a range is summed up at once.
+    """
+    ranges = max(1, -(-n_words // RANGE))
+    shared = chunked.sparkSession.sparkContext.broadcast(words.bits)
+
+    def find(batches):
+        for grams in _batches(batches):
+            first = grams.starts_of(2, 1, BitTable(shared.value).holds(grams.hashes))
+            hashes, sums = _sums(_grams(grams.hashes, 2)[first], grams.n[grams.row[first]])
+            of = (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+            found, low = np.unique(of, return_index=True)
+            parts = list(zip(low.tolist(), [*low[1:].tolist(), len(of)]))
+            columns = [pa.array([values[a:b].tobytes() for a, b in parts], pa.binary()) for values in (hashes, sums)]
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), *columns], ["range", "hashes", "sums"])
+
+    def add(batches):
+        held, hashes, sums = None, [], []
+
+        def frequent():
+            found, total = _sums(np.concatenate(hashes), np.concatenate(sums))
+            return pa.RecordBatch.from_arrays([pa.array(found[total >= least].view(np.int64))], ["hash"])
+
+        for batch in batches:
+            for number, some, amounts in zip(*(batch.column(c).to_pylist() for c in ("range", "hashes", "sums"))):
+                if held != number:
+                    if hashes:
+                        yield frequent()
+                    held, hashes, sums = number, [], []
+                hashes.append(np.frombuffer(some, np.uint64))
+                sums.append(np.frombuffer(amounts, np.int64))
+        if hashes:
+            yield frequent()
 
-    counts = chunked.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    return bit_table(written(counts.filter(F.col("n") >= least).select("hash"), "hashes"))
+    dealt = chunked.mapInArrow(find, "range long, hashes binary, sums binary").repartition("range").sortWithinPartitions("range")
+    return bit_table(written(dealt.mapInArrow(add, "hash long"), "pairs"))
 
 
-def counted(chunked: DataFrame, longest: int, least: int, tables: list[BitTable]) -> DataFrame:
-    """Phrases of up to ``longest`` words (lang, phrase, n) that occur ``least`` times; ``tables`` hold those shorter than the longest."""
-    shared = chunked.sparkSession.sparkContext.broadcast(tables)
+def frequent_longer(chunked: DataFrame, longest: int, least: int, pairs: BitTable) -> DataFrame:
+    """Phrases of two words and more (lang, phrase, n) that occur ``least`` times; ``pairs`` holds all such pairs."""
+    shared = chunked.sparkSession.sparkContext.broadcast(pairs.bits)
 
     def run(batches):
-        for batch in _merged(batches, "chunk", BATCH_BYTES):
-            grams = Grams(batch, shared.value)
-            for size in range(1, longest + 1):
-                first = grams.first_words(size)
-                row = grams.row[first]
-                keys = {"lang": batch.column("lang").take(pa.array(row)), "phrase": grams.texts(first, size)}
-                yield _summed(keys, batch.column("n").to_numpy()[row])
+        for grams in _batches(batches):
+            held = BitTable(shared.value).holds(_grams(grams.hashes, 2)) & (grams.at + 2 <= grams.ends)
+            for size in range(2, longest + 1):
+                yield grams.counts(grams.starts_of(size, 2, held), size)
 
     counts = chunked.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counts.filter(F.col("n") >= least)
@@ -233,10 +341,11 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int = LONGEST) -> tup
     """All phrases (lang, phrase, n, size) that occur ``least`` times, and all words (lang, n) of each language."""
     chunked = written(dictionary(docs, longest), "parse")
     totals = chunked.groupBy("lang").agg(F.sum(F.col("own") * F.col("n")).alias("n"))
-    tables: list[BitTable] = []
-    for size in range(1, longest):
-        tables.append(maybe_frequent(chunked, size, least, tables))
-    found = written(counted(chunked, longest, least, tables), "phrases")
+    found = written(frequent_words(chunked, least), "phrases")
+    if longest > 1:
+        words = chunked.agg(F.sum("own")).head()[0] or 0
+        pairs = pair_table(chunked, words, least, word_table(found))
+        found = found.unionAll(written(frequent_longer(chunked, longest, least, pairs), "phrases"))
     return found.withColumn("size", F.size(F.split("phrase", " "))), totals
 
 

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_tables import EDGE, edge, empty, lower_ascii, prose, vocabulary
 
@@ -103,6 +104,19 @@ def test_a_table_too_small_for_all_pairs_changes_nothing(spark, monkeypatch):
     assert found(document_collocations(frame(spark, rows))) == brute(rows)
 
 
+def test_words_and_pairs_of_one_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "mix", lambda x: x % np.uint64(97))
+    rows = corpus(6)
+    assert found(document_collocations(frame(spark, rows))) == brute(rows)
+
+
+def test_many_ranges_of_hashes(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "RANGE", 50)
+    monkeypatch.setattr(collocations, "BATCH_BYTES", 2000)
+    rows = corpus(5)
+    assert found(document_collocations(frame(spark, rows))) == brute(rows)
+
+
 @pytest.mark.parametrize("longest", [1, 2, 3, 4, 6])
 def test_every_occurrence_is_counted_once(spark, longest):
     rows = corpus(4)
