@@ -11,7 +11,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_texts
@@ -24,6 +24,7 @@ from despacho.operators.lookups import MAIN_CONFIG, PACKAGE_SERIES, distributor_
 from despacho.plans import customers, delivery, dimensions, runs, sales, stock
 from despacho.plans.dimensions import Tables
 from despacho.session import delivery_folder
+from despacho.sources.collation import collated, plain
 from despacho.sources.sample import sample_ledger, sample_packages, sample_tables
 
 try:
@@ -176,6 +177,33 @@ def _padded(t: Tables) -> Tables:
     return {**t, "numeracion": numbering, "cliente": t["cliente"].withColumn("estado", F.rpad("estado", 4, " "))}
 
 
+def _mixed(t: Tables) -> Tables:
+    """The tables with texts in mixed case and with blanks behind them, under the source's collation."""
+
+    def variant(df: DataFrame, by: str, **columns: Column) -> DataFrame:
+        other = {c: F.concat(F.lower(value), F.lit("  ")) for c, value in columns.items()}
+        return df.withColumns({c: F.when(F.col(by) % 2 == 0, other[c]).otherwise(F.upper(value)) for c, value in columns.items()})
+
+    codes = {name: F.col(name) for name in ("tiponum", "letra")}
+    return collated({
+        **t,
+        "item_venta": variant(t["item_venta"], "cod_art", comprobante=F.col("comprobante")),
+        # Four letters, so that many articles share a code.
+        "articulo": variant(t["articulo"], "codigo", codigoprov=F.left("codigoprov", F.lit(4))),
+        "cliente": variant(t["cliente"], "codigo", estado=F.col("estado")),
+        "numeracion": variant(t["numeracion"], "sucursal", **codes).withColumns({c: F.lower(c) for c in codes}),
+    })
+
+
+def _collated(extract: str) -> Callable[[Tables], DataFrame]:
+    def plan(t: Tables) -> DataFrame:
+        rows = plain(EXTRACTS[extract](_mixed(t)))
+        shown = [c for c in ("IdProducto", "NroComprobante") if c in rows.columns]
+        return rows.withColumns({c: F.lower(F.rtrim(c)) for c in shown})
+
+    return plan
+
+
 def _backlog_numbers(t: Tables) -> DataFrame:
     """Waiting packages with the number before their run, after a run on every day with vouchers."""
     run_days = t["venta"].select(F.col("fecha").alias("run_date")).distinct()
@@ -272,6 +300,9 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "mark_delivered": _mark_delivered,
     "sales_range_padded_codes": lambda t: EXTRACTS["sales_range"](_padded(t)),
     "customer_master_padded_codes": lambda t: EXTRACTS["customer_master"](_padded(t)),
+    "sales_range_collated": _collated("sales_range"),
+    "inventory_units_collated": _collated("inventory_units"),
+    "customer_master_collated": _collated("customer_master"),
     "control_text_ids": _control_text_ids,
     "delivered_rows": _delivered_rows,
     "backlog_resend": _backlog_resend,
