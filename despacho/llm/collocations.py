@@ -41,7 +41,8 @@ ONE_IN = 16  # windows of words begin a chunk
 BATCH_BYTES = 4 << 20
 MOST_BITS = 1 << 28  # 32 MB
 BITS_EACH = 16
-RANGE = 4_000_000  # pairs of a range of hashes
+RANGE = 500_000  # pairs of a range of hashes, at most
+HELD = 1_000_000  # pairs that a task holds before it deals them out
 UNKNOWN = "und"
 
 CHUNKS = "lang string, chunk string, own int, n long"
@@ -285,21 +286,31 @@ def _sums(hashes: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def pair_table(chunked: DataFrame, n_words: int, least: int, words: BitTable) -> BitTable:
     """A table that holds all pairs of held words that occur ``least`` times.
 
-    Hashes are dealt into ranges that hold some ``RANGE`` of all pairs at most; what a task finds for a
-    range is one row, and a range is summed up at once.
+    Hashes are dealt into ranges of so many pairs at most; what a task finds of a range
+    is one row, and a range is summed up at once.
     """
     ranges = max(1, -(-n_words // RANGE))
     shared = chunked.sparkSession.sparkContext.broadcast(words.bits)
 
+    def dealt_out(parts):
+        hashes, sums = _sums(*map(np.concatenate, zip(*parts)))
+        of = (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+        found, low = np.unique(of, return_index=True)
+        bounds = list(zip(low.tolist(), [*low[1:].tolist(), len(of)]))
+        columns = [pa.array([values[a:b].tobytes() for a, b in bounds], pa.binary()) for values in (hashes, sums)]
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), *columns], ["range", "hashes", "sums"])
+
     def find(batches):
+        held, size = [], 0
         for grams in _batches(batches):
             first = grams.starts_of(2, 1, BitTable(shared.value).holds(grams.hashes))
-            hashes, sums = _sums(_grams(grams.hashes, 2)[first], grams.n[grams.row[first]])
-            of = (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-            found, low = np.unique(of, return_index=True)
-            parts = list(zip(low.tolist(), [*low[1:].tolist(), len(of)]))
-            columns = [pa.array([values[a:b].tobytes() for a, b in parts], pa.binary()) for values in (hashes, sums)]
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), *columns], ["range", "hashes", "sums"])
+            held.append((_grams(grams.hashes, 2)[first], grams.n[grams.row[first]]))
+            size += len(first)
+            if size >= HELD:
+                yield dealt_out(held)
+                held, size = [], 0
+        if held:
+            yield dealt_out(held)
 
     def add(batches):
         held, hashes, sums = None, [], []
