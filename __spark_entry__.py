@@ -7,6 +7,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -21,9 +22,10 @@ from despacho.functions.quantities import TOTAL, converted, coordinate_text
 from despacho.operators.control import control_totals
 from despacho.operators.joins import broadcast_small
 from despacho.operators.lookups import MAIN_CONFIG, PACKAGE_SERIES, distributor_code, package_number
-from despacho.plans import customers, delivery, dimensions, runs, sales, stock
+from despacho.plans import customers, delivery, dimensions, runs, sales, stock, stock_days
 from despacho.plans.dimensions import Tables
-from despacho.session import delivery_folder
+from despacho.session import delivery_folder, shared_folder
+from despacho.sources.bucketed import bucketed_tables, write_bucketed
 from despacho.sources.collation import collated, plain
 from despacho.sources.sample import sample_ledger, sample_packages, sample_tables
 
@@ -274,6 +276,45 @@ def _backlog_resend(t: Tables) -> DataFrame:
     return delivery.delivered(spark, root, delivery.SALES, rows.drop("business_date").schema)
 
 
+def _kept_stock(t: Tables) -> DataFrame:
+    """All stock extracts of May from the stock kept by day, after the files of one day were rewritten.
+
+    Only that day is made anew.
+    """
+    spark = t["venta"].sparkSession
+    root = f"{delivery_folder(spark)}/{spark.sparkContext.applicationId}/stock-{uuid.uuid4().hex}"
+    path, changed = f"{root}/facts", dt.date(1998, 5, 13)
+    of_may = t["stockhistorico"].filter(F.col("fecha").between(day("1998-05-01"), day("1998-05-31")))
+    of_may.hint("rebalance", "fecha").write.partitionBy("fecha").parquet(path)
+
+    def stored() -> Tables:
+        facts = spark.read.schema(of_may.schema).parquet(path)
+        return {**t, "stockhistorico": facts}
+
+    stock_days.refresh(stored(), root)
+    twice = of_may.filter(F.col("fecha") == day(changed)).drop("fecha")
+    twice = twice.withColumn("stocktot", (F.col("stocktot") * 2).cast(of_may.schema["stocktot"].dataType))
+    twice.write.mode("overwrite").parquet(f"{path}/fecha={changed}")
+    made = stock_days.refresh(stored(), root)
+    if made != [changed]:
+        raise RuntimeError(f"days made anew: {made}")
+    kept = stock_days.with_kept_stock(t, root)
+    columns = ["IdPaquete", F.to_date("Fecha").alias("Fecha"), "IdProducto", "Cantidad"]
+    extracts = [
+        EXTRACTS[name](kept).select(F.lit(name).alias("extract"), *columns)
+        for name in ("inventory_units", "inventory_boxes", "inventory_alias_units", "inventory_alias_boxes")
+    ]
+    return reduce(DataFrame.unionAll, extracts)
+
+
+def _sales_range_bucketed(t: Tables) -> DataFrame:
+    """Vouchers and lines stored in buckets of their key, and joined from there."""
+    spark = t["venta"].sparkSession
+    name = f"despacho_{uuid.uuid4().hex}"
+    names = write_bucketed(t, f"{shared_folder(spark)}/{name}", spark.sparkContext.defaultParallelism, name)
+    return EXTRACTS["sales_range"](bucketed_tables(spark, t, names))
+
+
 def _delivery_roundtrip(t: Tables) -> DataFrame:
     """Deliver one day's three packages to the shared folder; their control totals as read back."""
     spark = t["venta"].sparkSession
@@ -306,6 +347,8 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "control_text_ids": _control_text_ids,
     "delivered_rows": _delivered_rows,
     "backlog_resend": _backlog_resend,
+    "kept_stock": _kept_stock,
+    "sales_range_bucketed": _sales_range_bucketed,
     "unit_conversion": _unit_conversion,
     "document_types": _document_types,
     "associated_vouchers": _associated_vouchers,

@@ -15,6 +15,8 @@ from despacho.operators.joins import broadcast_small
 from despacho.operators.lookups import distributor_code, package_number
 from despacho.plans.dimensions import EXCLUDED_ARTICLE, Tables, aliased_products, products
 
+DEPOT = 0  # fixed value: the depot that is reported
+
 
 def _on_hand(
     t: Tables, stocked: DataFrame, start: Day | Column, end: Day | Column, in_boxes: bool, scale: int
@@ -24,9 +26,13 @@ def _on_hand(
     amount = in_purchase_boxes(stock, F.col("uxbcompra")) if in_boxes else fixed2(stock)
     snapshots = (
         t["stockhistorico"]
-        .filter((F.col("deposito_id") == 0) & within(F.col("fecha"), start, end))
+        .filter((F.col("deposito_id") == DEPOT) & within(F.col("fecha"), start, end))
         .withColumnRenamed("articulo_codigo", "cod_art")
     )
+    if "copias" in snapshots.columns:
+        # Equal rows are kept once (``stock_days``).
+        copies = F.col("copias").cast("decimal(12,0)")
+        stock, amount = stock * copies, amount * copies
     [dimension] = broadcast_small(stocked)
     return (
         dimension.join_to(snapshots, "cod_art")

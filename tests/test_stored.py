@@ -1,0 +1,151 @@
+"""Stock kept by day, and vouchers stored together with their lines."""
+
+from __future__ import annotations
+
+import datetime as dt
+import io
+import re
+from contextlib import redirect_stdout
+
+import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
+from small import DAY, edge_rows, frames
+
+from despacho.operators.control import control_totals
+from despacho.plans import sales, stock, stock_days
+from despacho.sources.bucketed import bucketed_tables, write_bucketed
+from despacho.sources.sample import sample_tables
+
+SPAN = {"supplier": 3, "start": DAY - dt.timedelta(days=40), "end": DAY + dt.timedelta(days=40)}
+EXTRACTS = {
+    "units": lambda t: stock.inventory_units(t, **SPAN),
+    "boxes": lambda t: stock.inventory_boxes(t, **SPAN),
+    "alias_units": lambda t: stock.inventory_alias_units(t, **SPAN),
+    "alias_boxes": lambda t: stock.inventory_alias_boxes(t, **SPAN),
+}
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """The edge rows with snapshots in a folder for each day, and how to read them as they are now."""
+    t = frames(spark, edge_rows())
+    snapshots = t["stockhistorico"]
+    days = [DAY + dt.timedelta(days=n) for n in range(-2, 4)]
+    more = snapshots.select(*[F.explode(F.array(*map(F.lit, days))).alias(c) if c == "fecha" else c for c in snapshots.columns])
+    path = f"{tmp_path}/facts"
+    snapshots.unionAll(more).unionAll(more).write.partitionBy("fecha").parquet(path)
+    return lambda: {**t, "stockhistorico": spark.read.schema(snapshots.schema).parquet(path)}, path, f"{tmp_path}/kept"
+
+
+def same(t, root):
+    kept = stock_days.with_kept_stock(t, root)
+    for name, extract in EXTRACTS.items():
+        assert rows(extract(kept)) == rows(extract(t)), name
+        assert extract(kept).schema == extract(t).schema
+        assert rows(control_totals(extract(kept), "Cantidad", "Cantidad")) == rows(control_totals(extract(t), "Cantidad", "Cantidad"))
+    return rows(EXTRACTS["units"](t))
+
+
+def test_extracts_and_controls_from_kept_stock(stored):
+    tables, _, root = stored
+    days = stock_days.refresh(tables(), root)
+    assert len(days) > 5 and same(tables(), root)
+    assert stock_days.refresh(tables(), root) == []
+
+
+def test_only_rewritten_days_are_made_anew(spark, stored):
+    tables, path, root = stored
+    stock_days.refresh(tables(), root)
+    before = same(tables(), root)
+    doubled = tables()["stockhistorico"].filter(F.col("fecha") == F.lit(DAY)).drop("fecha")
+    doubled = doubled.withColumn("stocktot", (F.col("stocktot") * 2).cast(doubled.schema["stocktot"].dataType))
+    doubled.repartition(1).write.parquet(f"{path}-new")
+    spark.read.parquet(f"{path}-new").write.mode("overwrite").parquet(f"{path}/fecha={DAY}")
+    changed = tables()
+    assert stock_days.changed_days(changed["stockhistorico"], root) == [DAY]
+    # Other days can't be read any more, and needn't be.
+    reads = changed["stockhistorico"].withColumn(
+        "stocktot",
+        F.when(F.col("fecha") == F.lit(DAY), F.col("stocktot")).otherwise(F.raise_error(F.lit("read")).cast("decimal(18,4)")).cast("decimal(18,4)"),
+    )
+    assert stock_days.refresh({**changed, "stockhistorico": reads}, root, [DAY]) == [DAY]
+    assert same(changed, root) != before
+    assert stock_days.refresh(changed, root) == []
+
+
+def test_other_days_are_not_scanned(stored):
+    tables, _, root = stored
+    shown = io.StringIO()
+    with redirect_stdout(shown):
+        tables()["stockhistorico"].filter(F.col("fecha").isin(F.lit(DAY))).explain("formatted")
+    assert re.search(r"PartitionFilters: \[.*fecha#\d+ = " + str(DAY), shown.getvalue())
+
+
+def test_days_that_are_new_empty_or_gone(spark, stored, tmp_path):
+    tables, path, root = stored
+    stock_days.refresh(tables(), root)
+    new, gone, other = DAY + dt.timedelta(days=30), DAY - dt.timedelta(days=1), DAY + dt.timedelta(days=1)
+    one = tables()["stockhistorico"].filter(F.col("fecha") == F.lit(DAY)).drop("fecha")
+    one.write.parquet(f"{path}/fecha={new}")
+    (tmp_path / "facts" / f"fecha={gone}").rename(tmp_path / "gone")
+    # Rows of another depot only: the day is known, and has nothing to report.
+    one.withColumn("deposito_id", F.lit(7).cast(one.schema["deposito_id"].dataType)).write.mode("overwrite").parquet(f"{path}/fecha={other}")
+    assert stock_days.refresh(tables(), root) == sorted([new, gone, other])
+    same(tables(), root)
+    kept = stock_days.with_kept_stock(tables(), root)["stockhistorico"]
+    assert not {gone, other} & {r["fecha"] for r in kept.select("fecha").distinct().collect()}
+    assert stock_days.refresh(tables(), root) == []
+
+
+def test_a_refresh_that_breaks_off_is_made_again(spark, stored):
+    tables, _, root = stored
+    t = tables()
+    broken = t["stockhistorico"].withColumn("stocktot", F.raise_error(F.lit("lost")).cast("decimal(18,4)"))
+    with pytest.raises(Exception, match="lost"):
+        stock_days.refresh({**t, "stockhistorico": broken}, root)
+    assert stock_days.noted_sources(spark, root).isEmpty()
+    stock_days.refresh(t, root)
+    same(t, root)
+
+
+def joins_of(df):
+    """The plan's lines from its first sort-merge join on vouchers on."""
+    shown = io.StringIO()
+    with redirect_stdout(shown):
+        df.explain()
+    lines = shown.getvalue().splitlines()
+    first = next(i for i, line in enumerate(lines) if re.search(r"SortMergeJoin \[.*comprobante", line))
+    depth = len(re.match(r"[^A-Z]*", lines[first])[0])
+    below = []
+    for line in lines[first + 1 :]:
+        if len(re.match(r"[^A-Z(]*", line)[0]) <= depth:
+            break
+        below.append(line)
+    return below
+
+
+@pytest.mark.skipif(not TESTDATA.exists(), reason="needs the test tables")
+def test_vouchers_in_buckets_are_joined_without_an_exchange(spark, conf, tmp_path):
+    t = dict(sample_tables(spark, str(TESTDATA / "sf0.01")))
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    names = write_bucketed(t, f"{tmp_path}/together", 4, f"t_{tmp_path.name}")
+    together = bucketed_tables(spark, t, names)
+    days = {"supplier": 3, "start": "1998-04-01", "end": "1998-06-30"}
+
+    def extract(t):
+        return sales.sales_range(t, **days)
+
+    plan = joins_of(extract(together))
+    assert sum("FileScan" in line and "Bucketed: true" in line for line in plan) == 2
+    assert not [line for line in plan if "Exchange hashpartitioning" in line]
+    assert any("PushedFilters" in line and "GreaterThanOrEqual(fecha" in line for line in plan)
+    assert [line for line in joins_of(extract(t)) if "Exchange hashpartitioning" in line]
+    assert rows(extract(together)) == rows(extract(t)) and extract(t).count() > 100
+    assert rows(sales.sales_since(together, supplier=3, start="1998-06-01")) == rows(sales.sales_since(t, supplier=3, start="1998-06-01"))
+    for name in names.values():
+        spark.sql(f"drop table {name}")
