@@ -12,14 +12,19 @@ closed dialogs, all but the selected option of a menu, and of formulas and drawi
 what only describes or defines (no ``use`` is followed). Defined cases: a
 null page has a null text, an empty one an empty text; a tag that isn't closed
 ends with the page; columns pad to 60 characters at most (longer cells are whole);
-tables nested deeper than 20 levels run on without columns; an empty table gives
-no rows.
+tables nested deeper than 20 levels run on without columns, as each level lays out
+the lines of those inside once more; an empty table gives no rows.
+
+Time and text grow in proportion to the page. For that, indents of lists and quotes end
+at 120 characters, cells beyond the thousandth column of a table share one, and a table
+whose padding would be far more than its text and cells has none. No text is lost to it.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
+from collections.abc import Iterable
 from html import unescape
 
 import pyarrow as pa
@@ -32,12 +37,12 @@ from despacho.llm.arrow import with_columns
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = frozenset(
-    "script style template title noscript noembed noframes iframe object audio video canvas datalist".split()
+    "script style template title noscript noembed noframes iframe object audio video canvas datalist progress meter rp".split()
 )
 # Elements of drawings and formulas go by names of their own, which no tag of HTML can have.
 UNSEEN |= {f"svg {x}" for x in "title desc metadata defs symbol clippath mask marker pattern style script".split()}
 UNSEEN |= {f"math {x}" for x in "annotation annotation-xml mphantom".split()}
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote figure table hr fieldset menu dir".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote figure table hr fieldset menu dir plaintext".split())
 BLOCK = SPACED | frozenset(
     "html body address article aside center details dialog dd div dt fieldset figcaption footer form header hgroup legend li main"
     " nav optgroup search section summary caption thead tbody tfoot tr".split()
@@ -70,8 +75,11 @@ ENDS_FOREIGN = frozenset(
     " ruby s small span strong strike sub sup table tt u ul var".split()
 )
 SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "html"]) | HOLDS_HTML
+PAST_SCOPE = SCOPE | SECTIONS | {"tr"}  # end tags that reach beyond it
 MOST_COLUMNS, MOST_ROWS = 1000, 65534  # of one cell, as HTML has it
 PAD, GAP, DEEPEST = 60, "  ", 20
+MOST_INDENT = 120
+PADDING = 20  # characters of padding for one of text, at most
 
 BLANKS = " \t\n\r\f"
 SPACE = re.compile(rf"[{BLANKS}]+")
@@ -158,21 +166,31 @@ def build(html: str) -> Node:
     root, body = Node("html", {}), Node("body", {})
     root.children.append(body)
     open_ = [root, body]
-    count: Counter = Counter()  # open elements by name, so that nothing is looked for in vain
+    # Where elements of a name are open, so that none is looked for step by step; and those of HTML.
+    places: defaultdict[str, list[int]] = defaultdict(list)
+    of_html = [0, 1]
+
+    def push(node: Node) -> None:
+        places[node.tag].append(len(open_))
+        if " " not in node.tag:
+            of_html.append(len(open_))
+        open_.append(node)
 
     def cut(i: int) -> None:
-        count.subtract(node.tag for node in open_[i:])
+        for node in open_[i:]:
+            places[node.tag].pop()
         del open_[i:]
+        while of_html[-1] >= i:
+            of_html.pop()
+
+    def last(tags: Iterable[str]) -> int:
+        """The innermost open element of these names; 0 if there is none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def close(tags: frozenset, until: frozenset) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if not any(count[t] for t in tags):
-                return
-            if open_[i].tag in tags:
-                # Go on outwards: a row ends its cell, and a section its row.
-                cut(i)
-            elif open_[i].tag in until:
-                return
+        # On outwards: a row ends its cell, and a section its row.
+        while (i := last(tags)) and i > last(until):
+            cut(i)
 
     def end_columns() -> None:
         # A group of columns holds nothing but columns; whatever else comes ends it.
@@ -192,13 +210,10 @@ def build(html: str) -> Node:
 
     def end_foreign(name: str) -> bool:
         """End the open element of a drawing or formula that has this name."""
-        for i in range(len(open_) - 1, 1, -1):
-            _, space, local = open_[i].tag.partition(" ")
-            if not space:
-                return False
-            if local == name:
-                cut(i)
-                return True
+        i = last((f"svg {name}", f"math {name}"))
+        if i > of_html[-1]:
+            cut(i)
+            return True
         return False
 
     at = 0
@@ -220,12 +235,9 @@ def build(html: str) -> Node:
         if m["end"]:
             if " " in open_[-1].tag and end_foreign(name):
                 continue
-            for i in range(len(open_) - 1, 0, -1) if count[name] else ():
-                if open_[i].tag == name:
-                    cut(i)
-                    break
-                if open_[i].tag in SCOPE and name not in SCOPE | SECTIONS | {"tr"}:
-                    break
+            i = last((name,))
+            if i and (name in PAST_SCOPE or i > last(SCOPE)):
+                cut(i)
             continue
         attributes = _attributes(m["attributes"]) if m["attributes"].strip("/ \n") else {}
         space = foreign()
@@ -238,11 +250,10 @@ def build(html: str) -> Node:
             node = Node((space or name + " ") + name, attributes)
             open_[-1].children.append(node)
             if not _empty(m["attributes"]):
-                open_.append(node)
-                count[node.tag] += 1
+                push(node)
             continue
         if name in ("html", "head", "body"):
-            if name != "head" and not count["template"]:
+            if name != "head" and not places.get("template"):
                 whole = root if name == "html" else body
                 whole.attributes = attributes | whole.attributes
                 whole.styled()
@@ -261,9 +272,11 @@ def build(html: str) -> Node:
             node.children.append(unescape(html[at:stop]) if name in ("textarea", "title") else html[at:stop])
             closing = html.find(">", stop)
             at = closing + 1 if end and closing >= 0 else len(html)
+        elif name == "plaintext":
+            node.children.append(html[at:])
+            at = len(html)
         elif name not in VOID and not m[0].endswith("/>") or name in BLOCK:
-            open_.append(node)
-            count[name] += 1
+            push(node)
     return root
 
 
@@ -357,6 +370,31 @@ class Lines:
             self.ends_in_space = False
 
 
+def _number(text: str | None, otherwise: int) -> int:
+    text = (text or "").strip()
+    return int(text) if re.fullmatch(r"[+-]?[0-9]{1,9}", text) else otherwise
+
+
+ROMAN = [(1000, "M"), (900, "CM"), (500, "D"), (400, "CD"), (100, "C"), (90, "XC"), (50, "L"), (40, "XL"), (10, "X"), (9, "IX")]
+ROMAN += [(5, "V"), (4, "IV"), (1, "I")]
+
+
+def numeral(number: int, style: str) -> str:
+    """A list item's number in the type of its list; numbers that a type can't show are decimal."""
+    shown_as = ""
+    if style in ("a", "A") and number > 0:
+        while number:
+            number, letter = divmod(number - 1, 26)
+            shown_as = chr(65 + letter) + shown_as
+    elif style in ("i", "I") and 0 < number < 4000:
+        for value, letters in ROMAN:
+            shown_as += letters * (number // value)
+            number %= value
+    else:
+        return str(number)
+    return shown_as.lower() if style.islower() else shown_as
+
+
 def _span(cell: Node, name: str, most: int) -> int:
     value = cell.attributes.get(name, "1").strip()
     return min(max(int(value), 1), most) if value.isascii() and value.isdigit() and len(value) < 9 else 1
@@ -399,19 +437,18 @@ def _table_parts(table: Node) -> tuple[list[Node], list[list[Node]]]:
 def _table(rows: list[list[Node]], depth: int) -> list[str]:
     """The rows with every column as wide as its widest single cell."""
     placed: list[list[tuple[int, int, list[str]]]] = []
-    taken: dict[int, int] = {}  # column: rows that a cell above still holds it
-    for cells in rows:
-        row, column, begun = [], 0, {}
+    free = [0] * MOST_COLUMNS  # the row from which on no cell above holds a column
+    for number, cells in enumerate(rows):
+        row, column = [], 0
         for cell in cells:
-            while taken.get(column, 0) > 0:
+            while column < MOST_COLUMNS and free[column] > number:
                 column += 1
-            wide = _span(cell, "colspan", MOST_COLUMNS)
+            wide = min(_span(cell, "colspan", MOST_COLUMNS), max(MOST_COLUMNS - column, 1))
             high = _span(cell, "rowspan", MOST_ROWS)
             row.append((column, wide, render(cell, depth + 1)))
             if high > 1:
-                begun |= {column + i: high - 1 for i in range(wide)}
-            column += wide
-        taken = {c: n - 1 for c, n in taken.items() if n > 1} | begun
+                free[column : column + wide] = [number + high] * min(wide, MOST_COLUMNS - column)
+            column = min(column + wide, MOST_COLUMNS)
         placed.append(row)
     widths: dict[int, int] = {}
     for row in placed:
@@ -422,6 +459,13 @@ def _table(rows: list[list[Node]], depth: int) -> list[str]:
     for column in range(max((c + w for row in placed for c, w, _ in row), default=0)):
         lefts[column] = left
         left += widths[column] + len(GAP) if widths.get(column) else 0
+    padding = most = 0
+    for row in placed:
+        for column, _, lines in row:
+            most += 10 + sum(len(x) - x.count(" ") for x in lines)
+        padding += max((len(lines) for _, _, lines in row), default=0) * max((lefts[c] for c, _, _ in row), default=0)
+    if padding > most * max(PADDING // (depth + 1), 1):
+        lefts = dict.fromkeys(lefts, 0)
     result = []
     for row in placed:
         for i in range(max((len(lines) for _, _, lines in row), default=0)):
@@ -436,7 +480,7 @@ def _table(rows: list[list[Node]], depth: int) -> list[str]:
 def render(top: Node, depth: int = 0) -> list[str]:
     """The lines of an element's content."""
     out = Lines()
-    lists: list[list] = []  # [ordered, number, indent before]
+    lists: list[list] = []  # [ordered, number, step, type]
     preformatted: list[bool] = []
     work: list = [("into", top.children)]
     while work:
@@ -459,18 +503,20 @@ def render(top: Node, depth: int = 0) -> list[str]:
                     out.text(" " + a.get("value", "") + " ")
                 continue
             if tag == "select":
-                options, look = [], list(reversed(inside))
+                options, labelled, look = [], [], list(reversed(inside))
                 while look:
                     x = look.pop()
                     if isinstance(x, Node) and x.tag == "option":
                         options.append(x)
+                        labelled.append(x)
                     elif isinstance(x, Node):
                         look += reversed(x.children)
+                        labelled += [x.attributes["label"]] if x.tag == "optgroup" and "label" in x.attributes and shown(x) else []
                 if "multiple" not in a and _span(item, "size", MOST_ROWS) == 1:
                     # A menu shows one option, a list all of them.
                     inside = [x for x in options if "selected" in x.attributes] or options[:1]
                 else:
-                    inside = options
+                    inside = labelled
                 work.append(("into", [" ", *[y for x in inside for y in (x, " ")]]))
                 continue
             if tag == "details" and "open" not in a:
@@ -496,22 +542,25 @@ def render(top: Node, depth: int = 0) -> list[str]:
                 edge()
                 work.append(("run", edge))
             if tag in LISTS:
-                start = a.get("start", "1").strip()
-                lists.append([tag == "ol", int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1, out.indent])
+                step = -1 if tag == "ol" and "reversed" in a else 1
+                first = 1 if step > 0 else sum(isinstance(x, Node) and x.tag == "li" and shown(x) for x in inside)
+                lists.append([tag == "ol", _number(a.get("start"), first), step, a.get("type", "1").strip()])
                 work.append(("run", lists.pop))
             elif tag == "li":
                 marker = "- "
                 if lists and lists[-1][0]:
-                    marker = f"{lists[-1][1]}. "
-                    lists[-1][1] += 1
+                    _, number, step, style = lists[-1]
+                    number = _number(a.get("value"), number)
+                    marker = f"{numeral(number, a.get('type', style).strip())}. "
+                    lists[-1][1] = number + step
                 if not item.marked:
                     marker = " " * len(marker)
                 work.append(("run", lambda before=(out.indent, out.marker): _leave(out, *before)))
-                out.indent, out.marker = out.indent + " " * len(marker), marker
+                out.indent, out.marker = (out.indent + " " * len(marker))[: max(MOST_INDENT, len(marker))], marker
             elif tag in ("dd", "blockquote"):
                 work.append(("run", lambda before=(out.indent, out.marker): _leave(out, *before)))
-                out.indent += "    " if tag == "dd" else "  "
-            elif tag in ("pre", "textarea", "xmp"):
+                out.indent = (out.indent + ("    " if tag == "dd" else "  "))[:MOST_INDENT]
+            elif tag in ("pre", "textarea", "xmp", "plaintext"):
                 preformatted.append(True)
                 work.append(("run", preformatted.pop))
                 if inside and isinstance(inside[0], str) and inside[0].startswith("\n"):

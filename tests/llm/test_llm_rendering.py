@@ -1,3 +1,6 @@
+import re
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -162,3 +165,57 @@ def test_edge_rows(spark):
     assert got[1, 0] is None and got[2, 0] == "" and got[3, 1] == "x" and got[None, 1] == "y" and (3, 249_999) in got
     assert with_visible_text(pages).columns == ["page_id", "html", "text"]
     assert page_texts(pages.limit(0)).collect() == []
+
+
+SHAPES = {
+    "implied ends": lambda n: "<p><button>" + "<i>" * n + "<p>a" * n,
+    "end tags": lambda n: "<x><table><tr><td>" + "<i>" * n + "</x>a" * n,
+    "wide and high cells": lambda n: "<table>" + "<tr><td colspan=1000 rowspan=65534>a" * n,
+    "stairs": lambda n: "<table>" + "<tr><td rowspan=65534>a" * n,
+    "lists": lambda n: "<ul><li>a" * n,
+    "quotes": lambda n: "<blockquote>a" * n,
+    "drawings": lambda n: "<svg>" + "<g>" * n + "</q>a" * n,
+    "tables": lambda n: "<table><tr><td>a<td>b" * n,
+    "sparse tables": lambda n: ("<table><tr><td>a" + "<tr>" + "<td>" * 30 + "b</table>") * n,
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_time_and_text_grow_with_the_page(shape):
+    made = []
+    for n in (4000, 16000):
+        page = SHAPES[shape](n)
+        start = time.process_time()
+        text = visible_text(page)
+        made.append((time.process_time() - start, len(text)))
+        assert len(re.findall("[ab]", text)) == len(re.findall("(?<=>)[ab]", page))
+    (least, few), (most, many) = made
+    assert many <= 4.5 * few + 10_000
+    assert most <= 10 * max(least, 0.1)  # quadratic would be 16 times
+
+
+def test_a_table_of_few_filled_cells_stays_aligned():
+    rows = [["x" if (r * 7) % 40 == c else "" for c in range(40)] for r in range(40)]
+    page = "<table>" + "".join("<tr>" + "".join(f"<td>{x}</td>" for x in row) for row in rows)
+    lines = visible_text(page).split("\n")
+    assert len({line.index("x") for line in lines if line}) > 30
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<ol reversed><li>a<li>b<li hidden>c</ol>", "2. a\n1. b"),
+        ("<ol start=4><li>a<li value=9>b<li>c</ol>", "4. a\n9. b\n10. c"),
+        ("<ol type=a start=26><li>x<li>y</ol>", "z. x\naa. y"),
+        ("<ol type=I start=1994><li>x</ol>", "MCMXCIV. x"),
+        ("<ol type=i><li>x<li type=A>y</ol>", "i. x\nB. y"),
+        ("<ol type=I start=0><li>x</ol>", "0. x"),
+        ("<ruby>k<rp>(</rp><rt>r</rt><rp>)</rp></ruby>", "kr"),
+        ("a<progress>half</progress> <meter>full</meter>b", "a b"),
+        ("<plaintext><b>x</b></plaintext>", "<b>x</b></plaintext>"),
+        ("<select multiple><optgroup label=G><option>o<option>p</select>", "G o p"),
+        ("<select><optgroup label=G><option>o<option>p</select>", "o"),
+    ],
+)
+def test_as_browsers_show_it(page, text):
+    assert visible_text(page) == text
