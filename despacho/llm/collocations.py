@@ -38,7 +38,7 @@ BLANKS = (9, 32)
 BREAKS = (10, 11, 12, 13, *b".,;:!?")
 LONGEST = 4  # words of a phrase
 ONE_IN = 16  # windows of words begin a chunk
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 MOST_BITS = 1 << 28  # 32 MB
 BITS_EACH = 16
 RANGE = 500_000  # pairs of a range of hashes, at most
@@ -399,16 +399,19 @@ def not_within_longer(candidates: DataFrame, percent: int) -> DataFrame:
     return kept.filter(F.col("around").isNull() | (_exact(F.col("around"), 100) < _exact(F.col("a"), percent))).drop("around")
 
 
-SALTS = 64
-
-
 def first_of_each(rows: DataFrame, by: str, order: list[Column], count: int) -> DataFrame:
-    """The first ``count`` rows of each ``by`` with their ``rank``; a large group is ranked in parts before."""
-    part = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
-    first = F.row_number().over(Window.partitionBy(by, "part").orderBy(*order))
-    rows = rows.withColumn("part", part).withColumn("rank", first).filter(F.col("rank") <= count).drop("part")
-    rank = F.row_number().over(Window.partitionBy(by).orderBy(*order))
-    return rows.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= count)
+    """The first ``count`` rows of each ``by`` with their ``rank``.
+
+    Rows are sorted over all tasks; a row's rank is its place in its part, behind
+    those of its group in earlier parts, so no task holds a whole group.
+    """
+    placed = rows.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
+    placed = written(placed.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "ranked")
+    parts = placed.groupBy(by, "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(by, "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead")).filter(F.col("ahead") < count)
+    ranked = placed.join(parts, [by, "part"]).withColumn("rank", F.col("ahead") + F.col("place") - F.col("first") + 1)
+    return ranked.filter(F.col("rank") <= count).drop("part", "place", "first", "ahead")
 
 
 def collocations(docs: DataFrame, least: int = 30, percent: int = 80, count: int = 2000, longest: int = LONGEST) -> DataFrame:

@@ -98,6 +98,12 @@ def test_first_ranks_and_ties(spark):
     assert got == brute(rows, count=10) and [r[1] for r in got] == list(range(1, 11))
 
 
+def test_ranks_run_over_many_parts(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="23")
+    rows = corpus(9)
+    assert found(collocations.collocations(frame(spark, rows), count=70)) == brute(rows, count=70)
+
+
 def test_a_table_too_small_for_all_pairs_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(collocations, "MOST_BITS", 64)
     rows = corpus(7)
