@@ -16,8 +16,10 @@ what survives is decided on the full shingle sets.
 Defined cases: a document without words has no shingles and is linked with
 nothing, as is one without an id (its component is null and it is kept); rows
 that repeat an id and a text share their class; an empty table gives no rows.
-Ids are meant to be unique: where rows of one id differ in text, each text has
-its own class, and classes that the same id stands for count as one.
+In ``duplicate_groups`` ids are meant to be unique: where rows of one id differ in
+text, each text has its own class, and classes that the same id stands for count as
+one. ``deduplicated`` numbers the rows of such a table first: each text stays that
+has no near duplicate, and one of those that have, with an id or without.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ PERCENT = 75  # of the union, that the intersection of linked documents reaches
 BANDS, ROWS = 32, 4  # a pair at 0.75 misses all bands with probability 5e-6
 BATCH = 16
 SMALL = 16  # members up to which a bucket's open pairs become rows, at most 8 a member
-BLOCK = 1 << 19  # shingles in a block of members of a larger bucket
+BLOCK, BLOCK_MEMBERS = 1 << 19, 1 << 11  # shingles, and members, in a block of a larger bucket
 MISS = 1e-9
 
 
@@ -281,7 +283,7 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     mixed = counted.groupBy("band").agg(
         F.max(F.struct("members", "component"))["component"].alias("home"),
         F.sum("members").alias("members"),
-        F.ceil(F.sum("shingles") / BLOCK).cast("int").alias("blocks"),
+        F.greatest(F.ceil(F.sum("shingles") / BLOCK), F.ceil(F.sum("members") / BLOCK_MEMBERS)).cast("int").alias("blocks"),
         F.count(F.lit(1)).alias("parts"),
     )
     open_ = written(labelled.join(mixed.filter("parts > 1"), "band"), "open-buckets")
@@ -303,14 +305,20 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, one of each group; rows that repeat a kept id are reduced to one."""
-    groups = written(duplicate_groups(docs), "groups")
-    gone, more = fresh(docs, "removed"), fresh(docs, "again")
-    removed = groups.filter("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    again = groups.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias(more)).count().filter("count > 1").select(more)
-    [removed, again] = broadcast_small(removed, again)
-    rows = docs.join(removed.rows, F.col("doc_id") == F.col(gone), "left_anti")
-    if again.rows.isEmpty():
-        return rows
-    same = F.col("doc_id") == F.col(more)
-    return rows.join(again.rows, same, "left_anti").unionAll(rows.join(again.rows, same, "left_semi").dropDuplicates(["doc_id"]))
+    """The documents, all columns, one of each group.
+
+    Where ids repeat or are missing, rows are told apart by numbers of their own, in
+    the order of ids, so that texts that share an id are compared and kept each.
+    """
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or doc_id is null")
+    own = "doc_id"
+    if not repeated.limit(1).isEmpty():
+        own = fresh(docs, "row_id")
+        order = [F.col("doc_id").asc_nulls_last(), F.md5("text")]
+        docs = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+        docs = written(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    groups = written(duplicate_groups(docs.select(F.col(own).alias("doc_id"), "text")), "groups")
+    gone = fresh(docs, "removed")
+    [removed] = broadcast_small(groups.filter("not kept").select(F.col("doc_id").alias(gone)))
+    rows = docs.join(removed.rows, F.col(own) == F.col(gone), "left_anti")
+    return rows if own == "doc_id" else rows.drop(own)

@@ -140,9 +140,9 @@ def threshold(weights: np.ndarray, good: np.ndarray) -> float:
     return float(w[0] if best == 0 else (w[best - 1] + w[best]) / 2)
 
 
-def gumbel(key: Column, seed: int) -> Column:
-    """Standard Gumbel noise that depends on the seed and the key alone."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+def gumbel(key: Column, text: Column, seed: int) -> Column:
+    """Standard Gumbel noise that depends on the seed and the key alone, or the text where there is no key."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), key, F.when(key.isNull(), text)), 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
     return -F.log(-F.log(u))
 
 
@@ -166,14 +166,14 @@ def kth_largest(rows: DataFrame, rank: str, k: int) -> int | None:
     return prefix
 
 
-def rank_of(log_weight: Column, key: Column, seed: int) -> Column:
+def rank_of(log_weight: Column, key: Column, text: Column, seed: int) -> Column:
     """The noisy log weight as a whole number from 0 on, in the same order.
 
     Up to FINE it has steps of 2^-46, about those of the double itself; beyond,
     where only very long texts are, of 2^-19. Nothing is added to the double, which
     would cost it digits.
     """
-    noisy = log_weight + gumbel(key, seed)
+    noisy = log_weight + gumbel(key, text, seed)
     size = F.least(F.abs(noisy), F.lit(CLAMP))
     fine = F.round(F.least(size, F.lit(FINE)) * F.lit(FINE_SCALE)).cast("bigint")
     coarse = F.round(F.greatest(size - F.lit(FINE), F.lit(0.0)) * F.lit(SCALE)).cast("bigint")
@@ -202,8 +202,9 @@ def fit(
     """
     chosen = written(labelled_sample(labels, sample), "quality-sample")
     ratios = log_ratios(*ngram_counts(docs, chosen, buckets))
-    scored = with_log_weights(docs.select("doc_id", "text"), ratios, "log_weight").drop("text")
-    scored = written(scored.withColumn("rank", rank_of(F.col("log_weight"), F.col("doc_id"), seed)), "quality-weights", shuffled=False)
+    scored = with_log_weights(docs.select("doc_id", "text"), ratios, "log_weight")
+    scored = scored.withColumn("rank", rank_of(F.col("log_weight"), F.col("doc_id"), F.col("text"), seed)).drop("text")
+    scored = written(scored, "quality-weights", shuffled=False)
     if k is None:
         known = scored.join(F.broadcast(chosen), F.col("doc_id") == F.col("sample_id"))
         # One row an id, so that repeated rows don't make the fit grow.
@@ -223,5 +224,5 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, all columns, that the resampler takes."""
     resampler, _ = fit(docs, labels)
     weight = fresh(docs, "log_weight")
-    rank = rank_of(F.col(weight), F.col("doc_id"), resampler.seed)
+    rank = rank_of(F.col(weight), F.col("doc_id"), F.col("text"), resampler.seed)
     return with_log_weights(docs, resampler.ratios, weight).filter(resampler.selected(rank)).select(*docs.columns)

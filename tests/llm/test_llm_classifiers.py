@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from llm_tables import EDGE, edge, empty, frame, prose, vocabulary
 from pyspark.sql import functions as F
 
@@ -123,10 +124,45 @@ def test_top_k_is_exact_where_many_documents_are_close(spark):
     assert scored.select("rank").distinct().count() == 20_000
 
 
+def test_rows_without_an_id_draw_by_their_text(spark):
+    rows = [(None, f"{w} text") for w in "abcdefgh"] + [(None, "a text"), (4, "one"), (4, "other")]
+    got = quality.fit(frame(spark, rows), labels_frame(spark, []), k=3)[1].collect()
+    ranks = [r["rank"] for r in got if r.doc_id is None]
+    assert len(set(ranks)) == 8 and len({r["rank"] for r in got if r.doc_id == 4}) == 1
+
+
+def test_weights_and_choice_by_the_definition(spark, learnt):
+    """Both models counted text by text, without Spark; then the documents of the largest noisy weights."""
+    docs, labels, truth = learnt
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.select("doc_id", "text").collect()}
+    buckets = 1 << 12
+    found = {i: np.bincount(quality.ngrams([t], buckets)[1].astype(np.int64), minlength=buckets) for i, t in texts.items()}
+    good = {r.doc_id for r in labels.filter("quality = 1").select("doc_id").collect()}
+    raw = sum(found.values())
+    target = sum(n for i, n in found.items() if i in good)
+    ratio = np.log((target + 1) / (target.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets))
+    resampler, scored = quality.fit(docs, labels, k=50, buckets=buckets)
+    rows = scored.collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.log_weight == pytest.approx(float(found[r.doc_id] @ ratio), rel=1e-4, abs=1e-3)
+    noise = {}
+    for r in rows:
+        u = ((xxhash.xxh64_intdigest(int(r.doc_id).to_bytes(8, "little", signed=True), _seeded(resampler.seed)) >> 11) + 0.5) / 2**53
+        noise[r.doc_id] = r.log_weight - np.log(-np.log(u))
+    taken = {r.doc_id for r in scored.filter(resampler.selected(F.col("rank"))).collect()}
+    assert taken == set(sorted(noise, key=noise.get)[-50:])
+
+
+def _seeded(seed):
+    """Spark hashes column after column, each with the hash before it as seed; the first seed is 42, an int four bytes."""
+    return xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
+
+
 def test_ranks_have_the_order_of_the_keys(spark):
     weights = [-1e13, -3e12, -1e6, -16384.5, -16384.0, -16383.9, -5.0, -1e-9, 0.0, 1e-9, 7.25, 16383.9, 16384.0, 16384.1, 1e6, 1e12]
     rows = spark.createDataFrame([(i, w) for i, w in enumerate(weights)], "i long, w double")
-    ranks = [r["rank"] for r in rows.select("i", quality.rank_of(F.col("w"), F.lit(4), 1).alias("rank")).orderBy("i").collect()]
+    ranks = [r["rank"] for r in rows.select("i", quality.rank_of(F.col("w"), F.lit(4), F.lit(""), 1).alias("rank")).orderBy("i").collect()]
     assert all(0 <= a < b < 1 << 62 for a, b in zip(ranks[1:], ranks[2:])) and ranks[0] == ranks[1]
 
 

@@ -1,8 +1,10 @@
+import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
-from llm_tables import EDGE, edge, empty, frame, lower_ascii, prose, vocabulary
+from llm_tables import EDGE, LONG, STORY, edge, empty, frame, lower_ascii, prose, vocabulary
 
 from despacho.llm import dedup
 from despacho.llm.components import components
@@ -87,6 +89,18 @@ def test_the_stage_keeps_one_row_of_each_group(spark):
     assert deduplicated(empty(spark)).collect() == []
 
 
+def test_texts_that_share_an_id_are_kept_each(spark):
+    near = STORY + " at night"
+    other = "a wholly different text that nobody else has written down so far in here"
+    rows = [(5, STORY), (5, other), (3, near), (None, other), (None, STORY), (None, "only here and nowhere else at all"), (7, STORY), (7, STORY)]
+    rows += [(8, None), (8, ""), (None, None), (9, LONG), (9, LONG + " end"), (2, other.upper())]
+    kept = Counter((r.doc_id, r.text) for r in deduplicated(frame(spark, rows)).select("doc_id", "text").collect())
+    assert kept == Counter(
+        [(3, near), (2, other.upper()), (None, "only here and nowhere else at all"), (8, None), (8, ""), (None, None)]
+        + [(9, min((t for i, t in rows if i == 9), key=lambda t: hashlib.md5(t.encode()).hexdigest()))]
+    )
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(2000, 2000), (500, 600)]
