@@ -97,16 +97,23 @@ def literal_rows(spark: SparkSession, *rows: dict) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
-def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """What ``publish_once`` published under a folder; no rows if nothing was yet."""
-    if not exists(spark, path):
+def read_records(spark: SparkSession, schema: str, *folders: str) -> DataFrame:
+    """What ``publish_once`` published under some folders; no rows if nothing was yet."""
+    found = [folder for folder in folders if exists(spark, folder)]
+    if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(found)
 
 
-def steps(spark: SparkSession, root: str) -> DataFrame:
-    """All steps of all packages."""
-    return read_records(spark, f"{root}/packages", STEP)
+def steps(spark: SparkSession, root: str, kinds: Iterable[str] | None = None, days: Sequence[dt.date] | None = None) -> DataFrame:
+    """All steps of packages, of some kinds and business dates only if these are named."""
+    if kinds is None:
+        folders = [f"{root}/packages"]
+    elif days is None:
+        folders = [f"{root}/packages/{kind}" for kind in kinds]
+    else:
+        folders = [f"{root}/packages/{kind}/{d:%Y-%m-%d}" for kind in kinds for d in days]
+    return read_records(spark, STEP, *folders)
 
 
 def _last(all_steps: DataFrame) -> DataFrame:
@@ -150,7 +157,7 @@ def rows_of(spark: SparkSession, root: str, chosen: Iterable[Package]) -> DataFr
 
 def delivered(spark: SparkSession, root: str, kind: Kind, schema: StructType, file_format: str = "parquet") -> DataFrame:
     """Rows of a dataset (columns as in ``schema``) that were sent, with their business date."""
-    sent = packages(steps(spark, root).filter((F.col("kind") == kind.name) & (F.col("state") == SENT)))
+    sent = packages(steps(spark, root, [kind.name]).filter(F.col("state") == SENT))
     dated = StructType([*schema.fields, StructField("business_date", DateType())])
     if not sent:
         return spark.createDataFrame([], dated)
@@ -286,7 +293,7 @@ def is_waiting(package: Package) -> bool:
 
 def waiting(spark: SparkSession, root: str, as_of: Day, max_age: int, kinds: Sequence[str]) -> list[Package]:
     """Packages of some kinds that were made at most ``max_age`` days before the run date, and not sent."""
-    last = _last(steps(spark, root).filter(F.col("kind").isin(*kinds)))
+    last = _last(steps(spark, root, kinds))
     recent = last.filter((F.col("state") != SENT) & (age_in_days(as_of, F.col("created")) <= max_age))
     return [p for p in packages(recent).values() if is_waiting(p)]
 
@@ -299,7 +306,7 @@ def deliver_days(
     left = build_days(df, root, kind, days, file_format)
     sent: list[Package] = []
     while left:
-        seen = {key: p.version for key, p in packages(steps(spark, root).filter(F.col("kind") == kind.name)).items()}
+        seen = {key: p.version for key, p in packages(steps(spark, root, [kind.name], days)).items()}
         sent += send(spark, root, make(spark, root, left, seen))
         done = {p.key for p in sent}
         left = [p for p in left if p.key not in done]

@@ -32,7 +32,6 @@ from despacho.plans.delivery import (
     Transport,
     build_days,
     is_waiting,
-    ledger,
     make,
     packages,
     read_records,
@@ -135,7 +134,7 @@ OPEN_ENDED: Mapping[ExtractsOf, frozenset[str]] = {boxes_extracts: frozenset([SA
 def run_log(spark: SparkSession, root: str) -> DataFrame:
     """One row per run date and series: the number the series was advanced to."""
     columns = "sucursal int, tiponum string, letra string, empresa_id int, numero bigint, run_date date"
-    return read_records(spark, f"{root}/runs", columns)
+    return read_records(spark, columns, f"{root}/runs")
 
 
 def config_at(config: DataFrame, root: str, as_of: dt.date) -> DataFrame:
@@ -219,8 +218,8 @@ def daily_run(
     business_date = as_of + dt.timedelta(days=day_offset)
 
     datasets = extracts(t, supplier, business_date)
-    of_day = steps(spark, root).filter(F.col("business_date") == day(business_date))
-    known = packages(of_day)
+    kinds = [kind.name for kind in datasets]
+    known = packages(steps(spark, root, kinds, [business_date]))
     built = []
     with remembered_sizes():
         for kind, build in datasets.items():
@@ -231,8 +230,8 @@ def daily_run(
                     built += build_days(rows, root, kind, [business_date], file_format, as_of)
     made = make(spark, root, built, {key: p.version for key, p in known.items()})
     sent = send(spark, root, made, user, transport)
-    states = {kind: p.state for (kind, _), p in packages(steps(spark, root).filter(F.col("business_date") == day(business_date))).items()}
-    if all(states.get(kind.name) == SENT for kind in datasets):
+    now = packages(steps(spark, root, kinds, [business_date]))
+    if len(now) == len(kinds) and all(p.state == SENT for p in now.values()):
         record_run(numbering, root, as_of, series)
     return {p.kind: p.controls for p in sent}
 
@@ -281,15 +280,14 @@ def run_backlog(
     supplier, user = settings["codigo_proveedor"], settings["usuario"]
     controls = dict(send_waiting(spark, root, as_of, user, transport=transport))
 
-    known = packages(steps(spark, root))
-    missing = pending(calendar(spark, as_of, day_offset), ledger(spark, root), as_of)
+    horizon = [as_of + dt.timedelta(days=day_offset - n) for n in range(MAX_AGE_DAYS + 1)]
+    missing = skip_delivered(calendar(spark, as_of, day_offset), steps(spark, root, RETRIED_KINDS, horizon))
     base = package_number(t["numeracion"], 0).cast("bigint")
     missing = numbers_before(missing, run_log(spark, root), t["numeracion"]).withColumn("ahead", F.col("numero") - base)
     # At most one package a kind and day of the backlog's horizon.
     by_kind: dict[str, dict[dt.date, int]] = {}
     for row in missing.select(*PACKAGE, "ahead").collect():
-        if (row["kind"], row["business_date"]) not in known:
-            by_kind.setdefault(row["kind"], {})[row["business_date"]] = row["ahead"] or 0
+        by_kind.setdefault(row["kind"], {})[row["business_date"]] = row["ahead"] or 0
 
     built = []
     with remembered_sizes():
