@@ -193,3 +193,42 @@ def test_quality_edge_rows(spark):
     assert len(neutral) == len(EDGE) and {r.log_weight for r in neutral} == {0.0} and all(r.selected for r in neutral)
     kept = quality.good_documents(edge(spark), labels)
     assert kept.columns == edge(spark).columns and kept.count() <= len(EDGE)
+
+
+def own_columns(rng, n, first, shared):
+    """Rows with a column of their own and two common ones each."""
+    columns = np.concatenate([[first + i, *rng.choice(shared, 2, replace=False)] for i in range(n)])
+    return Rows(np.arange(0, 3 * n + 1, 3), columns, rng.random(3 * n) + 0.5)
+
+
+def risks(positive, unlabelled, prior, w, b):
+    zp, zu = positive.dot(w) + b, unlabelled.dot(w) + b
+    return prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+
+
+def test_the_first_step_goes_down_the_gradient_of_the_risk():
+    rng, width, prior = np.random.default_rng(3), 60, 0.2
+    positive, unlabelled = own_columns(rng, 8, 10, 10), own_columns(rng, 40, 18, 10)
+    start = float(np.log(prior / (1 - prior)))
+
+    def risk(x):
+        plus, minus = risks(positive, unlabelled, prior, x[:-1], x[-1])
+        return plus + max(0.0, minus)
+
+    at, step = np.append(np.zeros(width), start), 1e-6
+    gradient = np.array([(risk(at + step * e) - risk(at - step * e)) / (2 * step) for e in np.eye(width + 1)])
+    w, b = train_nnpu(positive, unlabelled, width, prior, steps=1, rate=0.01, l2=0.0)
+    moved = np.append(w, b - start)
+    steep = np.abs(gradient) > 1e-6
+    assert steep.sum() > 50
+    # The first step of Adam has the gradient's sign and the size of the rate.
+    assert np.allclose(moved[steep], -0.01 * np.sign(gradient[steep]), rtol=1e-2)
+
+
+def test_the_negative_part_is_not_fitted_below_zero():
+    """Every row can be told by its own column; the plain estimator of the risk would fall without end."""
+    rng, prior = np.random.default_rng(4), 0.3
+    positive, unlabelled = own_columns(rng, 30, 10, 10), own_columns(rng, 120, 40, 10)
+    w, b = train_nnpu(positive, unlabelled, 160, prior, steps=1500, l2=0.0)
+    plus, minus = risks(positive, unlabelled, prior, w, b)
+    assert plus < 0.3 and minus > -0.2
