@@ -41,6 +41,7 @@ from despacho.llm.words import PAD, gathered, loadable, mix, span_hashes
 ALPHA = 0.1  # share of the candidate merges that are skipped
 LONG = 48  # characters from which a segment goes to the agenda
 KEPT = 1_500_000  # runs a task remembers
+CHUNK_BYTES = 1 << 18  # text encoded at once: the arrays of its merges take some hundred bytes for each of its own
 NEVER = np.iinfo(np.int64).max
 SHOWN_SPACE = "▁"
 STEP = 0x9E3779B97F4A7C15
@@ -186,7 +187,10 @@ class Runs:
             runs, lengths = produce(missing)
             end = self.used + len(runs)
             if end > len(self.pool):
-                self.pool = np.concatenate([self.pool[: self.used], np.zeros(end - self.used + self.used // 2, np.uint64)])
+                # Zeros that nothing is written to take no memory.
+                grown = np.zeros(end + self.used // 2, np.uint64)
+                grown[: self.used] = self.pool[: self.used]
+                self.pool = grown
             self.pool[self.used : end] = runs
             starts[missing] = self.used + np.cumsum(lengths) - lengths
             kept = max(min(len(missing), self.limit - len(self.keys)), 0)
@@ -466,17 +470,19 @@ def encoded(docs: DataFrame, model: str, seed: int = 0, alpha: float = ALPHA, ke
     own, hidden = fresh(docs, "own"), fresh(docs, "text_")
     # Rows without an id draw by their text.
     by = [F.lit(seed), F.col(key), F.when(F.col(key).isNull(), F.col("text"))]
+    # The text travels once: under its own name if the rows keep it.
+    texts_as = next((c for c in kept if c.lower() == "text"), hidden)
     source = docs.select(
         *[f"`{c}`" for c in kept],
         F.xxhash64(*by).alias(own),
-        F.col("text").alias(hidden),
+        *([] if texts_as in kept else [F.col("text").alias(hidden)]),
     )
     schema = StructType([docs.schema[c] for c in kept] + StructType.fromDDL("ids array<int>, lossless boolean").fields)
 
     def run(batches):
         encoder = Encoder(vocabulary, alpha, seed)
-        for batch in chunks(batches, hidden):
-            texts = text_bytes(batch, hidden)
+        for batch in chunks(batches, texts_as, CHUNK_BYTES):
+            texts = text_bytes(batch, texts_as)
             flat, bounds = encoder.encode_checked(texts, batch.column(own).to_pylist())
             same = [a == (b or b"") for a, b in zip(decode(vocabulary, flat, bounds), texts)]
             ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))

@@ -130,3 +130,12 @@ def test_the_share_of_skipped_candidates_is_alpha(pieces):
     keys = np.arange(20_000, dtype=np.uint64) * np.uint64(977)
     _, counts = Encoder(pieces, 0.3, 1).segments([b"ab"] * len(keys), keys)
     assert abs((counts == 2).mean() - 0.3) < 0.02
+
+
+def test_the_text_travels_once(spark):
+    docs = spark.createDataFrame([(1, "the text"), (2, None)], "doc_id long, text string")
+    for kept, names in ((docs, {"doc_id", "text", "own"}), (docs.withColumnRenamed("text", "TEXT"), {"doc_id", "TEXT", "own"})):
+        rows = encoded(kept, MODEL)
+        sent = rows._jdf.queryExecution().analyzed().children().head().output()
+        assert {sent.apply(i).name() for i in range(sent.size())} == names
+        assert [r[1] for r in rows.orderBy("doc_id").collect()] == ["the text", None]
